@@ -33,9 +33,18 @@ class Star:
                 "dim_date": self.dim_date, "fact": self.fact}
 
 
-def dim_plant(silver: DataFrame) -> DataFrame:
-    """Distinct plants, keyed 1..n in name order (NULL first)."""
-    plants = silver.select(F.col("Plant").alias("PlantCode")).distinct()
+def plant_years(silver: DataFrame) -> DataFrame:
+    """(Plant, Yr, FirstMonth, LastMonth): one pass over silver that feeds
+    both the plant and the calendar dimension; bounded by plants x years."""
+    return (silver.groupBy("Plant", F.year("Month").alias("Yr"))
+            .agg(F.min("Month").alias("FirstMonth"), F.max("Month").alias("LastMonth")))
+
+
+def dim_plant(silver: DataFrame, keys_source: DataFrame | None = None) -> DataFrame:
+    """Distinct plants, keyed 1..n in name order (NULL first).  Keys are
+    dense ranks computed without a one-partition sort (see ``dense_keys``)."""
+    src = keys_source if keys_source is not None else silver
+    plants = src.select(F.col("Plant").alias("PlantCode")).distinct()
     return (dense_keys(plants, [F.col("PlantCode").asc_nulls_first()], key="PlantKey")
             .select("PlantKey", "PlantCode"))
 
@@ -53,8 +62,12 @@ def dim_type(mapping: DataFrame) -> DataFrame:
                     "SortOrder"))
 
 
-def year_bounds(silver: DataFrame) -> DataFrame:
-    """Per year with data: first and last month (one pass, partial aggregation)."""
+def year_bounds(silver: DataFrame, keys_source: DataFrame | None = None) -> DataFrame:
+    """Per year with data: first and last month (partial aggregation)."""
+    if keys_source is not None:
+        src = keys_source
+        return (src.filter(F.col("Yr").isNotNull()).groupBy("Yr")
+                .agg(F.min("FirstMonth").alias("FirstMonth"), F.max("LastMonth").alias("LastMonth")))
     return (silver.groupBy(F.year("Month").alias("Yr"))
             .agg(F.min("Month").alias("FirstMonth"), F.max("Month").alias("LastMonth"))
             .filter(F.col("Yr").isNotNull()))
@@ -68,17 +81,18 @@ def periods(silver: DataFrame, years: DataFrame | None = None) -> DataFrame:
         F.lit(" "), F.col("Yr").cast("string")).alias("Period"))
 
 
-def dim_date(silver: DataFrame) -> DataFrame:
+def dim_date(silver: DataFrame, keys_source: DataFrame | None = None) -> DataFrame:
     """Every day from 1 Jan of the first year to 31 Dec of the last, for the
-    years that have data (a gap year has no days)."""
-    years = year_bounds(silver)
+    years that have data (a gap year has no days).  The calendar is bounded
+    by the date span, not by the number of rows."""
+    years = year_bounds(silver, keys_source)
     per = periods(silver, years)
     bounds = years.agg(F.min("Yr").alias("y0"), F.max("Yr").alias("y1"))
     days = bounds.select(F.explode(F.sequence(F.make_date("y0", F.lit(1), F.lit(1)),
                                               F.make_date("y1", F.lit(12), F.lit(31)),
                                               F.expr("INTERVAL 1 DAY"))).alias("Date"))
     days = calendar_columns(days)
-    return (days.join(per, days.Year == per.Yr, "inner")
+    return (days.join(F.broadcast(per), days.Year == per.Yr, "inner")
             .select("DateKey", "Date", "Year", "MonthNumber", "MonthShort", "Period"))
 
 

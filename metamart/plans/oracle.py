@@ -318,7 +318,7 @@ FROM star GROUP BY ALL""",
     "plant_class": """
 SELECT PlantCode, Classification, CAST(SUM(Incidents) AS BIGINT) AS Incidents,
        CAST(SUM(SUM(Incidents)) OVER (PARTITION BY PlantCode) AS BIGINT) AS PlantTotal
-FROM star GROUP BY ALL""",
+FROM star GROUP BY PlantCode, Classification""",
     "incident_mix": "SELECT IncidentTypeName, CAST(SUM(Incidents) AS BIGINT) AS Incidents FROM star GROUP BY ALL",
     "kpi_status": f"""
 SELECT Year, Incidents_Chg,
