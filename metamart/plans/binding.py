@@ -211,3 +211,38 @@ def validation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") >= _k()).alias("Passed"),
         F.concat(F.lit("value: "), F.format_string("%.2f", F.col("value"))).alias("Details"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Metadata scenarios
+# ---------------------------------------------------------------------------
+# Two mappings for columns that proposals also name (one inactive), so that
+# "already mapped" blocks approval; fixed values.
+EXTRA_MAPPING_ROWS = [
+    (19, 1, "click 3", "External", "A", True),
+    (20, 2, "view 7", "Internal", "N", False),
+]
+# A key row left over for an id not in the registry (blocks that id).
+LEFTOVER_KEY_ROWS = [(6, "Plant", "Plant", "text")]
+
+
+def mapping_with_extras(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(mapping_rows() + EXTRA_MAPPING_ROWS, schemas.COLUMN_MAPPING)
+
+
+def key_map_with_leftover(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(key_rows() + LEFTOVER_KEY_ROWS, schemas.KEY_COLUMN_MAPPING)
+
+
+def register_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One registration request per supplier: every tenth asks for a path
+    that is already registered; the others ask for one file per nation, so
+    later requests of a nation repeat a path requested earlier."""
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    path = (F.when(F.col("s_suppkey") % 10 == 0,
+                   F.concat(F.lit("Files/landing/source_"), (F.col("s_suppkey") % 3 + 1).cast("string"), F.lit(".xlsx")))
+            .otherwise(F.concat(F.lit("Files/landing/nation_"), F.col("s_nationkey").cast("string"), F.lit(".xlsx"))))
+    return s.select(F.col("s_suppkey").alias("RequestId"),
+                    F.concat(F.lit("Incidents "), F.col("s_name")).alias("SourceName"),
+                    path.alias("FilePath"), F.lit("Sheet1").alias("SheetName"),
+                    F.lit("Plant").alias("PlantColumn"), F.lit("Month").alias("MonthColumn"))

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metamart.operators import dq, gold, measures as M, reports, silver as S
+from metamart.operators import dq, gold, measures as M, meta, proposals as P, reports, silver as S
 from metamart.plans import binding as B, pipeline
 from metamart.session import ensure_checkpoint_dir
 from metamart.sources import landing, warehouse as W
@@ -274,3 +274,89 @@ QUERIES: dict[str, Query] = {
     "slicer_options": q_slicer_options,
     "end_to_end_totals": q_end_to_end,
 }
+
+
+# ------------------------------------------------------- metadata, proposals
+def _vocab(spark, d):
+    return P.vocabulary(B.mapping_with_extras(spark))
+
+
+def _queue(spark, d):
+    """The proposal queue: event proposals that pass the vocabulary filter."""
+    return P.valid_proposals(B.raw_proposals(spark, d), _vocab(spark, d))
+
+
+def _approved(spark, d):
+    return meta.approve_proposals(_queue(spark, d), B.mapping_with_extras(spark))
+
+
+def q_register_sources(spark, d):
+    return meta.register_sources(B.registry(spark), B.key_map_with_leftover(spark),
+                                 B.register_requests(spark, d)).result
+
+
+def q_pending(spark, d):
+    return meta.pending_proposals(_queue(spark, d), B.mapping_with_extras(spark))
+
+
+def q_mapping_changes(spark, d):
+    """Insert the approved proposals, deactivate mappings whose column did
+    not arrive, activate inactive mappings whose column did arrive."""
+    mx = B.mapping_with_extras(spark)
+    pairs = S.column_pairs(bronze_table(spark, d))
+    ins = _approved(spark, d).select("MappingId", F.lit("insert").alias("Action"), "SourceId",
+                                     "SourceColumn", "Classification", "CodeGroup")
+    missing = S.missing_columns(pairs, mx, list(B.LANDED_SOURCES))
+    deact = (mx.filter("IsActive").join(missing.select(F.col("SourceID").cast("int").alias("SourceId"), "SourceColumn"),
+                                        ["SourceId", "SourceColumn"], "left_semi")
+             .select("MappingId", F.lit("deactivate").alias("Action")))
+    arrived = pairs.select(F.col("SourceID").cast("int").alias("SourceId"), "SourceColumn")
+    act = (mx.filter(~F.col("IsActive")).join(arrived, ["SourceId", "SourceColumn"], "left_semi")
+           .select("MappingId", F.lit("activate").alias("Action")))
+    empty = {c: F.lit(None).cast(t) for c, t in (("SourceId", "int"), ("SourceColumn", "string"),
+                                                 ("Classification", "string"), ("CodeGroup", "string"))}
+    changes = ins.unionByName(deact.withColumns(empty)).unionByName(act.withColumns(empty))
+    return meta.apply_mapping_changes(mx, changes)
+
+
+def q_set_active(spark, d):
+    landed = B.monthly_cells(spark, d).select(F.col("SourceID").cast("int").alias("SourceId"))
+    return meta.set_active(B.registry(spark), landed, False)
+
+
+def q_meta_counts(spark, d):
+    mapping_after = B.mapping_with_extras(spark).unionByName(_approved(spark, d))
+    return meta.meta_counts({
+        "SourceRegistry": B.registry(spark), "KeyColumnMapping": B.key_map(spark),
+        "ColumnMapping": mapping_after, "DQRules": B.rules(spark),
+        "ValidationLog": B.validation_history(spark, d)})
+
+
+def q_vocabulary(spark, d):
+    return P.vocabulary(B.mapping_with_extras(spark).unionByName(_approved(spark, d)))
+
+
+def q_parse(spark, d):
+    return P.parse_proposals(B.responses(spark, d))
+
+
+def q_valid(spark, d):
+    return _queue(spark, d)
+
+
+def q_stats(spark, d):
+    return P.proposal_stats(B.raw_proposals(spark, d), _vocab(spark, d))
+
+
+QUERIES.update({
+    "register_sources": q_register_sources,
+    "approve_proposals": _approved,
+    "pending_proposals": q_pending,
+    "mapping_changes": q_mapping_changes,
+    "set_active": q_set_active,
+    "meta_counts": q_meta_counts,
+    "vocabulary": q_vocabulary,
+    "parse_proposals": q_parse,
+    "valid_proposals": q_valid,
+    "proposal_stats": q_stats,
+})

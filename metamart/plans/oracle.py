@@ -41,6 +41,11 @@ mapping AS (SELECT CAST(MappingId AS INTEGER) AS MappingId, CAST(SourceId AS INT
 rules AS (SELECT CAST(RuleId AS INTEGER) AS RuleId, CAST(SourceId AS INTEGER) AS SourceId, RuleName,
                  RuleType, CAST(TargetColumn AS VARCHAR) AS TargetColumn, RuleParameters, Severity, IsActive
           FROM {_values(rules, ["RuleId", "SourceId", "RuleName", "RuleType", "TargetColumn", "RuleParameters", "Severity", "IsActive"])}),
+key_map AS (SELECT CAST(SourceId AS INTEGER) AS SourceId, SourceColumn, TargetColumn, DataType
+            FROM {_values(B.key_rows() + B.LEFTOVER_KEY_ROWS, ["SourceId", "SourceColumn", "TargetColumn", "DataType"])}),
+mx AS (SELECT CAST(MappingId AS INTEGER) AS MappingId, CAST(SourceId AS INTEGER) AS SourceId,
+              SourceColumn, Classification, CodeGroup, IsActive
+       FROM {_values(B.mapping_rows() + B.EXTRA_MAPPING_ROWS, ["MappingId", "SourceId", "SourceColumn", "Classification", "CodeGroup", "IsActive"])}),
 run_sources AS (SELECT CAST(SourceId AS INTEGER) AS SourceId FROM {_values([(s,) for s in B.LANDED_SOURCES], ["SourceId"])}),
 li AS (SELECT CAST(l.l_suppkey % 3 + 1 AS BIGINT) AS SourceID, s.s_name AS Plant,
               CAST(date_trunc('month', CAST(l.l_shipdate AS DATE)) AS DATE) AS Month,
@@ -99,7 +104,17 @@ prop_raw AS (SELECT CAST(user_id % 3 + 1 AS INTEGER) AS SourceId,
                     'fixture-model' AS ModelName,
                     CAST(ts AS TIMESTAMP) AS ProposedAt,
                     event_id
-             FROM events)
+             FROM events),
+queue AS (SELECT SourceId, SourceColumn, Classification, CodeGroup, Confidence, Rationale, ModelName, ProposedAt
+          FROM prop_raw
+          WHERE Classification IN (SELECT Classification FROM mx WHERE IsActive)
+            AND CodeGroup IN (SELECT CodeGroup FROM mx WHERE IsActive)),
+approved AS (SELECT CAST((SELECT MAX(MappingId) FROM mx) + ROW_NUMBER() OVER (ORDER BY SourceId, SourceColumn) AS INTEGER) AS MappingId,
+                    SourceId, SourceColumn, Classification, CodeGroup, TRUE AS IsActive
+             FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY SourceId, SourceColumn
+                                                ORDER BY ProposedAt DESC, Confidence DESC) AS rn FROM queue) l
+             WHERE rn = 1 AND Confidence >= 0.90
+               AND NOT EXISTS (SELECT 1 FROM mx m WHERE m.SourceId = l.SourceId AND m.SourceColumn = l.SourceColumn))
 """
 
 
@@ -342,5 +357,66 @@ UNION ALL SELECT 'fact', COUNT(*), SUM(Incidents) FROM fact""",
 }
 
 
+SQL.update({
+    "register_sources": """
+, req AS (SELECT s_suppkey AS RequestId, 'Incidents ' || s_name AS SourceName,
+                 CASE WHEN s_suppkey % 10 = 0 THEN 'Files/landing/source_' || CAST(s_suppkey % 3 + 1 AS VARCHAR) || '.xlsx'
+                      ELSE 'Files/landing/nation_' || CAST(s_nationkey AS VARCHAR) || '.xlsx' END AS FilePath,
+                 'Sheet1' AS SheetName, 'Plant' AS PlantColumn, 'Month' AS MonthColumn
+          FROM supplier),
+flagged AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY FilePath ORDER BY RequestId) = 1 AS first_,
+                   FilePath IN (SELECT FilePath FROM src_info) AS known
+            FROM req),
+ok AS (SELECT RequestId, (SELECT MAX(SourceId) FROM src_info) + ROW_NUMBER() OVER (ORDER BY RequestId) AS NewId
+       FROM flagged WHERE first_ AND NOT known),
+st AS (SELECT f.*, ok.NewId,
+              CASE WHEN f.known OR NOT f.first_ THEN 'path already registered'
+                   WHEN ok.NewId IN (SELECT SourceId FROM key_map) THEN 'key columns already exist for this id'
+                   ELSE 'registered' END AS Status
+       FROM flagged f LEFT JOIN ok USING (RequestId))
+SELECT RequestId, SourceName, FilePath, SheetName, PlantColumn, MonthColumn, Status,
+       CASE WHEN Status = 'registered' THEN CAST(NewId AS INTEGER) END AS SourceId
+FROM st""",
+    "approve_proposals": "SELECT * FROM approved",
+    "pending_proposals": """
+SELECT * FROM queue q WHERE NOT EXISTS (SELECT 1 FROM mx m WHERE m.SourceId = q.SourceId AND m.SourceColumn = q.SourceColumn)""",
+    "mapping_changes": """
+, deact AS (SELECT m.MappingId FROM mx m WHERE m.IsActive AND m.SourceId IN (SELECT SourceId FROM run_sources)
+              AND NOT EXISTS (SELECT 1 FROM bronze b WHERE b.SourceID = m.SourceId AND b.SourceColumn = m.SourceColumn)),
+act AS (SELECT m.MappingId FROM mx m WHERE NOT m.IsActive
+          AND EXISTS (SELECT 1 FROM bronze b WHERE b.SourceID = m.SourceId AND b.SourceColumn = m.SourceColumn))
+SELECT MappingId, SourceId, SourceColumn, Classification, CodeGroup,
+       CASE WHEN MappingId IN (SELECT MappingId FROM act) THEN TRUE
+            WHEN MappingId IN (SELECT MappingId FROM deact) THEN FALSE ELSE IsActive END AS IsActive
+FROM mx
+UNION ALL SELECT * FROM approved""",
+    "set_active": """
+SELECT SourceId, SourceName, FilePath, SheetName,
+       CASE WHEN SourceId IN (SELECT DISTINCT CAST(SourceID AS INTEGER) FROM li) THEN FALSE ELSE IsActive END AS IsActive
+FROM src_info""",
+    "meta_counts": """
+SELECT 'SourceRegistry' AS TableName, CAST(COUNT(*) AS BIGINT) AS Rows FROM src_info
+UNION ALL SELECT 'KeyColumnMapping', COUNT(*) FROM key_map WHERE SourceId IN (SELECT SourceId FROM src_info)
+UNION ALL SELECT 'ColumnMapping', (SELECT COUNT(*) FROM mx) + (SELECT COUNT(*) FROM approved)
+UNION ALL SELECT 'DQRules', COUNT(*) FROM rules
+UNION ALL SELECT 'ValidationLog', COUNT(*) FROM hist""",
+    "vocabulary": """
+, allm AS (SELECT * FROM mx UNION ALL SELECT * FROM approved)
+SELECT DISTINCT 'Classification' AS Kind, Classification AS Value FROM allm WHERE IsActive
+UNION ALL SELECT DISTINCT 'CodeGroup', CodeGroup FROM allm WHERE IsActive""",
+    "parse_proposals": """
+SELECT SourceId, ModelName, SourceColumn, Classification, CodeGroup, Confidence, Rationale
+FROM prop_raw WHERE (event_id // 16) % 7 <> 6""",
+    "valid_proposals": "SELECT * FROM queue",
+    "proposal_stats": """
+SELECT SourceId, CAST(COUNT(*) AS BIGINT) AS Proposed,
+       CAST(COUNT(*) FILTER (WHERE ok) AS BIGINT) AS Valid, CAST(COUNT(*) FILTER (WHERE NOT ok) AS BIGINT) AS Rejected,
+       CAST(COUNT(*) FILTER (WHERE ok AND SourceColumn IS NULL) AS BIGINT) AS NoColumn
+FROM (SELECT *, Classification IN (SELECT Classification FROM mx WHERE IsActive)
+                AND CodeGroup IN (SELECT CodeGroup FROM mx WHERE IsActive) AS ok FROM prop_raw)
+GROUP BY SourceId""",
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: PREFIX + v for k, v in SQL.items()}
