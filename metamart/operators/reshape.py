@@ -23,24 +23,35 @@ def q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def dedupe_headers(df: DataFrame) -> DataFrame:
+def dedupe_names(names: Sequence[str]) -> list[str]:
     """Make header names unique the way header promotion does: a repeated
-    name gets ``_1``, ``_2`` ... in order of appearance."""
-    seen: dict[str, int] = {}
-    names = []
-    for c in df.columns:
+    name (exact, case-sensitive) gets ``_1``, ``_2`` ... in order."""
+    seen: set[str] = set()
+    count: dict[str, int] = {}
+    out = []
+    for c in names:
         if c in seen:
-            seen[c] += 1
-            candidate = f"{c}_{seen[c]}"
+            n = count.get(c, 0)
+            candidate = c
             while candidate in seen:
-                seen[c] += 1
-                candidate = f"{c}_{seen[c]}"
-            seen[candidate] = 0
-            names.append(candidate)
-        else:
-            seen[c] = 0
-            names.append(c)
-    return df if names == df.columns else df.toDF(*names)
+                n += 1
+                candidate = f"{c}_{n}"
+            count[c] = n
+            c = candidate
+        seen.add(c)
+        out.append(c)
+    return out
+
+
+def positional(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The frame with internal names ``_c0 .. _cN`` and its headers, exact.
+
+    Spark resolves names case-insensitively and rejects duplicates, while
+    headers are case-sensitive and may repeat: columns are therefore
+    addressed by position and the header text only travels as a label.
+    """
+    headers = dedupe_names(df.columns)
+    return df.toDF(*[f"_c{i}" for i in range(len(headers))]), headers
 
 
 @dataclass(frozen=True)
@@ -66,22 +77,34 @@ def roles(key_rows: Sequence) -> KeyRoles:
     )
 
 
-def rename_keys(df: DataFrame, renames: Sequence[tuple[str, str]]) -> DataFrame:
-    """Rename file headers to bronze names; a missing header is an error."""
-    missing = [s for s, _ in renames if s not in df.columns]
+def key_positions(headers: Sequence[str], r: "KeyRoles", key_rows: Sequence) -> dict[str, int]:
+    """Bronze key name -> position of its file header (exact match).  A
+    header named by the metadata but absent from the file is an error."""
+    want = {t: s for s, t, _ in ((k["SourceColumn"], k["TargetColumn"], k["DataType"]) for k in key_rows)}
+    pos = {}
+    missing = []
+    for target, source in want.items():
+        if source in headers:
+            pos[target] = headers.index(source)
+        elif target in headers:          # already named like bronze
+            pos[target] = headers.index(target)
+        else:
+            missing.append(source)
     if missing:
         raise MissingHeaderError(f"key header(s) not in the file: {missing}")
-    return df.withColumnsRenamed(dict(renames)) if renames else df
+    return pos
 
 
-def type_keys(df: DataFrame, r: KeyRoles) -> DataFrame:
-    """Cast text keys to string and date keys to date (bad dates raise)."""
-    missing = [c for c in r.ids if c not in df.columns]
-    if missing:
-        raise MissingHeaderError(f"key column(s) not in the file: {missing}")
-    casts = {c: q(c).cast("string") for c in r.text}
-    casts.update({c: q(c).cast("date") for c in r.dates})
-    return df.withColumns(casts) if casts else df
+def rename_keys(df: DataFrame, key_rows: Sequence) -> DataFrame:
+    """B1 on its own: the frame with its key headers renamed to bronze names
+    (exact, case-sensitive match; a missing header is an error)."""
+    r = roles(key_rows)
+    pdf, headers = positional(df)
+    pos = key_positions(headers, r, key_rows)
+    names = list(headers)
+    for target, i in pos.items():
+        names[i] = target
+    return pdf.toDF(*names)
 
 
 def to_int64(c: Column, is_integral: bool) -> Column:
@@ -91,22 +114,25 @@ def to_int64(c: Column, is_integral: bool) -> Column:
     return F.bround(c.cast("double"), 0).cast("bigint")
 
 
-def unpivot_others(df: DataFrame, ids: Sequence[str], var: str = "SourceColumn",
-                   val: str = "Value") -> DataFrame:
-    """Every non-identifying column becomes a (header, value) row.
-
-    Null cells produce no row.  Header names are trimmed here, once, at plan
-    time (they are schema, not data), so no per-row string work is needed.
+def unpivot_others(df: DataFrame, headers: Sequence[str], id_positions: dict[str, int],
+                   var: str = "SourceColumn", val: str = "Value") -> DataFrame:
+    """Every non-identifying column becomes a (header, value) row; null cells
+    produce no row.  ``df`` has positional names (see ``positional``); the
+    id columns come out under their bronze names.  Headers are trimmed here,
+    once, at plan time (they are schema, not data): no per-row string work.
     """
-    ids = list(ids)
-    others = [f for f in df.schema.fields if f.name not in ids]
+    fields = df.schema.fields
+    ids = {i: name for name, i in id_positions.items()}
+    id_cols = [F.col(fields[i].name).alias(name) for i, name in sorted(ids.items())]
+    others = [(i, f) for i, f in enumerate(fields) if i not in ids]
     if not others:
-        return df.select(*[q(c) for c in ids]).withColumns(
-            {var: F.lit(None).cast("string"), val: F.lit(None).cast("bigint")}).limit(0)
-    values = [to_int64(q(f.name), isinstance(f.dataType, IntegralType)).alias(trim_header(f.name))
-              for f in others]
-    return (df.unpivot([q(c) for c in ids], values, var, val)
-              .filter(F.col(val).isNotNull()))
+        return (df.select(*id_cols).withColumns({var: F.lit(None).cast("string"),
+                                                 val: F.lit(None).cast("bigint")}).limit(0))
+    base = df.select(*id_cols, *[F.col(f.name) for _, f in others])
+    values = [to_int64(F.col(f.name), isinstance(f.dataType, IntegralType)).alias(trim_header(headers[i]))
+              for i, f in others]
+    return (base.unpivot([F.col(n) for _, n in sorted(ids.items())], values, var, val)
+            .filter(F.col(val).isNotNull()))
 
 
 def trim_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -120,12 +146,20 @@ def stamp(df: DataFrame, source_id: int) -> DataFrame:
                      q("Plant"), q("Month"), q("SourceColumn"), q("Value").cast("bigint"))
 
 
+def type_keys(df: DataFrame, r: KeyRoles) -> DataFrame:
+    """Cast text keys to string and date keys to date (bad dates raise)."""
+    casts = {c: F.col(c).cast("string") for c in r.text}
+    casts.update({c: F.col(c).cast("date") for c in r.dates})
+    return df.withColumns(casts) if casts else df
+
+
 def wide_to_bronze(df: DataFrame, source_id: int, key_rows: Sequence) -> DataFrame:
-    """B1..B6 for one wide source frame."""
+    """B1..B6 for one wide source frame: find and rename the key headers,
+    type them, unpivot every other column, trim text keys, stamp the source."""
     r = roles(key_rows)
-    out = dedupe_headers(df)
-    out = rename_keys(out, r.renames)
+    pdf, headers = positional(df)
+    pos = key_positions(headers, r, key_rows)
+    out = unpivot_others(pdf, headers, pos)
     out = type_keys(out, r)
-    out = unpivot_others(out, r.ids)
     out = trim_cols(out, r.text)
     return stamp(out, source_id)

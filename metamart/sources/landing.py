@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
 from functools import reduce
 
@@ -24,8 +25,13 @@ def read_wide(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     unpivot (values, half-even rounding).
     """
     if fmt == "csv":
-        return (spark.read.option("header", True).option("inferSchema", False)
-                .option("enforceSchema", False).csv(path))
+        # Spark would rename repeated or case-only-different headers; take
+        # the header line as written (one line, read once) and name the
+        # columns by position.
+        line = spark.read.text(path).first()
+        headers = next(csv.reader([line[0]])) if line is not None else []
+        data = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        return data.toDF(*headers) if headers and len(headers) == len(data.columns) else data
     return spark.read.format(fmt).load(path)
 
 
