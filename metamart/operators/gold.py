@@ -130,22 +130,27 @@ def gold_counts(star: Star) -> DataFrame:
             .unionByName(one("DimIncidentType", star.dim_incident_type)))
 
 
+def contract_checks(table: str) -> list:
+    """Aggregates counting NULLs in NOT NULL columns and over-long texts."""
+    schema = schemas.GOLD_SCHEMAS[table]
+    checks = [F.count_if(F.col(f.name).isNull()).alias(f"null:{f.name}")
+              for f in schema.fields if not f.nullable]
+    checks += [F.count_if(F.length(c) > n).alias(f"length>{n}:{c}")
+               for c, n in schemas.GOLD_LENGTHS[table].items()]
+    return checks
+
+
 def contract_violations(df: DataFrame, table: str) -> DataFrame:
     """One row: number of NULLs per NOT NULL column and of over-long texts."""
-    schema = schemas.GOLD_SCHEMAS[table]
-    lengths = schemas.GOLD_LENGTHS[table]
-    checks = []
-    for f in schema.fields:
-        if not f.nullable:
-            checks.append(F.count_if(F.col(f.name).isNull()).alias(f"null:{f.name}"))
-    for c, n in lengths.items():
-        checks.append(F.count_if(F.length(c) > n).alias(f"length>{n}:{c}"))
-    return df.agg(*checks)
+    return df.agg(*contract_checks(table))
 
 
-def enforce_contract(df: DataFrame, table: str) -> None:
-    """Raise ContractViolation when any check counts a bad row."""
-    row = contract_violations(df, table).first()
-    bad = {k: v for k, v in row.asDict().items() if v}
+def raise_on_violations(table: str, metrics: dict) -> None:
+    bad = {k: v for k, v in metrics.items() if (k.startswith("null:") or k.startswith("length>")) and v}
     if bad:
         raise ContractViolation(f"{table}: {bad}")
+
+
+def enforce_contract(df: DataFrame, table: str) -> None:
+    """Raise ContractViolation when any check counts a bad row."""
+    raise_on_violations(table, contract_violations(df, table).first().asDict())

@@ -125,9 +125,16 @@ def monthly_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(*[F.sum(n).cast("bigint").alias(n) for n in names]))
 
 
-def wide_sources(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
-    """One wide frame per landed source, with that source's own headers."""
+def wide_sources(spark: SparkSession, sf_dir: str, materialize: bool = False) -> dict[int, DataFrame]:
+    """One wide frame per landed source, with that source's own headers.
+
+    With ``materialize`` the shared monthly cells are written once to the
+    checkpoint folder (one scan of lineitem for all three "files"), as
+    landing files would be; otherwise each frame is a lazy plan.
+    """
     cells = monthly_cells(spark, sf_dir)
+    if materialize:
+        cells = cells.checkpoint(eager=True)
     out = {}
     for sid in LANDED_SOURCES:
         info = SOURCES[sid]

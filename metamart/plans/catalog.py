@@ -43,7 +43,7 @@ def loaded(spark: SparkSession, d: str) -> tuple[W.Warehouse, pipeline.LoadResul
             wh = W.Warehouse(spark, root)
             # the binding's source 2 fails an Error rule on purpose: gold is
             # built without the gate here; the gate is tested on its own
-            _LOADS[key] = pipeline.run(wh, B.wide_sources(spark, d), B.key_map(spark),
+            _LOADS[key] = pipeline.run(wh, B.wide_sources(spark, d, materialize=True), B.key_map(spark),
                                        B.mapping(spark), B.rules(spark), B.RUN_NOW, use_gate=False)
             _WAREHOUSES[key] = wh
         return _WAREHOUSES[key], _LOADS[key]

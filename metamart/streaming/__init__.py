@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The warehouse this package re-expresses is batch only: its one trigger is
+a scheduled loop over sources, late or corrected data is handled by
+reloading a whole source (``sources.warehouse.replace_sources``), and no
+watermark, window or state exists anywhere in it.  A file-drop stream would
+be ``readStream`` of the landing folder with ``foreachBatch`` calling the
+same replace-by-source load; it is not built because nothing in the
+reference needs it.
+"""
