@@ -97,43 +97,93 @@ def _sum_values(df: DataFrame, keys: Sequence[str], suffix: str = "") -> DataFra
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
-def _join_keys(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    if keys:
-        return a.join(b, list(keys), how)
-    # both sides are single-row aggregates
-    return a.join(b, how="cross")
-
-
-def year_over_year(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ()) -> DataFrame:
-    """M1..M12 per group: current, prior year (dates shifted one year back
-    within the calendar), change and percentage, for all, Internal, External."""
-    other_by, date_by = _split_by(by)
-    base = monthly_base(star, ctx, other_by)
+def date_roles(star: Star, ctx: FilterContext, date_by: Sequence[str]) -> DataFrame:
+    """How each calendar day feeds the measures of the visible dates, as
+    (DateKey, Role, Anchor, date_by...) rows:
+
+    * ``cur``  -- a visible day feeds its own group (Anchor = that day);
+    * ``py``   -- the day one year before a visible day feeds the visible
+      day's group (same period last year; distinct per group, so two
+      visible days mapping to one prior day count it once);
+    * ``prev`` -- the day one month before a visible day feeds it as the
+      "previous month" of Anchor (date filters replaced, so it may lie
+      outside the visible dates).
+
+    Bounded by three times the calendar, whatever the size of the fact.
+    """
     vis = visible_dates(star, ctx)
-    dd = F.broadcast(star.dim_date.select("DateKey", "Date"))
+    cal = star.dim_date.select(F.col("DateKey").alias("_dk"), F.col("Date").alias("_d"))
+    dby = [F.col(c) for c in date_by]
+    cur = vis.select("DateKey", F.lit("cur").alias("Role"), F.col("Date").alias("Anchor"), *dby)
+    py = (vis.select(F.add_months("Date", -12).alias("_p"), *dby)
+          .join(cal, F.col("_p") == F.col("_d"))
+          .select(F.col("_dk").alias("DateKey"), F.lit("py").alias("Role"),
+                  F.lit(None).cast("date").alias("Anchor"), *dby).distinct())
+    prev = (vis.select(F.col("Date").alias("Anchor"), F.add_months("Date", -1).alias("_p"), *dby)
+            .join(cal, F.col("_p") == F.col("_d"))
+            .select(F.col("_dk").alias("DateKey"), F.lit("prev").alias("Role"), "Anchor", *dby))
+    return cur.unionByName(py).unionByName(prev)
+
+
+def measure_frame(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ()) -> DataFrame:
+    """Every number of M1..M17 per group from ONE pass over the fact.
+
+    fact -> (other group columns, DateKey) sums -> join the date roles
+    (broadcast, bounded by the calendar) -> sums per (group, anchor day)
+    -> per group: current and prior-year sums, and the latest anchor with
+    data together with its value and the previous month's value.
+    """
+    other_by, date_by = _split_by(by)
     keys = list(other_by) + list(date_by)
-
-    cur = _sum_values(base.join(F.broadcast(vis.select("DateKey", *date_by)), "DateKey"), keys)
-    # each visible date v looks at add_months(v, -12); distinct pairs so that
-    # two visible days mapping to one prior day count it once per group
-    shifted = (vis.select(*date_by, F.add_months("Date", -12).alias("PriorDate")).distinct())
-    prior = (base.join(dd, "DateKey")
-             .join(F.broadcast(shifted), F.col("Date") == F.col("PriorDate")))
-    py = _sum_values(prior, keys, "_PY")
-    out = _join_keys(cur, py, keys, "full")
+    base = monthly_base(star, ctx, other_by)
+    j = base.join(F.broadcast(date_roles(star, ctx, date_by)), "DateKey")
+    role = F.col("Role")
+    per_anchor = j.groupBy(*keys, "Anchor").agg(
+        *[F.sum(F.when(role == "cur", F.col(f"v_{n}"))).alias(f"cur_{n}") for n, _ in SPLITS],
+        *[F.sum(F.when(role == "py", F.col(f"v_{n}"))).alias(f"py_{n}") for n, _ in SPLITS],
+        F.sum(F.when(role == "prev", F.col("v_Incidents"))).alias("prev"))
+    latest = F.max_by(F.struct(F.col("Anchor").alias("LatestMonth"),
+                               F.col("cur_Incidents").alias("Incidents_Latest_Month"),
+                               F.col("prev").alias("Incidents_Previous_Month")),
+                      F.when(F.col("cur_Incidents").isNotNull(), F.col("Anchor")))
+    aggs = ([F.sum(f"cur_{n}").alias(n) for n, _ in SPLITS]
+            + [F.sum(f"py_{n}").alias(f"{n}_PY") for n, _ in SPLITS] + [latest.alias("_lm")])
+    g = per_anchor.groupBy(*keys).agg(*aggs) if keys else per_anchor.agg(*aggs)
     cols = [F.col(k) for k in keys]
     for n, _ in SPLITS:
         chg = blank_minus(F.col(n), F.col(f"{n}_PY"))
         cols += [F.col(n), F.col(f"{n}_PY"), chg.alias(f"{n}_Chg"),
                  blank_divide(chg, F.col(f"{n}_PY")).alias(f"{n}_Pct_Chg")]
-    out = out.select(*cols)
+    lm_chg = blank_minus(F.col("_lm.Incidents_Latest_Month"), F.col("_lm.Incidents_Previous_Month"))
+    label = F.upper(F.date_format("_lm.LatestMonth", "MMM"))
+    cols += [F.col("_lm.LatestMonth").alias("LatestMonth"),
+             F.col("_lm.Incidents_Latest_Month").alias("Incidents_Latest_Month"),
+             F.col("_lm.Incidents_Previous_Month").alias("Incidents_Previous_Month"),
+             lm_chg.alias("Latest_Month_Chg"),
+             blank_divide(lm_chg, F.col("_lm.Incidents_Previous_Month")).alias("Pct_Latest_Month_Chg"),
+             label.alias("Latest_Month_Label"),
+             F.concat(F.lit("LATEST MONTH • "), label).alias("Latest_Month_Label2")]
+    return g.select(*cols)
+
+
+YOY_COLUMNS = [f"{n}{s}" for n, _ in SPLITS for s in ("", "_PY", "_Chg", "_Pct_Chg")]
+LATEST_COLUMNS = ["LatestMonth", "Incidents_Latest_Month", "Incidents_Previous_Month", "Latest_Month_Chg",
+                  "Pct_Latest_Month_Chg", "Latest_Month_Label", "Latest_Month_Label2"]
+
+
+def year_over_year(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ()) -> DataFrame:
+    """M1..M12 per group: current, prior year (dates shifted one year back
+    within the calendar), change and percentage, for all, Internal, External.
+    Groups where every one of them is blank are not shown."""
+    keys = list(by)
+    out = measure_frame(star, ctx, by).select(*keys, *YOY_COLUMNS)
     if not keys:
         return out
     return out.filter(F.coalesce(*[F.col(f"{n}{s}") for n, _ in SPLITS for s in ("", "_PY")]).isNotNull())
 
 
 def totals(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ()) -> DataFrame:
-    """M1..M3 only."""
+    """M1..M3 only (no shifted dates needed)."""
     other_by, date_by = _split_by(by)
     base = monthly_base(star, ctx, other_by)
     vis = visible_dates(star, ctx)
@@ -145,29 +195,9 @@ def latest_month(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ()) -
     """M13..M19 per group: the latest visible date with data, its total,
     the month before (date filters replaced, so it crosses a year end),
     change, percentage and the labels."""
-    other_by, date_by = _split_by(by)
-    base = monthly_base(star, ctx, other_by)
-    vis = visible_dates(star, ctx)
-    dd = F.broadcast(star.dim_date.select("DateKey", "Date"))
-    keys = list(other_by) + list(date_by)
-    cur = base.join(F.broadcast(vis.select("DateKey", "Date", *date_by)), "DateKey")
-    latest = (cur.groupBy(*keys).agg(F.max("Date").alias("LatestMonth")) if keys
-              else cur.agg(F.max("Date").alias("LatestMonth")))
-    by_date = base.join(dd, "DateKey").select(*other_by, "Date", "v_Incidents")
-    at = by_date.select(*other_by, F.col("Date").alias("LatestMonth"),
-                        F.col("v_Incidents").alias("Incidents_Latest_Month"))
-    prev = by_date.select(*other_by, F.col("Date").alias("PreviousMonth"),
-                          F.col("v_Incidents").alias("Incidents_Previous_Month"))
-    out = (latest.withColumn("PreviousMonth", F.add_months("LatestMonth", -1))
-           .join(at, [*other_by, "LatestMonth"], "left")
-           .join(prev, [*other_by, "PreviousMonth"], "left"))
-    chg = blank_minus(F.col("Incidents_Latest_Month"), F.col("Incidents_Previous_Month"))
-    label = F.upper(F.date_format("LatestMonth", "MMM"))
-    return out.select(*keys, "LatestMonth", "Incidents_Latest_Month", "Incidents_Previous_Month",
-                      chg.alias("Latest_Month_Chg"),
-                      blank_divide(chg, F.col("Incidents_Previous_Month")).alias("Pct_Latest_Month_Chg"),
-                      label.alias("Latest_Month_Label"),
-                      F.concat(F.lit("LATEST MONTH • "), label).alias("Latest_Month_Label2"))
+    keys = list(by)
+    out = measure_frame(star, ctx, by).select(*keys, *LATEST_COLUMNS)
+    return out.filter(F.col("LatestMonth").isNotNull()) if keys else out
 
 
 def selected_year(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ()) -> DataFrame:
@@ -177,9 +207,22 @@ def selected_year(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ())
     other_by, date_by = _split_by(by)
     if other_by:
         raise ValueError("labels are grouped by calendar columns only")
+    return selected_year_columns(star, ctx, date_by)
+
+
+def selected_year_columns(star: Star, ctx: FilterContext, date_by: Sequence[str] = (),
+                          onto: DataFrame | None = None) -> DataFrame:
+    """The label columns; without group columns they are two scalar
+    subqueries added to ``onto`` (or to a one-row frame)."""
     vis = visible_dates(star, ctx)
-    aggs = [F.count_distinct("Year").alias("_n"), F.max("Year").alias("_max")]
-    g = vis.groupBy(*date_by).agg(*aggs) if date_by else vis.agg(*aggs)
+    if date_by:
+        g = vis.groupBy(*date_by).agg(F.count_distinct("Year").alias("_n"), F.max("Year").alias("_max"))
+    else:
+        n = vis.agg(F.count_distinct("Year")).scalar()
+        mx = vis.agg(F.max("Year")).scalar()
+        base = onto if onto is not None else vis.sparkSession.range(1).drop("id")
+        g = base.withColumns({"_n": n, "_max": mx})
+        date_by = [c for c in base.columns]
     sel = F.when(F.col("_n") == 1, F.col("_max").cast("string")).otherwise(F.lit("All years"))
     return g.select(*date_by, sel.alias("Selected_Year"),
                     F.concat(F.lit("TOTAL INCIDENTS • "), sel).alias("Incidents_Label"),
@@ -191,21 +234,24 @@ def selected_year(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ())
 def overview_signal(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ()) -> DataFrame:
     """One sentence per group from the year and month changes."""
     keys = list(by)
-    yoy = year_over_year(star, ctx, by).select(*keys, "Incidents_Pct_Chg")
-    mom = latest_month(star, ctx, by).select(*keys, "LatestMonth", "Pct_Latest_Month_Chg")
-    out = _join_keys(yoy, mom, keys, "left")
-    total_pct, month_pct = F.col("Incidents_Pct_Chg"), F.col("Pct_Latest_Month_Chg")
+    out = measure_frame(star, ctx, by)
+    if keys:
+        out = out.filter(F.coalesce(*[F.col(f"{n}{s}") for n, _ in SPLITS for s in ("", "_PY")]).isNotNull())
+    return out.select(*keys, signal_text(F.col("Incidents_Pct_Chg"), F.col("Pct_Latest_Month_Chg"),
+                                         F.col("LatestMonth")).alias("Overview_Signal"))
+
+
+def signal_text(total_pct: Column, month_pct: Column, latest: Column) -> Column:
     # a blank month percentage compares as 0: 'increased', shown as 0.0%
     month_val = F.coalesce(month_pct, F.lit(0.0))
     sentence = F.concat(
         F.lit("Total incidents are "), pct_one_decimal(total_pct), F.lit(" "),
         F.when(total_pct >= 0, F.lit("higher")).otherwise(F.lit("lower")),
-        F.lit(" than PY, while "), month_name("LatestMonth"), F.lit(" "),
+        F.lit(" than PY, while "), month_name(latest), F.lit(" "),
         F.when(month_val >= 0, F.lit("increased")).otherwise(F.lit("decreased")), F.lit(" "),
         pct_one_decimal(month_val), F.lit(" versus "),
-        month_name(F.add_months("LatestMonth", -1)),
+        month_name(F.add_months(latest, -1)),
         F.when(month_val > 0, F.lit(" and should be monitored")).otherwise(F.lit("")),
         F.lit("."))
-    signal = F.when(total_pct.isNull(), F.lit("No prior-year data available for the selected period.")
-                    ).otherwise(sentence)
-    return out.select(*keys, signal.alias("Overview_Signal"))
+    return F.when(total_pct.isNull(), F.lit("No prior-year data available for the selected period.")
+                  ).otherwise(sentence)

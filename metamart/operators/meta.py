@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metamart.operators.keys import dense_keys
@@ -41,14 +41,16 @@ def register_sources(registry: DataFrame, key_map: DataFrame, requests: DataFram
         "PlantColumn": F.coalesce(F.col("PlantColumn"), F.lit("Plant")),
         "MonthColumn": F.coalesce(F.col("MonthColumn"), F.lit("Month")),
     })
-    first = Window.partitionBy("FilePath").orderBy("RequestId")
-    req = req.withColumn("_first", F.row_number().over(first) == 1)
+    # first request per path: an aggregate (partial on the map side), so a
+    # path requested very many times is no hot spot
+    firsts = req.groupBy("FilePath").agg(F.min("RequestId").alias("_first_id"))
+    req = (req.join(firsts, "FilePath")
+           .withColumn("_first", F.col("RequestId") == F.col("_first_id")).drop("_first_id"))
     known = req.join(registry.select("FilePath"), "FilePath", "left_semi").select("RequestId")
     req = req.join(known.withColumn("_known", F.lit(True)), "RequestId", "left")
     ok = req.filter(F.col("_first") & F.col("_known").isNull())
-    base = F.broadcast(_next_base(registry, "SourceId"))
-    ids = dense_keys(ok.join(base, how="cross"), [F.col("RequestId").asc()], key="NewId",
-                     start=F.col("_base"))
+    ids = dense_keys(ok, [F.col("RequestId").asc()], key="NewId",
+                     start=_next_base(registry, "SourceId").scalar())
     taken = key_map.select(F.col("SourceId").cast("bigint").alias("NewId")).distinct()
     ids = ids.join(taken.withColumn("_taken", F.lit(True)), "NewId", "left")
     status = (F.when(F.col("_known").isNotNull() | ~F.col("_first"), F.lit("path already registered"))
@@ -91,10 +93,8 @@ def approve_proposals(proposals: DataFrame, mapping: DataFrame,
         p = p.filter(F.col("SourceId").isin([int(s) for s in source_ids]))
     latest = latest_proposals(p).filter(F.col("Confidence") >= F.lit(min_confidence))
     fresh = latest.join(mapping.select("SourceId", "SourceColumn"), ["SourceId", "SourceColumn"], "left_anti")
-    base = F.broadcast(_next_base(mapping, "MappingId"))
-    keyed = dense_keys(fresh.join(base, how="cross"),
-                       [F.col("SourceId").asc(), F.col("SourceColumn").asc()],
-                       key="MappingId", start=F.col("_base"))
+    keyed = dense_keys(fresh, [F.col("SourceId").asc(), F.col("SourceColumn").asc()],
+                       key="MappingId", start=_next_base(mapping, "MappingId").scalar())
     return keyed.select(F.col("MappingId").cast("int"), F.col("SourceId").cast("int"), "SourceColumn",
                         "Classification", "CodeGroup", F.lit(True).alias("IsActive"))
 
@@ -114,8 +114,10 @@ def apply_mapping_changes(mapping: DataFrame, changes: DataFrame) -> DataFrame:
     One full outer join on MappingId; the last change of an id wins when
     ChangeSeq is given."""
     if "ChangeSeq" in changes.columns:
-        last = Window.partitionBy("MappingId").orderBy(F.desc("ChangeSeq"))
-        changes = changes.withColumn("_r", F.row_number().over(last)).filter("_r = 1").drop("_r")
+        cols = [c for c in changes.columns if c not in ("MappingId", "ChangeSeq")]
+        changes = (changes.groupBy("MappingId")
+                   .agg(F.max_by(F.struct(*cols), F.col("ChangeSeq")).alias("_c"))
+                   .select("MappingId", "_c.*"))
     c = changes.select("MappingId", "Action",
                        *[F.col(x).alias(f"c_{x}") for x in ("SourceId", "SourceColumn", "Classification", "CodeGroup")])
     j = mapping.join(c, "MappingId", "full")

@@ -35,12 +35,12 @@ def incident_mix(star: Star, ctx: M.FilterContext = M.ALL) -> DataFrame:
 
 def kpi_cards(star: Star, ctx: M.FilterContext = M.ALL, by: Sequence[str] = ()) -> DataFrame:
     """R4..R7: the four cards (total, Internal, External, latest month) with
-    their labels, one row per group."""
-    keys = list(by)
-    yoy = M.year_over_year(star, ctx, by)
-    mom = M.latest_month(star, ctx, by).drop("PreviousMonth")
-    labels = M.selected_year(star, ctx, by)
-    return M._join_keys(M._join_keys(yoy, mom, keys, "left"), labels, keys, "left")
+    their labels, one row per group; the fact is read once."""
+    mf = M.measure_frame(star, ctx, by)
+    _, date_by = M._split_by(by)
+    if not date_by:
+        return M.selected_year_columns(star, ctx, (), onto=mf)
+    return mf.join(M.selected_year_columns(star, ctx, date_by), list(date_by), "left")
 
 
 def _status(x, worse_at: float) -> F.Column:

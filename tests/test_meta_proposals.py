@@ -80,3 +80,13 @@ def test_register_rejects_duplicates_and_taken_ids(spark):
     assert got == {10: ("registered", 2), 11: ("path already registered", None),
                    12: ("path already registered", None), 13: ("key columns already exist for this id", None)}
     assert sorted(tuple(x) for x in r.key_rows.collect()) == [(2, "Month", "Month", "date"), (2, "Plant", "Plant", "text")]
+
+
+def test_last_change_per_id_wins(spark):
+    changes = spark.createDataFrame([
+        (2, "activate", None, None, None, None, 1),
+        (2, "deactivate", None, None, None, None, 2),
+    ], "MappingId int, Action string, SourceId int, SourceColumn string, Classification string, "
+       "CodeGroup string, ChangeSeq int")
+    out = {r.MappingId: r.IsActive for r in meta.apply_mapping_changes(mapping(spark, MAP), changes).collect()}
+    assert out == {1: True, 2: False}
