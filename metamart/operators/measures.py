@@ -17,7 +17,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metamart.functions.dates import month_name
+from metamart.functions.dates import date_key, month_name
 from metamart.functions.formats import blank_divide, blank_minus, pct_one_decimal
 from metamart.operators.gold import Star
 
@@ -66,15 +66,24 @@ def _split_by(by: Sequence[str]) -> tuple[list[str], list[str]]:
     return other, date_by
 
 
+def _has_dates(ctx: FilterContext) -> bool:
+    return any(v is not None for v in (ctx.years, ctx.periods, ctx.months, ctx.dates))
+
+
 def visible_dates(star: Star, ctx: FilterContext) -> DataFrame:
     return star.dim_date.filter(ctx.date_predicate())
 
 
-def monthly_base(star: Star, ctx: FilterContext, other_by: Sequence[str]) -> DataFrame:
+def monthly_base(star: Star, ctx: FilterContext, other_by: Sequence[str],
+                 days: DataFrame | None = None) -> DataFrame:
     """Fact joined to the filtered plant and type dimensions, summed to
     (other_by, DateKey): v (all), v_Internal, v_External.  The only pass
-    over the fact table."""
+    over the fact table.  ``days`` (DateKey rows, bounded by the calendar)
+    restricts the fact first; on a fact partitioned by DateKey this prunes
+    partitions."""
     f = star.fact
+    if days is not None:
+        f = f.join(F.broadcast(days.select("DateKey").distinct()), "DateKey", "left_semi")
     plants = star.dim_plant
     if ctx.plants is not None:
         plants = plants.filter(F.col("PlantCode").isin(list(ctx.plants)))
@@ -112,16 +121,14 @@ def date_roles(star: Star, ctx: FilterContext, date_by: Sequence[str]) -> DataFr
     Bounded by three times the calendar, whatever the size of the fact.
     """
     vis = visible_dates(star, ctx)
-    cal = star.dim_date.select(F.col("DateKey").alias("_dk"), F.col("Date").alias("_d"))
     dby = [F.col(c) for c in date_by]
+    # shifted days are keyed arithmetically; a day missing from the
+    # calendar has no facts, so it simply contributes nothing
     cur = vis.select("DateKey", F.lit("cur").alias("Role"), F.col("Date").alias("Anchor"), *dby)
-    py = (vis.select(F.add_months("Date", -12).alias("_p"), *dby)
-          .join(cal, F.col("_p") == F.col("_d"))
-          .select(F.col("_dk").alias("DateKey"), F.lit("py").alias("Role"),
-                  F.lit(None).cast("date").alias("Anchor"), *dby).distinct())
-    prev = (vis.select(F.col("Date").alias("Anchor"), F.add_months("Date", -1).alias("_p"), *dby)
-            .join(cal, F.col("_p") == F.col("_d"))
-            .select(F.col("_dk").alias("DateKey"), F.lit("prev").alias("Role"), "Anchor", *dby))
+    py = (vis.select(date_key(F.add_months("Date", -12)).alias("DateKey"), F.lit("py").alias("Role"),
+                     F.lit(None).cast("date").alias("Anchor"), *dby).distinct())
+    prev = vis.select(date_key(F.add_months("Date", -1)).alias("DateKey"), F.lit("prev").alias("Role"),
+                      F.col("Date").alias("Anchor"), *dby)
     return cur.unionByName(py).unionByName(prev)
 
 
@@ -135,8 +142,9 @@ def measure_frame(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ())
     """
     other_by, date_by = _split_by(by)
     keys = list(other_by) + list(date_by)
+    roles = date_roles(star, ctx, date_by)
     base = monthly_base(star, ctx, other_by)
-    j = base.join(F.broadcast(date_roles(star, ctx, date_by)), "DateKey")
+    j = base.join(F.broadcast(roles), "DateKey")
     role = F.col("Role")
     per_anchor = j.groupBy(*keys, "Anchor").agg(
         *[F.sum(F.when(role == "cur", F.col(f"v_{n}"))).alias(f"cur_{n}") for n, _ in SPLITS],
@@ -185,8 +193,8 @@ def year_over_year(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ())
 def totals(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ()) -> DataFrame:
     """M1..M3 only (no shifted dates needed)."""
     other_by, date_by = _split_by(by)
-    base = monthly_base(star, ctx, other_by)
     vis = visible_dates(star, ctx)
+    base = monthly_base(star, ctx, other_by)
     return _sum_values(base.join(F.broadcast(vis.select("DateKey", *date_by)), "DateKey"),
                        list(other_by) + list(date_by))
 

@@ -44,11 +44,15 @@ def load_bronze_sources(wh: W.Warehouse, frames: Mapping[int, DataFrame],
 
 
 def validate(wh: W.Warehouse, mapping: DataFrame, rules: DataFrame,
-             source_ids, now: datetime) -> DataFrame:
-    """Run all rules for the sources, append the rows, return them."""
+             source_ids, now: datetime, observed: dict | None = None) -> DataFrame:
+    """Run all rules for the sources, append the rows, return them (read
+    back from the log).  ``observed`` receives the counts seen while
+    appending (rows, failed_errors)."""
     now = now.replace(microsecond=0)
     rows = dq.run_validations(W.load_bronze(wh), mapping, rules, list(source_ids), now)
-    W.append_log(wh, rows)
+    seen = W.append_log(wh, rows)
+    if observed is not None:
+        observed.update(seen)
     stamp = F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
     return (W.load_log(wh).filter((F.col("RunTimestamp") == stamp)
                                   & F.col("SourceId").isin([int(s) for s in source_ids])))
@@ -85,8 +89,9 @@ def run(wh: W.Warehouse, frames: Mapping[int, DataFrame], key_map: DataFrame,
     before gold is touched."""
     now = now or utc_now()
     ids = load_bronze_sources(wh, frames, key_map)
-    log = validate(wh, mapping, rules, ids, now)
-    if use_gate:
-        dq.gate(log)
+    seen: dict = {}
+    log = validate(wh, mapping, rules, ids, now, seen)
+    if use_gate and seen.get("failed_errors"):
+        raise dq.ValidationFailed("Validation failed. See the validation log for this run.")
     version, star = load_gold(wh, mapping)
     return LoadResult(tuple(ids), log, version, star)

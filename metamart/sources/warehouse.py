@@ -30,6 +30,7 @@ from metamart.operators.gold import Star, contract_checks, enforce_contract
 
 LAYERS = ("bronze", "silver", "gold", "meta", "audit")
 GOLD_TABLES = ("dim_plant", "dim_incident_type", "dim_date", "fact")
+GOLD_PARTITIONS = {"fact": ("DateKey",)}
 META_SCHEMAS = {
     "source_registry": schemas.SOURCE_REGISTRY,
     "key_column_mapping": schemas.KEY_COLUMN_MAPPING,
@@ -129,10 +130,17 @@ def replace_sources(wh: Warehouse, parts: Mapping[int, DataFrame], parallelism:
 
 
 # -------------------------------------------------------------------- audit
-def append_log(wh: Warehouse, log_rows: DataFrame) -> None:
-    """Append validation rows (append-only history)."""
+def append_log(wh: Warehouse, log_rows: DataFrame) -> dict:
+    """Append validation rows (append-only history).  Returns what was
+    observed while writing: rows, and failed rows of severity Error (what
+    the gate needs, without reading the rows again)."""
     cols = [F.col(f.name).cast(f.dataType) for f in schemas.VALIDATION_LOG.fields]
-    log_rows.select(*cols).coalesce(1).write.mode("append").parquet(wh.log_path)
+    obs = Observation(f"log_{uuid.uuid4().hex[:8]}")
+    out = log_rows.select(*cols).observe(
+        obs, F.count(F.lit(1)).alias("rows"),
+        F.count_if(~F.col("Passed") & (F.col("Severity") == "Error")).alias("failed_errors"))
+    out.coalesce(1).write.mode("append").parquet(wh.log_path)
+    return dict(obs.get)
 
 
 def load_log(wh: Warehouse) -> DataFrame:
@@ -165,7 +173,12 @@ def write_gold_table(wh: Warehouse, version: str, table: str, df: DataFrame) ->
     obs = Observation(f"gold_{table}_{uuid.uuid4().hex[:8]}")
     out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *contract_checks(table))
-    out.write.mode("overwrite").parquet(_gold_path(wh, version, table))
+    writer = out.write.mode("overwrite")
+    if table in GOLD_PARTITIONS:
+        # the fact is partitioned by day key: measures filtered on dates
+        # prune whole directories (dynamic partition pruning on DateKey)
+        writer = writer.partitionBy(*GOLD_PARTITIONS[table])
+    writer.parquet(_gold_path(wh, version, table))
     return wh.spark.read.schema(schema).parquet(_gold_path(wh, version, table)), dict(obs.get)
 
 
