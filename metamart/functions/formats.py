@@ -22,16 +22,17 @@ def pct_one_decimal(x: Column) -> Column:
 
 
 def signed_pct(x: Column) -> Column:
-    """Mask '+0.0%;-0.0%;0.0%'."""
+    """Mask '+0.0%;-0.0%;0.0%' (a value that rounds to zero takes the third
+    section); blank stays blank."""
     r = F.round(x.cast("double") * F.lit(100.0), 1)
     return (F.when(r > 0, F.format_string("+%.1f%%", r))
             .when(r < 0, F.format_string("-%.1f%%", F.abs(r)))
-            .otherwise(F.lit("0.0%")))
+            .when(r == 0, F.lit("0.0%")))
 
 
 def arrow_number(x: Column) -> Column:
-    """Mask '▲ #,##0;▼ #,##0;0'."""
+    """Mask '▲ #,##0;▼ #,##0;0'; blank stays blank."""
     r = F.round(x.cast("double"), 0)
     return (F.when(r > 0, F.concat(F.lit("▲ "), F.format_number(r, 0)))
             .when(r < 0, F.concat(F.lit("▼ "), F.format_number(F.abs(r), 0)))
-            .otherwise(F.lit("0")))
+            .when(r == 0, F.lit("0")))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from metamart.functions.formats import arrow_number, signed_pct
 from metamart.operators import measures as M
 from metamart.operators.gold import Star
 
@@ -37,6 +38,12 @@ def kpi_cards(star: Star, ctx: M.FilterContext = M.ALL, by: Sequence[str] = ())
     """R4..R7: the four cards (total, Internal, External, latest month) with
     their labels, one row per group; the fact is read once."""
     mf = M.measure_frame(star, ctx, by)
+    mf = mf.withColumns({
+        **{f"{n}_Chg_Display": arrow_number(F.col(f"{n}_Chg")) for n in ("Incidents", "Internal", "External")},
+        **{f"{n}_Pct_Chg_Display": signed_pct(F.col(f"{n}_Pct_Chg")) for n in ("Incidents", "Internal", "External")},
+        "Latest_Month_Chg_Display": arrow_number(F.col("Latest_Month_Chg")),
+        "Pct_Latest_Month_Chg_Display": signed_pct(F.col("Pct_Latest_Month_Chg")),
+    })
     _, date_by = M._split_by(by)
     if not date_by:
         return M.selected_year_columns(star, ctx, (), onto=mf)

@@ -184,6 +184,26 @@ def _labels(year: str) -> str:
             f"'PY ' || CAST({year} - 1 AS VARCHAR) AS PY_Label")
 
 
+def _arrow(x: str) -> str:
+    r = f"round(CAST({x} AS DOUBLE))"
+    return (f"CASE WHEN {r} > 0 THEN '▲ ' || format('{{:,}}', CAST({r} AS BIGINT)) "
+            f"WHEN {r} < 0 THEN '▼ ' || format('{{:,}}', CAST(abs({r}) AS BIGINT)) WHEN {r} = 0 THEN '0' END")
+
+
+def _signed(x: str) -> str:
+    r = f"round(CAST({x} AS DOUBLE) * 100.0, 1)"
+    return (f"CASE WHEN {r} > 0 THEN printf('+%.1f%%', {r}) WHEN {r} < 0 THEN printf('-%.1f%%', abs({r})) "
+            f"WHEN {r} = 0 THEN '0.0%' END")
+
+
+def _display() -> str:
+    cols = [f"{_arrow(n + '_Chg')} AS {n}_Chg_Display" for n in ("Incidents", "Internal", "External")]
+    cols += [f"{_signed(n + '_Pct_Chg')} AS {n}_Pct_Chg_Display" for n in ("Incidents", "Internal", "External")]
+    cols += [f"{_arrow('Latest_Month_Chg')} AS Latest_Month_Chg_Display",
+             f"{_signed('Pct_Latest_Month_Chg')} AS Pct_Latest_Month_Chg_Display"]
+    return ", ".join(cols)
+
+
 _NOW = B.RUN_NOW.strftime("%Y-%m-%d %H:%M:%S")
 _NOW_ID = B.RUN_NOW.strftime("%Y-%m-%dT%H:%M:%S")
 
@@ -342,10 +362,11 @@ SELECT Year, Incidents_Chg,
        CASE WHEN Incidents_Pct_Chg >= 0 THEN 'worse' WHEN Incidents_Pct_Chg < 0 THEN 'better' END AS Pct_Status
 FROM ({_yoy_by_year()})""",
     "kpi_cards": f"""
+SELECT *, {_display()} FROM (
 SELECT {_yoy_cols('c', 'p')}, l.*, {_labels('1998')}
 FROM (SELECT {_SPLITS} FROM star WHERE {_Y98}) c,
      (SELECT {_SPLITS} FROM star WHERE Year = 1997) p,
-     ({_latest([], _Y98)}) l""",
+     ({_latest([], _Y98)}) l)""",
     "slicer_options": """
 SELECT DISTINCT 'Period' AS Slicer, Period AS Value FROM dim_date
 UNION ALL SELECT DISTINCT 'Classification', Classification FROM star

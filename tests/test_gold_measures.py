@@ -106,3 +106,12 @@ def test_dense_keys_match_row_number(spark):
     ref = df.withColumn("R", F.row_number().over(Window.orderBy("s")) + 10)
     assert got.join(ref, "s").filter(F.col("DenseKey") != F.col("R")).count() == 0
     assert got.count() == df.count()
+
+
+def test_display_masks(spark):
+    from metamart.functions.formats import arrow_number, signed_pct
+    df = spark.createDataFrame([(1234.0, 0.026), (-5.0, -0.1234), (0.0, 0.0004), (None, None), (0.4, -0.00049)],
+                               "c double, p double")
+    got = [(r.a, r.s) for r in df.select(arrow_number(F.col("c")).alias("a"),
+                                         signed_pct(F.col("p")).alias("s")).collect()]
+    assert got == [("▲ 1,234", "+2.6%"), ("▼ 5", "-12.3%"), ("0", "0.0%"), (None, None), ("0", "0.0%")]
