@@ -253,3 +253,18 @@ def register_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("Incidents "), F.col("s_name")).alias("SourceName"),
                     path.alias("FilePath"), F.lit("Sheet1").alias("SheetName"),
                     F.lit("Plant").alias("PlantColumn"), F.lit("Month").alias("MonthColumn"))
+
+
+def write_landing_files(wide: dict[int, DataFrame], folder: str) -> DataFrame:
+    """Write each wide source as a CSV landing folder (header in every part
+    file) and return the (SourceId, FilePath) rows that register them."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(item):
+        sid, df = item
+        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/source_{sid}")
+
+    with ThreadPoolExecutor(max_workers=max(1, len(wide))) as pool:
+        list(pool.map(one, wide.items()))
+    spark = next(iter(wide.values())).sparkSession
+    return spark.createDataFrame([(int(sid), f"source_{sid}") for sid in wide], "SourceId int, FilePath string")

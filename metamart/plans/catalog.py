@@ -27,6 +27,7 @@ Y1998 = M.FilterContext(years=(1998,))
 # ------------------------------------------------------------ shared frames
 _LOADS: dict[tuple[str, str], pipeline.LoadResult] = {}
 _WAREHOUSES: dict[tuple[str, str], W.Warehouse] = {}
+_LANDING: dict[tuple[str, str], DataFrame] = {}
 _LOCK = threading.Lock()
 
 
@@ -41,14 +42,24 @@ def loaded(spark: SparkSession, d: str) -> tuple[W.Warehouse, pipeline.LoadResul
             tag = hashlib.sha1(key[1].encode()).hexdigest()[:12]
             root = f"{ensure_checkpoint_dir(spark)}/metamart-{key[0]}/{tag}-{uuid.uuid4().hex[:6]}"
             wh = W.Warehouse(spark, root)
+            # the binding's sources land as CSV files, as spreadsheets would
+            registered = B.write_landing_files(B.wide_sources(spark, d, materialize=True), wh.path("landing"))
             # the binding's source 2 fails an Error rule on purpose: gold is
             # built without the gate here; the gate is tested on its own
-            _LOADS[key] = pipeline.run(wh, B.wide_sources(spark, d, materialize=True), B.key_map(spark),
-                                       B.mapping(spark), B.rules(spark), B.RUN_NOW, use_gate=False)
+            _LOADS[key] = pipeline.run_landing(wh, registered, B.key_map(spark), B.mapping(spark),
+                                               B.rules(spark), wh.path("landing"), B.RUN_NOW, use_gate=False)
             _WAREHOUSES[key] = wh
+            _LANDING[key] = registered
         return _WAREHOUSES[key], _LOADS[key]
 
 
+def bronze_landing(spark: SparkSession, d: str) -> DataFrame:
+    """The one-scan ingest of the binding's CSV landing files."""
+    wh, _ = loaded(spark, d)
+    key = (spark.sparkContext.applicationId, os.path.abspath(d))
+    return landing.ingest_landing(spark, _LANDING[key], B.key_map(spark), wh.path("landing"))
+
+
 def bronze_table(spark: SparkSession, d: str) -> DataFrame:
     return W.load_bronze(loaded(spark, d)[0])
 
@@ -236,6 +247,7 @@ def q_end_to_end(spark, d):
 QUERIES: dict[str, Query] = {
     "active_sources": q_active_sources,
     "bronze_unpivot": bronze,
+    "bronze_landing": bronze_landing,
     "bronze_replace": q_bronze_replace,
     "silver": silver,
     "unmapped_columns": q_unmapped,

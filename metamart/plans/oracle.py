@@ -285,6 +285,7 @@ FROM src_info i LEFT JOIN (SELECT SourceID, COUNT(*) AS n FROM (SELECT DISTINCT
                            GROUP BY SourceID) w ON w.SourceID = i.SourceId
 WHERE i.IsActive""",
     "bronze_unpivot": "SELECT * FROM bronze",
+    "bronze_landing": "SELECT * FROM bronze",
     "bronze_replace": "SELECT * FROM bronze WHERE SourceID <> 3",
     "silver": "SELECT * FROM silver",
     "unmapped_columns": """

@@ -81,6 +81,23 @@ def load_gold(wh: W.Warehouse, mapping: DataFrame, version: str | None = None) -
     return version, W.read_gold_version(wh, version)
 
 
+def run_landing(wh: W.Warehouse, sources: DataFrame, key_map: DataFrame, mapping: DataFrame,
+                rules: DataFrame, landing_root: str = "", now: datetime | None = None,
+                use_gate: bool = True) -> LoadResult:
+    """The scheduled load over registered CSV landing files: one scan of all
+    files, one bronze write (dynamic partition overwrite, empty files
+    emptied), then validation, gate and gold as in ``run``."""
+    now = now or utc_now()
+    ids = sorted(int(r["SourceId"]) for r in sources.select("SourceId").collect())
+    W.replace_sources_bulk(wh, landing.ingest_landing(wh.spark, sources, key_map, landing_root), ids)
+    seen: dict = {}
+    log = validate(wh, mapping, rules, ids, now, seen)
+    if use_gate and seen.get("failed_errors"):
+        raise dq.ValidationFailed("Validation failed. See the validation log for this run.")
+    version, star = load_gold(wh, mapping)
+    return LoadResult(tuple(ids), log, version, star)
+
+
 def run(wh: W.Warehouse, frames: Mapping[int, DataFrame], key_map: DataFrame,
         mapping: DataFrame, rules: DataFrame, now: datetime | None = None,
         use_gate: bool = True) -> LoadResult:

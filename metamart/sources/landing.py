@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metamart.operators.reshape import wide_to_bronze
+from metamart.functions.text import trim_header, trim_ws
+from metamart.operators.reshape import MissingHeaderError, dedupe_names, wide_to_bronze
 from metamart.schemas import BRONZE
 
 
@@ -75,3 +76,78 @@ def replace_rows(current: DataFrame, new: DataFrame, source_ids) -> DataFrame:
     ids = [int(s) for s in source_ids]
     keep = current.filter(~F.col("SourceID").isin(ids))
     return keep.unionByName(new.filter(F.col("SourceID").isin(ids)))
+
+
+# ---------------------------------------------------------------------------
+# One-job ingest of many CSV landing files (any headers, any number of files)
+# ---------------------------------------------------------------------------
+def _landing_uri_match(uri: str, path: str) -> bool:
+    """Does a scanned file URI belong to a registered path (a file, or a
+    folder of part files)?"""
+    from urllib.parse import unquote
+    u = unquote(uri)
+    p = path.replace("\\", "/").rstrip("/")
+    if "://" in p:
+        p = p.split("://", 1)[1]
+    p = p.lstrip("./")
+    return u.endswith("/" + p) or ("/" + p + "/") in u or u == p
+
+
+def ingest_landing(spark: SparkSession, sources: DataFrame, key_map: DataFrame,
+                   root: str = "") -> DataFrame:
+    """All registered CSV files as bronze rows in one lazy plan.
+
+    ``sources`` holds (SourceId, FilePath); paths are relative to ``root``.
+    Every file is read in one text scan.  Each file's first line is its
+    header: one line per file, read once and turned into a small per-file
+    table (header array, key positions) that is broadcast -- it is schema,
+    bounded by files x columns.  Cells are parsed positionally and exploded
+    against the file's headers, so files with different headers, header
+    languages or column counts need no per-file plan.  Same semantics as
+    ``ingest`` (null cells no row, headers trimmed and made unique, text
+    keys trimmed, half-even rounding).
+    """
+    srcs = [(int(r["SourceId"]), r["FilePath"]) for r in sources.select("SourceId", "FilePath").collect()]
+    if not srcs:
+        return empty_bronze(spark)
+    base = root.rstrip("/") + "/" if root else ""
+    paths = [base + p for _, p in srcs]
+    keys = key_meta_all(key_map, [s for s, _ in srcs])
+    lines = spark.read.text(paths).select(
+        F.input_file_name().alias("_file"), F.input_file_block_start().alias("_blk"),
+        F.monotonically_increasing_id().alias("_mid"), "value")
+    heads = (lines.filter(F.col("_blk") == 0).groupBy("_file")
+             .agg(F.min("_mid").alias("_hmid"), F.min_by("value", "_mid").alias("_header")).collect())
+    info, width = [], 1
+    for h in heads:
+        sid = next((s for s, p in srcs if _landing_uri_match(h["_file"], base + p)), None)
+        if sid is None:
+            continue
+        names = dedupe_names(next(csv.reader([h["_header"]])))
+        width = max(width, len(names))
+        pos = {}
+        for k in keys[sid]:
+            col = k["SourceColumn"] if k["SourceColumn"] in names else k["TargetColumn"]
+            if col not in names:
+                raise MissingHeaderError(f"key header {k['SourceColumn']!r} not in {h['_file']}")
+            pos[k["TargetColumn"]] = names.index(col) + 1
+        measures = [None if i + 1 in pos.values() else trim_header(n) for i, n in enumerate(names)]
+        info.append((h["_file"], sid, h["_hmid"], measures, pos.get("Plant"), pos.get("Month")))
+    if not info:
+        return empty_bronze(spark)
+    file_info = spark.createDataFrame(
+        info, "_file string, SourceID long, _hmid long, _heads array<string>, _pp int, _mp int")
+    schema = ", ".join(f"c{i} STRING" for i in range(width))
+    cells = F.array(*[F.col(f"_r.c{i}") for i in range(width)])
+    rows = (lines.join(F.broadcast(file_info), "_file")
+            .filter(F.col("_mid") != F.col("_hmid"))
+            .select("SourceID", "_heads", "_pp", "_mp", F.from_csv("value", schema).alias("_r"))
+            .select("SourceID", "_heads", "_pp", "_mp", cells.alias("_cells")))
+    cell = F.element_at("_cells", F.col("_i") + 1)
+    return (rows.select("SourceID", "_pp", "_mp", "_cells", F.posexplode("_heads").alias("_i", "_h"))
+            .filter(F.col("_h").isNotNull() & cell.isNotNull())
+            .select(F.col("SourceID").cast("bigint").alias("SourceID"),
+                    trim_ws(F.element_at("_cells", F.col("_pp")).cast("string")).alias("Plant"),
+                    F.element_at("_cells", F.col("_mp")).cast("date").alias("Month"),
+                    F.col("_h").alias("SourceColumn"),
+                    F.bround(cell.cast("double"), 0).cast("bigint").alias("Value")))

@@ -130,6 +130,27 @@ def replace_sources(wh: Warehouse, parts: Mapping[int, DataFrame], parallelism:
             f.result()
 
 
+def replace_sources_bulk(wh: Warehouse, bronze_rows: DataFrame, source_ids) -> list[int]:
+    """A8 for many sources in one job: dynamic partition overwrite replaces
+    the partitions of the sources that produced rows; the set of those
+    sources is observed while writing, and the partitions of requested
+    sources without rows are then emptied (an empty file must leave zero
+    rows).  Returns the ids that were emptied."""
+    ids = sorted({int(s) for s in source_ids})
+    obs = Observation(f"bronze_{uuid.uuid4().hex[:8]}")
+    cols = [F.col(f.name).cast(f.dataType) for f in schemas.BRONZE.fields]
+    out = (bronze_rows.select(*cols).filter(F.col("SourceID").isin(ids))
+           .observe(obs, F.collect_set("SourceID").alias("present")))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("SourceID").parquet(wh.bronze_path))
+    present = {int(x) for x in (obs.get.get("present") or [])}
+    emptied = [s for s in ids if s not in present]
+    empty = wh.spark.createDataFrame([], schemas.BRONZE)
+    for sid in emptied:
+        _write_partition(wh, sid, empty)
+    return emptied
+
+
 # -------------------------------------------------------------------- audit
 def append_log(wh: Warehouse, log_rows: DataFrame) -> dict:
     """Append validation rows (append-only history).  Returns what was
