@@ -74,33 +74,53 @@ def visible_dates(star: Star, ctx: FilterContext) -> DataFrame:
     return star.dim_date.filter(ctx.date_predicate())
 
 
+def _fact_keys(other_by: Sequence[str]) -> list[str]:
+    """Group columns as seen on the fact side: plant names are attached
+    after aggregation, so the fact groups by PlantKey."""
+    out = []
+    for c in other_by:
+        k = "PlantKey" if c == "PlantCode" else c
+        if k not in out:
+            out.append(k)
+    return out
+
+
 def monthly_base(star: Star, ctx: FilterContext, other_by: Sequence[str],
                  days: DataFrame | None = None) -> DataFrame:
-    """Fact joined to the filtered plant and type dimensions, summed to
-    (other_by, DateKey): v (all), v_Internal, v_External.  The only pass
-    over the fact table.  ``days`` (DateKey rows, bounded by the calendar)
-    restricts the fact first; on a fact partitioned by DateKey this prunes
-    partitions."""
+    """Fact restricted by the plant and type filters and summed to
+    (other_by on the fact side, DateKey): v (all), v_Internal, v_External.
+    The only pass over the fact table.  Plants are matched by key (a semi
+    join on the filtered plant keys), never by name on the fact rows, so a
+    large plant dimension never has to meet the whole fact.  ``days``
+    (DateKey rows, bounded by the calendar) restricts the fact first."""
     f = star.fact
     if days is not None:
         f = f.join(F.broadcast(days.select("DateKey").distinct()), "DateKey", "left_semi")
-    plants = star.dim_plant
     if ctx.plants is not None:
-        plants = plants.filter(F.col("PlantCode").isin(list(ctx.plants)))
+        keys = star.dim_plant.filter(F.col("PlantCode").isin(list(ctx.plants))).select("PlantKey")
+        f = f.join(keys, "PlantKey", "left_semi")
     types = star.dim_incident_type
     if ctx.classes is not None:
         types = types.filter(F.col("Classification").isin(list(ctx.classes)))
-    need_plant = ctx.plants is not None or any(c in PLANT_COLS and c != "PlantKey" for c in other_by)
-    if need_plant:
-        f = f.join(plants.select(*PLANT_COLS), "PlantKey")
     f = f.join(F.broadcast(types.select(*TYPE_COLS)), "IncidentTypeKey")
     cls = F.col("Classification")
-    return (f.groupBy(*other_by, "DateKey")
+    return (f.groupBy(*_fact_keys(other_by), "DateKey")
             .agg(F.sum("Incidents").alias("v_Incidents"),
                  F.sum(F.when(cls == "Internal", F.col("Incidents"))).alias("v_Internal"),
                  F.sum(F.when(cls == "External", F.col("Incidents"))).alias("v_External")))
 
 
+def _with_plant_names(df: DataFrame, star: Star, by: Sequence[str]) -> DataFrame:
+    """Attach PlantCode to an aggregated result keyed by PlantKey (plants x
+    groups rows, not fact rows); keep the caller's column order."""
+    if "PlantCode" not in by:
+        return df
+    names = star.dim_plant.select("PlantKey", "PlantCode")
+    out = df.join(names, "PlantKey", "left")
+    rest = [c for c in df.columns if c not in by and c != "PlantKey"]
+    return out.select(*by, *rest)
+
+
 def _sum_values(df: DataFrame, keys: Sequence[str], suffix: str = "") -> DataFrame:
     aggs = [F.sum(f"v_{n}").alias(f"{n}{suffix}") for n, _ in SPLITS]
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
@@ -141,7 +161,7 @@ def measure_frame(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ())
     data together with its value and the previous month's value.
     """
     other_by, date_by = _split_by(by)
-    keys = list(other_by) + list(date_by)
+    keys = _fact_keys(other_by) + list(date_by)
     roles = date_roles(star, ctx, date_by)
     base = monthly_base(star, ctx, other_by)
     j = base.join(F.broadcast(roles), "DateKey")
@@ -171,7 +191,7 @@ def measure_frame(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ())
              blank_divide(lm_chg, F.col("_lm.Incidents_Previous_Month")).alias("Pct_Latest_Month_Chg"),
              label.alias("Latest_Month_Label"),
              F.concat(F.lit("LATEST MONTH • "), label).alias("Latest_Month_Label2")]
-    return g.select(*cols)
+    return _with_plant_names(g.select(*cols), star, list(by))
 
 
 YOY_COLUMNS = [f"{n}{s}" for n, _ in SPLITS for s in ("", "_PY", "_Chg", "_Pct_Chg")]
@@ -195,8 +215,9 @@ def totals(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ()) -> Data
     other_by, date_by = _split_by(by)
     vis = visible_dates(star, ctx)
     base = monthly_base(star, ctx, other_by)
-    return _sum_values(base.join(F.broadcast(vis.select("DateKey", *date_by)), "DateKey"),
-                       list(other_by) + list(date_by))
+    out = _sum_values(base.join(F.broadcast(vis.select("DateKey", *date_by)), "DateKey"),
+                      _fact_keys(other_by) + list(date_by))
+    return _with_plant_names(out, star, list(by))
 
 
 def latest_month(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ()) -> DataFrame:
