@@ -198,11 +198,13 @@ def write_gold_table(wh: Warehouse, version: str, table: str, df: DataFrame) ->
     if table in GOLD_PARTITIONS:
         # the fact is partitioned by day key: measures filtered on dates
         # prune whole directories (dynamic partition pruning on DateKey).
-        # Range-clustering on (DateKey, PlantKey) first gives each task a
-        # narrow key range -- few files per directory, a large month still
-        # spread over many tasks, and files sorted for row-group skipping.
-        out = out.repartitionByRange(*[F.col(c) for c in GOLD_CLUSTER[table]])
-        writer = out.write.mode("overwrite").partitionBy(*GOLD_PARTITIONS[table])
+        # REBALANCE by the partition key sends each day to few tasks (few
+        # files per directory); the adaptive planner splits a day that is
+        # too large and merges small ones -- no sampling pass over the
+        # input.  Files are sorted by plant for row-group skipping.
+        part = GOLD_PARTITIONS[table]
+        out = out.hint("rebalance", *part).sortWithinPartitions(*GOLD_CLUSTER[table])
+        writer = out.write.mode("overwrite").partitionBy(*part)
     else:
         writer = out.write.mode("overwrite")
     writer.parquet(_gold_path(wh, version, table))
