@@ -81,66 +81,123 @@ def replace_rows(current: DataFrame, new: DataFrame, source_ids) -> DataFrame:
 # ---------------------------------------------------------------------------
 # One-job ingest of many CSV landing files (any headers, any number of files)
 # ---------------------------------------------------------------------------
-def _landing_uri_match(uri: str, path: str) -> bool:
-    """Does a scanned file URI belong to a registered path (a file, or a
-    folder of part files)?"""
-    from urllib.parse import unquote
-    u = unquote(uri)
-    p = path.replace("\\", "/").rstrip("/")
-    if "://" in p:
-        p = p.split("://", 1)[1]
-    p = p.lstrip("./")
-    return u.endswith("/" + p) or ("/" + p + "/") in u or u == p
+_HEADER_SCHEMA = "Path string, File string, Header string"
+
+
+def _first_lines(batches):
+    """mapInPandas: for each registered path (a file or a folder of part
+    files) yield (Path, File, first line).  Only the bytes up to the first
+    newline of each file are read (pyarrow filesystems: local, HDFS, S3 ...).
+    """
+    import pandas as pd
+    import pyarrow.fs as pafs
+
+    def fs_for(path):
+        if "://" in path and not path.startswith("file:"):
+            scheme, rest = path.split("://", 1)
+            uri = ("s3://" + rest) if scheme in ("s3a", "s3n") else path
+            fs, rel = pafs.FileSystem.from_uri(uri)
+            return fs, rel, scheme
+        if path.startswith("file:"):
+            path = "/" + path[5:].lstrip("/")
+        return pafs.LocalFileSystem(), path, "file"
+
+    def key(rel, scheme):
+        # location without scheme and authority (object stores: bucket)
+        rel = rel.lstrip("/")
+        if scheme in ("s3", "s3a", "s3n", "gs", "gcs"):
+            rel = rel.split("/", 1)[1] if "/" in rel else ""
+        return "/" + rel
+
+    def first_line(fs, rel):
+        buf = b""
+        with fs.open_input_stream(rel) as f:
+            while b"\n" not in buf and len(buf) < (1 << 20):
+                chunk = f.read(65536)
+                if not chunk:
+                    break
+                buf += chunk
+        line = buf.split(b"\n", 1)[0].rstrip(b"\r")
+        return line.decode("utf-8-sig") if buf else None
+
+    for pdf in batches:
+        out = []
+        for path in pdf["Path"]:
+            fs, rel, scheme = fs_for(path)
+            info = fs.get_file_info(rel)
+            if info.type == pafs.FileType.Directory:
+                files = sorted(i.path for i in fs.get_file_info(pafs.FileSelector(rel, recursive=True))
+                               if i.type == pafs.FileType.File
+                               and not i.base_name.startswith(("_", ".")))
+            else:
+                files = [rel]
+            for f in files:
+                out.append((path, key(f, scheme), first_line(fs, f)))
+        yield pd.DataFrame(out, columns=["Path", "File", "Header"])
+
+
+def landing_headers(spark: SparkSession, paths: list[str]) -> list:
+    """First line of every file under the given paths, read by executors
+    (one small read per file, no scan of the data)."""
+    df = spark.createDataFrame([(p,) for p in paths], "Path string")
+    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
+    return df.repartition(n).mapInPandas(_first_lines, _HEADER_SCHEMA).collect()
 
 
 def ingest_landing(spark: SparkSession, sources: DataFrame, key_map: DataFrame,
                    root: str = "") -> DataFrame:
     """All registered CSV files as bronze rows in one lazy plan.
 
-    ``sources`` holds (SourceId, FilePath); paths are relative to ``root``.
-    Every file is read in one text scan.  Each file's first line is its
-    header: one line per file, read once and turned into a small per-file
-    table (header array, key positions) that is broadcast -- it is schema,
-    bounded by files x columns.  Cells are parsed positionally and exploded
-    against the file's headers, so files with different headers, header
-    languages or column counts need no per-file plan.  Same semantics as
-    ``ingest`` (null cells no row, headers trimmed and made unique, text
-    keys trimmed, half-even rounding).
+    ``sources`` holds (SourceId, FilePath); paths are relative to ``root``
+    (a path may be a folder of part files, each with its header line).
+    Headers are read first by executors, a few bytes per file, and become
+    a small per-file table (header array, key positions) that is broadcast:
+    it is schema, bounded by files x columns.  The data are then read in ONE
+    text scan of all files; header lines are dropped, cells are parsed
+    positionally and exploded against their file's headers, so files with
+    different headers, header languages or widths need no per-file plan.
+    Same semantics as ``ingest`` (null cells no row, headers trimmed and
+    made unique, text keys trimmed, half-even rounding).
     """
     srcs = [(int(r["SourceId"]), r["FilePath"]) for r in sources.select("SourceId", "FilePath").collect()]
     if not srcs:
         return empty_bronze(spark)
     base = root.rstrip("/") + "/" if root else ""
-    paths = [base + p for _, p in srcs]
+    by_path = {base + p: sid for sid, p in srcs}
     keys = key_meta_all(key_map, [s for s, _ in srcs])
-    lines = spark.read.text(paths).select(
-        F.input_file_name().alias("_file"), F.input_file_block_start().alias("_blk"),
-        F.monotonically_increasing_id().alias("_mid"), "value")
-    heads = (lines.filter(F.col("_blk") == 0).groupBy("_file")
-             .agg(F.min("_mid").alias("_hmid"), F.min_by("value", "_mid").alias("_header")).collect())
     info, width = [], 1
-    for h in heads:
-        sid = next((s for s, p in srcs if _landing_uri_match(h["_file"], base + p)), None)
-        if sid is None:
+    for h in landing_headers(spark, list(by_path)):
+        if h["Header"] is None:          # empty file: no header, no rows
             continue
-        names = dedupe_names(next(csv.reader([h["_header"]])))
+        sid = by_path[h["Path"]]
+        names = dedupe_names(next(csv.reader([h["Header"]])))
         width = max(width, len(names))
         pos = {}
         for k in keys[sid]:
             col = k["SourceColumn"] if k["SourceColumn"] in names else k["TargetColumn"]
             if col not in names:
-                raise MissingHeaderError(f"key header {k['SourceColumn']!r} not in {h['_file']}")
+                raise MissingHeaderError(f"key header {k['SourceColumn']!r} not in {h['File']}")
             pos[k["TargetColumn"]] = names.index(col) + 1
         measures = [None if i + 1 in pos.values() else trim_header(n) for i, n in enumerate(names)]
-        info.append((h["_file"], sid, h["_hmid"], measures, pos.get("Plant"), pos.get("Month")))
+        info.append((h["File"], sid, h["Header"], measures, pos.get("Plant"), pos.get("Month")))
     if not info:
         return empty_bronze(spark)
     file_info = spark.createDataFrame(
-        info, "_file string, SourceID long, _hmid long, _heads array<string>, _pp int, _mp int")
+        info, "_fk string, SourceID long, _header string, _heads array<string>, _pp int, _mp int")
+    # the same location key on the JVM side: the file URI without scheme
+    # and authority, percent-decoded (a literal '+' is kept)
+    uri = F.regexp_replace(F.input_file_name(), "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+    decoded = F.url_decode(F.regexp_replace(uri, "\\+", "%2B"))
+    lines = spark.read.text(list(by_path)).select(
+        F.concat(F.lit("/"), F.regexp_replace(decoded, "^/+", "")).alias("_fk"),
+        F.input_file_block_start().alias("_blk"), "value")
     schema = ", ".join(f"c{i} STRING" for i in range(width))
     cells = F.array(*[F.col(f"_r.c{i}") for i in range(width)])
-    rows = (lines.join(F.broadcast(file_info), "_file")
-            .filter(F.col("_mid") != F.col("_hmid"))
+    is_header = (F.col("_blk") == 0) & (F.col("value") == F.col("_header"))
+    rows = (lines.join(F.broadcast(file_info), "_fk", "left")
+            .withColumn("SourceID", F.when(F.col("SourceID").isNotNull(), F.col("SourceID"))
+                        .otherwise(F.raise_error(F.concat(F.lit("landing file not registered: "), F.col("_fk")))))
+            .filter(~is_header)
             .select("SourceID", "_heads", "_pp", "_mp", F.from_csv("value", schema).alias("_r"))
             .select("SourceID", "_heads", "_pp", "_mp", cells.alias("_cells")))
     cell = F.element_at("_cells", F.col("_i") + 1)

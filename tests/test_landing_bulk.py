@@ -56,3 +56,18 @@ def test_bulk_edge_cases_and_replace(spark, tmp_path, root):
     assert emptied == [3]
     per = {r.SourceID: r["count"] for r in W.load_bronze(wh).groupBy("SourceID").count().collect()}
     assert per == {1: 5, 2: 1}
+
+
+def test_bulk_odd_file_names_and_part_folders(spark, tmp_path):
+    d = tmp_path / "odd dir+x"
+    os.makedirs(d / "folder")
+    write_csv(d / "a+b c%.csv", ["Plant", "Month", "Q"], [["P", "2020-01-01", "1"]])
+    write_csv(d / "folder" / "part-0.csv", ["Plant", "Month", "Q"], [["P", "2020-02-01", "2"]])
+    write_csv(d / "folder" / "part-1.csv", ["Plant", "Month", "R"], [["P", "2020-03-01", "3"]])
+    (d / "folder" / "_SUCCESS").write_text("")
+    keys = spark.createDataFrame([(s, c, c, t) for s in (1, 2) for c, t in (("Plant", "text"), ("Month", "date"))],
+                                 schemas.KEY_COLUMN_MAPPING)
+    sources = spark.createDataFrame([(1, "a+b c%.csv"), (2, "folder")], "SourceId int, FilePath string")
+    got = sorted((r.SourceID, r.SourceColumn, r.Value)
+                 for r in landing.ingest_landing(spark, sources, keys, str(d)).collect())
+    assert got == [(1, "Q", 1), (2, "Q", 2), (2, "R", 3)]
