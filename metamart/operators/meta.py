@@ -60,14 +60,20 @@ def register_sources(registry: DataFrame, key_map: DataFrame, requests: DataFram
            .select("RequestId", "SourceName", "FilePath", "SheetName", "PlantColumn", "MonthColumn",
                    status.alias("Status"),
                    F.when(status == "registered", F.col("NewId").cast("int")).alias("SourceId")))
-    accepted = res.filter(F.col("Status") == "registered")
+    return registration_rows(res)
+
+
+def registration_rows(result: DataFrame) -> Registration:
+    """Registry rows and the two key rows (Plant text, Month date) of every
+    request whose Status is 'registered'."""
+    accepted = result.filter(F.col("Status") == "registered")
     reg = accepted.select("SourceId", "SourceName", "FilePath", "SheetName", F.lit(True).alias("IsActive"))
     keys = accepted.select("SourceId", F.explode(F.array(
         F.struct(F.col("PlantColumn").alias("SourceColumn"), F.lit("Plant").alias("TargetColumn"),
                  F.lit("text").alias("DataType")),
         F.struct(F.col("MonthColumn").alias("SourceColumn"), F.lit("Month").alias("TargetColumn"),
                  F.lit("date").alias("DataType")))).alias("k")).select("SourceId", "k.*")
-    return Registration(res, reg, keys)
+    return Registration(result, reg, keys)
 
 
 def latest_proposals(proposals: DataFrame) -> DataFrame:
