@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # size shuffle partitions by bytes, not by core count (fewer tiny tasks
+    # on a busy cluster; large stages still split at the advisory size)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
