@@ -136,9 +136,38 @@ def _first_lines(batches):
         yield pd.DataFrame(out, columns=["Path", "File", "Header"])
 
 
+def _pyarrow_can_open(path: str) -> bool:
+    try:
+        import pyarrow.fs as pafs
+        if "://" in path and not path.startswith("file:"):
+            scheme, rest = path.split("://", 1)
+            pafs.FileSystem.from_uri(("s3://" + rest) if scheme in ("s3a", "s3n") else path)
+        return True
+    except Exception:  # noqa: BLE001 - unknown scheme, missing client library
+        return False
+
+
+def _headers_by_scan(spark: SparkSession, paths: list[str]) -> list:
+    """Fallback for filesystems pyarrow cannot open: the first line of each
+    file from a Spark text scan (reads the files once more; correct on any
+    filesystem Spark can read)."""
+    uri = F.regexp_replace(F.input_file_name(), "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+    key = F.concat(F.lit("/"), F.regexp_replace(F.url_decode(F.regexp_replace(uri, "\\+", "%2B")), "^/+", ""))
+    rows = []
+    for p in paths:      # one scan per registered path keeps the Path of each file
+        lines = spark.read.text(p).select(key.alias("File"), F.input_file_block_start().alias("_blk"),
+                                          F.monotonically_increasing_id().alias("_mid"), "value")
+        for r in (lines.filter(F.col("_blk") == 0).groupBy("File")
+                  .agg(F.min_by("value", "_mid").alias("Header")).collect()):
+            rows.append({"Path": p, "File": r["File"], "Header": r["Header"]})
+    return rows
+
+
 def landing_headers(spark: SparkSession, paths: list[str]) -> list:
     """First line of every file under the given paths, read by executors
     (one small read per file, no scan of the data)."""
+    if not all(_pyarrow_can_open(p) for p in paths):
+        return _headers_by_scan(spark, paths)
     df = spark.createDataFrame([(p,) for p in paths], "Path string")
     n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
     return df.repartition(n).mapInPandas(_first_lines, _HEADER_SCHEMA).collect()

@@ -71,3 +71,14 @@ def test_bulk_odd_file_names_and_part_folders(spark, tmp_path):
     got = sorted((r.SourceID, r.SourceColumn, r.Value)
                  for r in landing.ingest_landing(spark, sources, keys, str(d)).collect())
     assert got == [(1, "Q", 1), (2, "Q", 2), (2, "R", 3)]
+
+
+def test_header_fallback_matches_executor_reads(spark, tmp_path):
+    d = tmp_path / "h"
+    os.makedirs(d / "folder")
+    write_csv(d / "a b.csv", ["Plant", "Month", "Q"], [["P", "2020-01-01", "1"]])
+    write_csv(d / "folder" / "part-0.csv", ["Plant", "Month", "R"], [["P", "2020-02-01", "2"]])
+    paths = [str(d / "a b.csv"), str(d / "folder")]
+    fast = sorted((r["Path"], r["File"], r["Header"]) for r in landing.landing_headers(spark, paths))
+    slow = sorted((r["Path"], r["File"], r["Header"]) for r in landing._headers_by_scan(spark, paths))
+    assert fast == slow and len(fast) == 2
