@@ -74,7 +74,9 @@ def silver(spark: SparkSession, d: str) -> DataFrame:
 
 
 def star(spark: SparkSession, d: str) -> gold.Star:
-    return W.load_star(loaded(spark, d)[0])
+    """The gold version this session published (resolved once, at load)."""
+    wh, result = loaded(spark, d)
+    return W.read_gold_version(wh, result.version)
 
 
 def validation_log(spark: SparkSession, d: str) -> DataFrame:
