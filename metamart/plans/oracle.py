@@ -374,8 +374,8 @@ UNION ALL SELECT DISTINCT 'Classification', Classification FROM star
 UNION ALL SELECT DISTINCT 'Plant', PlantCode FROM star WHERE PlantCode IS NOT NULL""",
     "end_to_end_totals": """
 SELECT 'bronze' AS Stage, CAST(COUNT(*) AS BIGINT) AS Rows, CAST(SUM(Value) AS BIGINT) AS ValueSum FROM bronze
-UNION ALL SELECT 'silver', COUNT(*), SUM(Incidents) FROM silver
-UNION ALL SELECT 'fact', COUNT(*), SUM(Incidents) FROM fact""",
+UNION ALL SELECT 'silver', COUNT(*), CAST(SUM(Incidents) AS BIGINT) FROM silver
+UNION ALL SELECT 'fact', COUNT(*), CAST(SUM(Incidents) AS BIGINT) FROM fact""",
 }
 
 
