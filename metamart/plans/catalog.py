@@ -143,6 +143,10 @@ def q_latest_run(spark, d):
     return dq.latest_run(B.validation_history(spark, d))
 
 
+def q_latest_run_per_source(spark, d):
+    return dq.latest_run_per_source(B.validation_history(spark, d))
+
+
 def q_log_report(spark, d):
     return dq.log_report(B.validation_history(spark, d))
 
@@ -261,6 +265,7 @@ QUERIES: dict[str, Query] = {
     "validation_log": validation_log,
     "failed_rules": q_failed_rules,
     "latest_run": q_latest_run,
+    "latest_run_per_source": q_latest_run_per_source,
     "log_report": q_log_report,
     "rule_history": q_rule_history,
     "dim_plant": lambda s, d: star(s, d).dim_plant,

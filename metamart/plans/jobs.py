@@ -76,6 +76,17 @@ def approve(wh: W.Warehouse, source_ids: Sequence[int] | None = None,
     return new
 
 
+def set_active(wh: W.Warehouse, source_ids: Sequence[int], flag: bool) -> None:
+    """H5: (de)activate sources.  Inactive sources are not reloaded, but
+    their bronze rows stay visible."""
+    W.save_meta(wh, "source_registry", meta.set_active(W.load_meta(wh, "source_registry"), source_ids, flag))
+
+
+def change_mappings(wh: W.Warehouse, changes: DataFrame) -> None:
+    """H4: apply a change table (insert / activate / deactivate / delete)."""
+    W.save_meta(wh, "column_mapping", meta.apply_mapping_changes(W.load_meta(wh, "column_mapping"), changes))
+
+
 def reload_gold(wh: W.Warehouse) -> tuple[str, object]:
     """Rebuild and publish gold from bronze and the current mappings."""
     return pipeline.load_gold(wh, W.load_meta(wh, "column_mapping"))

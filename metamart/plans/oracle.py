@@ -310,6 +310,9 @@ SELECT CAST(COUNT(*) FILTER (WHERE NOT Passed) AS BIGINT) AS FailedRules,
          AS FailedRulesLatestRun
 FROM hist""",
     "latest_run": "SELECT * FROM hist WHERE RunTimestamp = (SELECT MAX(RunTimestamp) FROM hist)",
+    "latest_run_per_source": """
+SELECT h.* FROM hist h
+WHERE h.RunTimestamp = (SELECT MAX(x.RunTimestamp) FROM hist x WHERE x.SourceId = h.SourceId)""",
     "log_report": _LOG_REPORT,
     "rule_history": "SELECT * FROM hist WHERE RuleName = 'error'",
     "dim_plant": "SELECT * FROM dim_plant",

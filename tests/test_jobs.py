@@ -48,3 +48,14 @@ def test_jobs_register_load_propose_approve(spark, tmp_path, root):
     assert star.fact.count() == 72 and W.current_version(wh) == version
     again = jobs.load(wh, str(land), datetime(2024, 5, 1, 10))
     assert again.log.filter(~F.col("Passed")).count() == 0
+    # an inactive source is not reloaded, but its rows stay visible
+    jobs.set_active(wh, [2], False)
+    landing_file(land / "s2.csv", 2, ["W", "V"], 2021)          # would add rows if reloaded
+    third = jobs.load(wh, str(land), datetime(2024, 5, 1, 11))
+    assert third.source_ids == (1,)
+    assert third.star.fact.count() == 72
+    changes = spark.createDataFrame([(1, "deactivate", None, None, None, None)],
+                                    "MappingId int, Action string, SourceId int, SourceColumn string, "
+                                    "Classification string, CodeGroup string")
+    jobs.change_mappings(wh, changes)
+    assert jobs.reload_gold(wh)[1].fact.count() == 48
