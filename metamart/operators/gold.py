@@ -13,8 +13,10 @@ from metamart.functions.text import type_label
 from metamart.operators.keys import dense_keys
 from metamart.operators.silver import active_mapping
 
-# A dimension is broadcast into the fact join only below this many rows.
-BROADCAST_ROWS = 2_000_000
+# The plant dimension is broadcast into the fact join only up to this many
+# rows (about 50 MB as a hash relation); session setting to override it.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS_CONF = "metamart.gold.broadcastPlantRows"
 
 
 class ContractViolation(RuntimeError):
@@ -106,7 +108,8 @@ def fact(silver: DataFrame, dp: DataFrame, dd: DataFrame, dt: DataFrame,
     otherwise the adaptive planner chooses (shuffle join beyond its limit).
     """
     plants = dp.select("PlantKey", F.col("PlantCode").alias("Plant"))
-    if plant_rows is not None and plant_rows <= BROADCAST_ROWS:
+    limit = int(dp.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_ROWS)))
+    if plant_rows is not None and plant_rows <= limit:
         plants = F.broadcast(plants)
     dates = F.broadcast(dd.select("DateKey", F.col("Date").alias("Month")))
     types = F.broadcast(dt.select("IncidentTypeKey", "Classification", "CodeGroup"))
