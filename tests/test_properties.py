@@ -73,3 +73,15 @@ def test_dense_keys_equal_row_number(spark, keys, parts):
     got = {r.s: r.DenseKey for r in dense_keys(df, [F.col("s")], key="DenseKey").collect()}
     ref = {r.s: r.R for r in df.withColumn("R", F.row_number().over(Window.orderBy("s"))).collect()}
     assert got == ref
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from([None, "A", "B"]), st.sampled_from([None, 1, 2]),
+                               st.sampled_from(["Internal", "External", None]), st.sampled_from(["01", None])),
+                     max_size=25))
+def test_two_phase_duplicate_check_is_exact(spark, rows):
+    from metamart.operators import dq
+    s = spark.createDataFrame([(p, date(2020, m, 1) if m else None, c, g, 1) for p, m, c, g in rows],
+                              "Plant string, Month date, Classification string, CodeGroup string, Incidents bigint")
+    expected = s.groupBy(*dq.GRAIN).count().filter("count > 1").count()
+    assert dq.duplicate_grain(s).first().Dupes == expected
