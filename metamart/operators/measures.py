@@ -66,10 +66,6 @@ def _split_by(by: Sequence[str]) -> tuple[list[str], list[str]]:
     return other, date_by
 
 
-def _has_dates(ctx: FilterContext) -> bool:
-    return any(v is not None for v in (ctx.years, ctx.periods, ctx.months, ctx.dates))
-
-
 def visible_dates(star: Star, ctx: FilterContext) -> DataFrame:
     return star.dim_date.filter(ctx.date_predicate())
 
@@ -85,17 +81,15 @@ def _fact_keys(other_by: Sequence[str]) -> list[str]:
     return out
 
 
-def monthly_base(star: Star, ctx: FilterContext, other_by: Sequence[str],
-                 days: DataFrame | None = None) -> DataFrame:
+def monthly_base(star: Star, ctx: FilterContext, other_by: Sequence[str]) -> DataFrame:
     """Fact restricted by the plant and type filters and summed to
     (other_by on the fact side, DateKey): v (all), v_Internal, v_External.
     The only pass over the fact table.  Plants are matched by key (a semi
     join on the filtered plant keys), never by name on the fact rows, so a
-    large plant dimension never has to meet the whole fact.  ``days``
-    (DateKey rows, bounded by the calendar) restricts the fact first."""
+    large plant dimension never has to meet the whole fact.  The later join
+    to the visible days is on DateKey, the fact's partition column, so the
+    optimizer prunes fact partitions at run time."""
     f = star.fact
-    if days is not None:
-        f = f.join(F.broadcast(days.select("DateKey").distinct()), "DateKey", "left_semi")
     if ctx.plants is not None:
         keys = star.dim_plant.filter(F.col("PlantCode").isin(list(ctx.plants))).select("PlantKey")
         f = f.join(keys, "PlantKey", "left_semi")
