@@ -2,6 +2,7 @@
 registered query; print one JSON line.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+     BENCH_EVENT_LOG_DIR (optional: write the Spark event log there),
      BENCH_QUERIES (comma-separated subset, optional).
 Each query is fully evaluated with the ``noop`` sink (nothing is collected
 to the driver).
@@ -25,8 +26,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = get_spark(f"local[{cpus}]", app="metamart-bench", shuffle_partitions=cpus,
-                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):        # stage/task times, read offline
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = get_spark(f"local[{cpus}]", app="metamart-bench", shuffle_partitions=cpus, extra=extra)
     times: dict[str, float] = {}
 
     t0 = time.perf_counter()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from metamart.functions.text import trim_header, trim_ws
 from metamart.operators.reshape import MissingHeaderError, dedupe_names, wide_to_bronze
 from metamart.schemas import BRONZE
+from metamart.sources.literal import local_frame
 
 
 def active_sources(registry: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def ingest(frames: Mapping[int, DataFrame], key_map: DataFrame) -> DataFrame:
 
 
 def empty_bronze(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], BRONZE)
+    return local_frame(spark, [], BRONZE)
 
 
 def replace_rows(current: DataFrame, new: DataFrame, source_ids) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.errors import AnalysisException
 
 from metamart import schemas
 from metamart.operators.gold import Star, contract_checks, enforce_contract
+from metamart.sources.literal import local_frame
 
 LAYERS = ("bronze", "silver", "gold", "meta", "audit")
 GOLD_TABLES = ("dim_plant", "dim_incident_type", "dim_date", "fact")
@@ -75,7 +76,7 @@ def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return local_frame(spark, [], schema)
 
 
 # --------------------------------------------------------------------- meta
@@ -104,7 +105,7 @@ def load_bronze(wh: Warehouse) -> DataFrame:
         return (wh.spark.read.schema(schemas.BRONZE).option("basePath", wh.bronze_path)
                 .parquet(wh.bronze_path))
     except AnalysisException:
-        return wh.spark.createDataFrame([], schemas.BRONZE)
+        return local_frame(wh.spark, [], schemas.BRONZE)
 
 
 def _write_partition(wh: Warehouse, source_id: int, df: DataFrame) -> None:
@@ -145,7 +146,7 @@ def replace_sources_bulk(wh: Warehouse, bronze_rows: DataFrame, source_ids) -> l
      .partitionBy("SourceID").parquet(wh.bronze_path))
     present = {int(x) for x in (obs.get.get("present") or [])}
     emptied = [s for s in ids if s not in present]
-    empty = wh.spark.createDataFrame([], schemas.BRONZE)
+    empty = local_frame(wh.spark, [], schemas.BRONZE)
     for sid in emptied:
         _write_partition(wh, sid, empty)
     return emptied
