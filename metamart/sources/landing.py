@@ -169,9 +169,10 @@ def landing_headers(spark: SparkSession, paths: list[str]) -> list:
     (one small read per file, no scan of the data)."""
     if not all(_pyarrow_can_open(p) for p in paths):
         return _headers_by_scan(spark, paths)
+    # the path list is spread over the default parallelism: one small read
+    # per file, no shuffle
     df = spark.createDataFrame([(p,) for p in paths], "Path string")
-    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
-    return df.repartition(n).mapInPandas(_first_lines, _HEADER_SCHEMA).collect()
+    return df.mapInPandas(_first_lines, _HEADER_SCHEMA).collect()
 
 
 def ingest_landing(spark: SparkSession, sources: DataFrame, key_map: DataFrame,
