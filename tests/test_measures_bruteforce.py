@@ -1,0 +1,79 @@
+"""Measures against a brute-force evaluation of their definitions on random
+small stars (the definitions read day by day, no Spark)."""
+
+import calendar
+from datetime import date, timedelta
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+from metamart.operators import gold, measures as M
+from tests.helpers import mapping
+
+SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+MAP = [(1, 1, "a", "Internal", "01", True), (2, 1, "b", "External", "01", True),
+       (3, 1, "c", "Other", "01", True)]
+
+
+def add_months(d: date, n: int) -> date:
+    m = d.month - 1 + n
+    y, m = d.year + m // 12, m % 12 + 1
+    return date(y, m, min(d.day, calendar.monthrange(y, m)[1]))
+
+
+def calendar_days(facts):
+    years = sorted({f[1].year for f in facts})
+    days = set()
+    for y in years:
+        d = date(y, 1, 1)
+        while d.year == y:
+            days.add(d)
+            d += timedelta(days=1)
+    return days
+
+
+def brute(facts, years=None, cls=None, months=None):
+    """{plant: (cur, py, latest, at_latest, prev)} for the visible days."""
+    cal = calendar_days(facts)
+    vis = {d for d in cal if (years is None or d.year in years)
+           and (months is None or d.strftime("%b") in months)}
+    rows = [f for f in facts if cls is None or f[2] == cls]
+    out = {}
+    for p in sorted({f[0] for f in facts}):
+        mine = [f for f in rows if f[0] == p]
+        by_day = {}
+        for _, d, _, v in mine:
+            by_day[d] = by_day.get(d, 0) + v
+        cur = [v for d, v in by_day.items() if d in vis]
+        prior_days = {add_months(v, -12) for v in vis} & cal
+        py = [v for d, v in by_day.items() if d in prior_days]
+        with_data = [d for d in vis if d in by_day]
+        latest = max(with_data) if with_data else None
+        out[p] = (sum(cur) if cur else None, sum(py) if py else None, latest,
+                  by_day.get(latest) if latest else None,
+                  by_day.get(add_months(latest, -1)) if latest else None)
+    return out
+
+
+fact_rows = st.lists(st.tuples(st.sampled_from(["P1", "P2", "P3"]), st.sampled_from([2019, 2020, 2022]),
+                               st.integers(1, 12), st.sampled_from(["Internal", "External", "Other"]),
+                               st.integers(0, 40)),
+                     min_size=1, max_size=30, unique_by=lambda r: (r[0], r[1], r[2], r[3]))
+
+
+@SETTINGS
+@given(rows=fact_rows, year=st.sampled_from([None, 2020, 2022]), cls=st.sampled_from([None, "Internal"]),
+       month=st.sampled_from([None, "Jan", "Mar"]))
+def test_measures_match_definitions(spark, rows, year, cls, month):
+    facts = [(p, date(y, m, 1), c, v) for p, y, m, c, v in rows]
+    s = spark.createDataFrame([(p, d, c, "01", v) for p, d, c, v in facts],
+                              "Plant string, Month date, Classification string, CodeGroup string, Incidents bigint")
+    star = gold.build_star(s, mapping(spark, MAP))
+    ctx = M.FilterContext(years=(year,) if year else None, classes=(cls,) if cls else None,
+                          months=(month,) if month else None)
+    got = {r.PlantCode: (r.Incidents, r.Incidents_PY, r.LatestMonth, r.Incidents_Latest_Month,
+                         r.Incidents_Previous_Month)
+           for r in M.measure_frame(star, ctx, by=["PlantCode"]).collect()}
+    got = {p: v for p, v in got.items() if any(x is not None for x in v)}
+    want = {p: v for p, v in brute(facts, {year} if year else None, cls, {month} if month else None).items()
+            if any(x is not None for x in v)}
+    assert got == want
