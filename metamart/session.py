@@ -17,6 +17,8 @@ DEFAULTS = {
     # size shuffle partitions by bytes, not by core count (fewer tiny tasks
     # on a busy cluster; large stages still split at the advisory size)
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # checkpoint files of a run are removed once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
