@@ -43,13 +43,16 @@ def register(wh: W.Warehouse, requests: DataFrame) -> DataFrame:
     return result
 
 
+KEEP_VERSIONS = 2     # the current gold version and the one before it
+
+
 def load(wh: W.Warehouse, landing_root: str = "", now: datetime | None = None,
          use_gate: bool = True) -> pipeline.LoadResult:
     """Reload every active source from its landing file, validate, gate, gold."""
     sources = landing.active_sources(W.load_meta(wh, "source_registry")).select("SourceId", "FilePath")
     return pipeline.run_landing(wh, sources, W.load_meta(wh, "key_column_mapping"),
                                 W.load_meta(wh, "column_mapping"), W.load_meta(wh, "dq_rules"),
-                                landing_root, now, use_gate)
+                                landing_root, now, use_gate, KEEP_VERSIONS)
 
 
 def propose(wh: W.Warehouse, responses: DataFrame, now: datetime | None = None) -> DataFrame:
@@ -89,4 +92,4 @@ def change_mappings(wh: W.Warehouse, changes: DataFrame) -> None:
 
 def reload_gold(wh: W.Warehouse) -> tuple[str, object]:
     """Rebuild and publish gold from bronze and the current mappings."""
-    return pipeline.load_gold(wh, W.load_meta(wh, "column_mapping"))
+    return pipeline.load_gold(wh, W.load_meta(wh, "column_mapping"), keep_versions=KEEP_VERSIONS)

@@ -58,10 +58,12 @@ def validate(wh: W.Warehouse, mapping: DataFrame, rules: DataFrame,
                                   & F.col("SourceId").isin([int(s) for s in source_ids])))
 
 
-def load_gold(wh: W.Warehouse, mapping: DataFrame, version: str | None = None) -> tuple[str, gold.Star]:
+def load_gold(wh: W.Warehouse, mapping: DataFrame, version: str | None = None,
+              keep_versions: int | None = None) -> tuple[str, gold.Star]:
     """Build the star from silver, write it as a new version, check the
     contract on what was written (observed during the writes), then publish
-    (last step).  On any failure the previous version stays current."""
+    (last step).  On any failure the previous version stays current.  With
+    ``keep_versions`` older version folders are deleted after publishing."""
     version = version or f"{utc_now().strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
     s = silver_view(W.load_bronze(wh), mapping)
     # plants x years: small, feeds both dimensions; materialised once
@@ -78,23 +80,25 @@ def load_gold(wh: W.Warehouse, mapping: DataFrame, version: str | None = None) -
     f, metrics = W.write_gold_table(wh, version, "fact", gold.fact(s, dp, dd, dt, plant_rows))
     gold.raise_on_violations("fact", metrics)
     W.mark_published(wh, version)
+    if keep_versions:
+        W.prune_gold_versions(wh, keep_versions)
     return version, W.read_gold_version(wh, version)
 
 
 def run_landing(wh: W.Warehouse, sources: DataFrame, key_map: DataFrame, mapping: DataFrame,
                 rules: DataFrame, landing_root: str = "", now: datetime | None = None,
-                use_gate: bool = True) -> LoadResult:
+                use_gate: bool = True, keep_versions: int | None = None) -> LoadResult:
     """The scheduled load over registered CSV landing files: one scan of all
     files, one bronze write (dynamic partition overwrite, empty files
     emptied), then validation, gate and gold as in ``run``."""
     now = now or utc_now()
     ids = sorted(int(r["SourceId"]) for r in sources.select("SourceId").collect())
     W.replace_sources_bulk(wh, landing.ingest_landing(wh.spark, sources, key_map, landing_root), ids)
-    return _validate_then_gold(wh, mapping, rules, ids, now, use_gate)
+    return _validate_then_gold(wh, mapping, rules, ids, now, use_gate, keep_versions)
 
 
 def _validate_then_gold(wh: W.Warehouse, mapping: DataFrame, rules: DataFrame, ids, now: datetime,
-                        use_gate: bool) -> LoadResult:
+                        use_gate: bool, keep_versions: int | None = None) -> LoadResult:
     """With the gate, gold waits for the verdict.  Without it the two steps
     only share the (written) bronze table, so they run as concurrent jobs."""
     seen: dict = {}
@@ -102,11 +106,11 @@ def _validate_then_gold(wh: W.Warehouse, mapping: DataFrame, rules: DataFrame, i
         log = validate(wh, mapping, rules, ids, now, seen)
         if seen.get("failed_errors"):
             raise dq.ValidationFailed("Validation failed. See the validation log for this run.")
-        version, star = load_gold(wh, mapping)
+        version, star = load_gold(wh, mapping, keep_versions=keep_versions)
         return LoadResult(tuple(ids), log, version, star)
     with ThreadPoolExecutor(max_workers=2) as pool:
         f_log = pool.submit(validate, wh, mapping, rules, ids, now, seen)
-        f_gold = pool.submit(load_gold, wh, mapping)
+        f_gold = pool.submit(load_gold, wh, mapping, None, keep_versions)
         log, (version, star) = f_log.result(), f_gold.result()
     return LoadResult(tuple(ids), log, version, star)
 

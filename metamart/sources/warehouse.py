@@ -225,6 +225,39 @@ def current_version(wh: Warehouse) -> str | None:
     return None if row is None else row["v"]
 
 
+def _fs(path: str):
+    import pyarrow.fs as pafs
+    if "://" in path and not path.startswith("file:"):
+        scheme, rest = path.split("://", 1)
+        return pafs.FileSystem.from_uri(("s3://" + rest) if scheme in ("s3a", "s3n") else path)
+    return pafs.LocalFileSystem(), ("/" + path[5:].lstrip("/")) if path.startswith("file:") else path
+
+
+def prune_gold_versions(wh: Warehouse, keep: int = 2) -> list[str]:
+    """Delete gold version folders except the ``keep`` most recently
+    published (and never the current one); folders of versions that were
+    never published (failed loads) are deleted too.  Returns what was
+    deleted.  A reader still on the previous version is safe with keep >= 2.
+    """
+    import pyarrow.fs as pafs
+    pub = _read(wh.spark, wh.path("gold", "_published"), _PUBLISHED)
+    recent = [r["Version"] for r in pub.orderBy(F.desc("PublishedAt"), F.desc("Version"))
+              .select("Version").limit(max(1, keep)).collect()]
+    fs, base = _fs(wh.path("gold"))
+    try:
+        entries = fs.get_file_info(pafs.FileSelector(base, recursive=False))
+    except FileNotFoundError:
+        return []
+    gone = []
+    for e in entries:
+        if e.type == pafs.FileType.Directory and e.base_name.startswith("v="):
+            v = e.base_name[2:]
+            if v not in recent:
+                fs.delete_dir(e.path)
+                gone.append(v)
+    return sorted(gone)
+
+
 def load_star(wh: Warehouse) -> Star:
     """The four tables of the current gold version."""
     v = current_version(wh)

@@ -146,3 +146,7 @@ def test_aborted_gold_keeps_previous_version(spark, demo):
         pipeline.load_gold(wh, m)
     assert W.current_version(wh) == before
     assert counts(W.load_star(wh)) == counts(r.star) == (192, 2, 4)
+    # pruning keeps the current version and drops the failed one
+    gone = W.prune_gold_versions(wh, keep=1)
+    assert len(gone) == 1 and before not in gone
+    assert counts(W.load_star(wh)) == (192, 2, 4)
