@@ -223,6 +223,19 @@ def q_plant_class(spark, d):
     return reports.plant_class(star(spark, d))
 
 
+def q_plant_class_1998(spark, d):
+    return reports.plant_class(star(spark, d), Y1998)
+
+
+def q_yoy_by_plant_internal(spark, d):
+    """Slicers year 1998 and classification Internal: the External measures
+    are blank (intersecting filter)."""
+    ctx = M.FilterContext(years=(1998,), classes=("Internal",))
+    return (M.year_over_year(star(spark, d), ctx, by=["PlantCode"])
+            .select("PlantCode", "Incidents", "Incidents_PY", "Internal", "Internal_PY", "Internal_Chg",
+                    "External", "External_PY"))
+
+
 def q_incident_mix(spark, d):
     return reports.incident_mix(star(spark, d))
 
@@ -288,6 +301,8 @@ QUERIES: dict[str, Query] = {
     "trend_month_class": q_trend,
     "plant_class": q_plant_class,
     "incident_mix": q_incident_mix,
+    "plant_class_1998": q_plant_class_1998,
+    "yoy_by_plant_internal": q_yoy_by_plant_internal,
     "kpi_status": q_kpi_status,
     "kpi_cards": q_kpi_cards,
     "slicer_options": q_slicer_options,

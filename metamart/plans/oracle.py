@@ -359,6 +359,21 @@ SELECT PlantCode, Classification, CAST(SUM(Incidents) AS BIGINT) AS Incidents,
        CAST(SUM(SUM(Incidents)) OVER (PARTITION BY PlantCode) AS BIGINT) AS PlantTotal
 FROM star GROUP BY PlantCode, Classification""",
     "incident_mix": "SELECT IncidentTypeName, CAST(SUM(Incidents) AS BIGINT) AS Incidents FROM star GROUP BY ALL",
+    "plant_class_1998": """
+SELECT PlantCode, Classification, CAST(SUM(Incidents) AS BIGINT) AS Incidents,
+       CAST(SUM(SUM(Incidents)) OVER (PARTITION BY PlantCode) AS BIGINT) AS PlantTotal
+FROM star WHERE Year = 1998 GROUP BY PlantCode, Classification""",
+    "yoy_by_plant_internal": f"""
+SELECT k.PlantCode, CAST(c.v AS BIGINT) AS Incidents, CAST(p.v AS BIGINT) AS Incidents_PY,
+       CAST(c.vi AS BIGINT) AS Internal, CAST(p.vi AS BIGINT) AS Internal_PY,
+       CAST(CASE WHEN p.vi IS NOT NULL THEN COALESCE(c.vi, 0) - p.vi END AS BIGINT) AS Internal_Chg,
+       CAST(c.ve AS BIGINT) AS External, CAST(p.ve AS BIGINT) AS External_PY
+FROM (SELECT DISTINCT PlantCode FROM star) k
+LEFT JOIN (SELECT PlantCode, {_SPLITS} FROM star WHERE Year = 1998 AND Classification = 'Internal'
+           GROUP BY PlantCode) c ON c.PlantCode = k.PlantCode
+LEFT JOIN (SELECT PlantCode, {_SPLITS} FROM star WHERE Year = 1997 AND Classification = 'Internal'
+           GROUP BY PlantCode) p ON p.PlantCode = k.PlantCode
+WHERE {_ANY}""",
     "kpi_status": f"""
 SELECT Year, Incidents_Chg,
        CASE WHEN Incidents_Chg >= 1 THEN 'worse' WHEN Incidents_Chg < 0 THEN 'better' END AS Chg_Status,
