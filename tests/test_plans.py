@@ -7,8 +7,10 @@ from tests.conftest import SF0001
 
 
 def executed(df):
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    """Run the frame's own plan and return the final adaptive plan."""
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    return qe.executedPlan().toString().split("\n+- == Initial Plan ==")[0]
 
 
 def test_no_cartesian_or_nested_loop_joins(spark):
@@ -24,6 +26,7 @@ def test_no_cartesian_or_nested_loop_joins(spark):
 
 def test_year_filtered_measure_reads_fact_once_with_pruning(spark):
     plan = executed(catalog.QUERIES["yoy_by_plant"](spark, SF0001))
+    assert "isFinalPlan=true" in plan
     fact_scans = [line for line in plan.split("\n") if "FileScan" in line and "Incidents" in line]
     assert len(fact_scans) == 1
     assert "dynamicpruningexpression" in fact_scans[0]
@@ -58,6 +61,11 @@ def unpartitioned_windows(plan: str) -> list[str]:
     return out
 
 
+def test_sources_share_one_lineitem_scan(spark):
+    plan = executed(catalog.QUERIES["bronze_unpivot"](spark, SF0001))
+    assert plan.count("ReusedExchange") >= 2
+
+
 def test_windows_only_over_bounded_frames(spark):
     # a window without PARTITION BY moves its rows to one task: allowed only
     # over the per-partition sizes of dense_keys (one row per partition) and
