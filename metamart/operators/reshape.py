@@ -127,7 +127,7 @@ def unpivot_others(df: DataFrame, headers: Sequence[str], id_positions: dict[str
     others = [(i, f) for i, f in enumerate(fields) if i not in ids]
     if not others:
         return (df.select(*id_cols).withColumns({var: F.lit(None).cast("string"),
-                                                 val: F.lit(None).cast("bigint")}).limit(0))
+                                                 val: F.lit(None).cast("bigint")}).filter(F.lit(False)))
     base = df.select(*id_cols, *[F.col(f.name) for _, f in others])
     values = [to_int64(F.col(f.name), isinstance(f.dataType, IntegralType)).alias(trim_header(headers[i]))
               for i, f in others]

@@ -105,7 +105,7 @@ def q_active_sources(spark, d):
 def q_bronze_replace(spark, d):
     """Reload source 2 from the same file and source 3 from an empty one."""
     wides = B.wide_sources(spark, d)
-    reload = {2: wides[2], 3: wides[3].limit(0)}
+    reload = {2: wides[2], 3: wides[3].filter(F.lit(False))}     # source 3's file is now empty
     new = landing.ingest(reload, B.key_map(spark))
     return landing.replace_rows(bronze_table(spark, d), new, list(reload))
 
