@@ -224,7 +224,8 @@ def ingest_landing(spark: SparkSession, sources: DataFrame, key_map: DataFrame,
         F.input_file_block_start().alias("_blk"), "value")
     schema = ", ".join(f"c{i} STRING" for i in range(width))
     cells = F.array(*[F.col(f"_r.c{i}") for i in range(width)])
-    is_header = (F.col("_blk") == 0) & (F.col("value") == F.col("_header"))
+    # the header line, compared without a byte-order mark (spreadsheet exports)
+    is_header = (F.col("_blk") == 0) & (F.regexp_replace("value", "^\uFEFF", "") == F.col("_header"))
     rows = (lines.join(F.broadcast(file_info), "_fk", "left")
             .withColumn("SourceID", F.when(F.col("SourceID").isNotNull(), F.col("SourceID"))
                         .otherwise(F.raise_error(F.concat(F.lit("landing file not registered: "), F.col("_fk")))))

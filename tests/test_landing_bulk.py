@@ -82,3 +82,14 @@ def test_header_fallback_matches_executor_reads(spark, tmp_path):
     fast = sorted((r["Path"], r["File"], r["Header"]) for r in landing.landing_headers(spark, paths))
     slow = sorted((r["Path"], r["File"], r["Header"]) for r in landing._headers_by_scan(spark, paths))
     assert fast == slow and len(fast) == 2
+
+
+def test_bulk_csv_with_byte_order_mark_and_crlf(spark, tmp_path):
+    d = tmp_path / "bom"
+    os.makedirs(d)
+    (d / "a.csv").write_bytes("\ufeffPlant,Month,Q\r\nP,2020-01-01,4\r\n".encode("utf-8"))
+    keys = spark.createDataFrame([(1, "Plant", "Plant", "text"), (1, "Month", "Month", "date")],
+                                 schemas.KEY_COLUMN_MAPPING)
+    sources = spark.createDataFrame([(1, "a.csv")], "SourceId int, FilePath string")
+    got = [(r.Plant, r.SourceColumn, r.Value) for r in landing.ingest_landing(spark, sources, keys, str(d)).collect()]
+    assert got == [("P", "Q", 4)]
