@@ -31,7 +31,7 @@ def read_wide(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
         # the header line as written (one line, read once) and name the
         # columns by position.
         line = spark.read.text(path).first()
-        headers = next(csv.reader([line[0]])) if line is not None else []
+        headers = next(csv.reader([line[0].lstrip("\ufeff")])) if line is not None else []
         data = spark.read.option("header", True).option("inferSchema", False).csv(path)
         return data.toDF(*headers) if headers and len(headers) == len(data.columns) else data
     return spark.read.format(fmt).load(path)
