@@ -95,6 +95,6 @@ def test_read_wide_csv_keeps_exact_headers(spark, tmp_path):
 def test_read_wide_csv_with_byte_order_mark(spark, tmp_path):
     from metamart.sources.landing import read_wide
     p = tmp_path / "bom.csv"
-    p.write_bytes("﻿Werk,Monat,Qty A\r\nP1,2020-01-01,1\r\n".encode("utf-8"))
+    p.write_bytes("\ufeffWerk,Monat,Qty A\r\nP1,2020-01-01,1\r\n".encode("utf-8"))
     out = R.wide_to_bronze(read_wide(spark, str(p)), 1, KEYS)
     assert rows(out.select("Plant", "SourceColumn", "Value")) == [("P1", "Qty A", 1)]
