@@ -164,25 +164,28 @@ def measure_frame(star: Star, ctx: FilterContext = ALL, by: Sequence[str] = ())
         *[F.sum(F.when(role == "cur", F.col(f"v_{n}"))).alias(f"cur_{n}") for n, _ in SPLITS],
         *[F.sum(F.when(role == "py", F.col(f"v_{n}"))).alias(f"py_{n}") for n, _ in SPLITS],
         F.sum(F.when(role == "prev", F.col("v_Incidents"))).alias("prev"))
-    latest = F.max_by(F.struct(F.col("Anchor").alias("LatestMonth"),
-                               F.col("cur_Incidents").alias("Incidents_Latest_Month"),
-                               F.col("prev").alias("Incidents_Previous_Month")),
-                      F.when(F.col("cur_Incidents").isNotNull(), F.col("Anchor")))
+    # the latest anchor with data and the values at it: primitive max_by
+    # aggregates (hash aggregation, no sort); anchors without data have a
+    # NULL ordering and are skipped
+    with_data = F.when(F.col("cur_Incidents").isNotNull(), F.col("Anchor"))
     aggs = ([F.sum(f"cur_{n}").alias(n) for n, _ in SPLITS]
-            + [F.sum(f"py_{n}").alias(f"{n}_PY") for n, _ in SPLITS] + [latest.alias("_lm")])
+            + [F.sum(f"py_{n}").alias(f"{n}_PY") for n, _ in SPLITS]
+            + [F.max(with_data).alias("_lm_date"),
+               F.max_by("cur_Incidents", with_data).alias("_lm_cur"),
+               F.max_by("prev", with_data).alias("_lm_prev")])
     g = per_anchor.groupBy(*keys).agg(*aggs) if keys else per_anchor.agg(*aggs)
     cols = [F.col(k) for k in keys]
     for n, _ in SPLITS:
         chg = blank_minus(F.col(n), F.col(f"{n}_PY"))
         cols += [F.col(n), F.col(f"{n}_PY"), chg.alias(f"{n}_Chg"),
                  blank_divide(chg, F.col(f"{n}_PY")).alias(f"{n}_Pct_Chg")]
-    lm_chg = blank_minus(F.col("_lm.Incidents_Latest_Month"), F.col("_lm.Incidents_Previous_Month"))
-    label = F.upper(F.date_format("_lm.LatestMonth", "MMM"))
-    cols += [F.col("_lm.LatestMonth").alias("LatestMonth"),
-             F.col("_lm.Incidents_Latest_Month").alias("Incidents_Latest_Month"),
-             F.col("_lm.Incidents_Previous_Month").alias("Incidents_Previous_Month"),
+    lm_chg = blank_minus(F.col("_lm_cur"), F.col("_lm_prev"))
+    label = F.upper(F.date_format("_lm_date", "MMM"))
+    cols += [F.col("_lm_date").alias("LatestMonth"),
+             F.col("_lm_cur").alias("Incidents_Latest_Month"),
+             F.col("_lm_prev").alias("Incidents_Previous_Month"),
              lm_chg.alias("Latest_Month_Chg"),
-             blank_divide(lm_chg, F.col("_lm.Incidents_Previous_Month")).alias("Pct_Latest_Month_Chg"),
+             blank_divide(lm_chg, F.col("_lm_prev")).alias("Pct_Latest_Month_Chg"),
              label.alias("Latest_Month_Label"),
              F.concat(F.lit("LATEST MONTH • "), label).alias("Latest_Month_Label2")]
     return _with_plant_names(g.select(*cols), star, list(by))
