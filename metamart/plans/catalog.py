@@ -1,7 +1,7 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
 All of them read the given tables through the driver binding, so their
-work grows with the data.  Column names match ``oracle.ORACLE_SQL``.
+work grows with the data.  Column names match ``oracle.SQL``.
 """
 
 from __future__ import annotations
