@@ -150,3 +150,15 @@ def test_aborted_gold_keeps_previous_version(spark, demo):
     gone = W.prune_gold_versions(wh, keep=1)
     assert len(gone) == 1 and before not in gone
     assert counts(W.load_star(wh)) == (192, 2, 4)
+
+
+def test_null_value_reaching_gold_aborts(spark, demo):
+    from datetime import date as _d
+    wh, reg, keys, m, rs = demo
+    pipeline.run(wh, {1: wide(spark, 1)}, keys, m, rs, datetime(2024, 1, 3, 8))
+    before = W.current_version(wh)
+    bad = spark.createDataFrame([(2, "Werk C", _d(2021, 1, 1), "Interne Vorfälle 01/02", None)], schemas.BRONZE)
+    W.replace_sources(wh, {2: bad})
+    with pytest.raises(gold.ContractViolation, match="fact"):
+        pipeline.load_gold(wh, m)
+    assert W.current_version(wh) == before
