@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metamart.operators.keys import dense_keys
+from metamart.operators.silver import header_key
 
 DEFAULT_MIN_CONFIDENCE = 0.90
 
@@ -98,7 +99,9 @@ def approve_proposals(proposals: DataFrame, mapping: DataFrame,
     if source_ids is not None:
         p = p.filter(F.col("SourceId").isin([int(s) for s in source_ids]))
     latest = latest_proposals(p).filter(F.col("Confidence") >= F.lit(min_confidence))
-    fresh = latest.join(mapping.select("SourceId", "SourceColumn"), ["SourceId", "SourceColumn"], "left_anti")
+    mapped = mapping.select("SourceId", header_key().alias("_k"))
+    fresh = (latest.withColumn("_k", header_key()).join(mapped, ["SourceId", "_k"], "left_anti")
+             .drop("_k"))
     keyed = dense_keys(fresh, [F.col("SourceId").asc(), F.col("SourceColumn").asc()],
                        key="MappingId", start=_next_base(mapping, "MappingId").scalar())
     return keyed.select(F.col("MappingId").cast("int"), F.col("SourceId").cast("int"), "SourceColumn",
@@ -107,8 +110,9 @@ def approve_proposals(proposals: DataFrame, mapping: DataFrame,
 
 def pending_proposals(proposals: DataFrame, mapping: DataFrame) -> DataFrame:
     """Proposals whose column has no mapping row at all."""
-    return (proposals.join(mapping.select("SourceId", "SourceColumn"), ["SourceId", "SourceColumn"], "left_anti")
-            .orderBy("SourceId", F.desc("Confidence")))
+    mapped = mapping.select("SourceId", header_key().alias("_k"))
+    return (proposals.withColumn("_k", header_key()).join(mapped, ["SourceId", "_k"], "left_anti")
+            .drop("_k").orderBy("SourceId", F.desc("Confidence")))
 
 
 CHANGE_ACTIONS = ("insert", "activate", "deactivate", "delete")

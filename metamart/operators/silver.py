@@ -8,11 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def header_key(c: str = "SourceColumn") -> F.Column:
+    """A header as compared with another: trailing blanks do not count (the
+    source system's string equality pads with blanks); bronze headers are
+    trimmed already, mapping rows are stored as typed."""
+    return F.rtrim(F.col(c))
+
+
 def active_mapping(mapping: DataFrame) -> DataFrame:
     """Active mappings keyed like bronze (SourceID bigint, SourceColumn)."""
     return (mapping.filter(F.col("IsActive"))
-            .select(F.col("SourceId").cast("bigint").alias("SourceID"), "SourceColumn",
-                    "Classification", "CodeGroup"))
+            .select(F.col("SourceId").cast("bigint").alias("SourceID"),
+                    header_key().alias("SourceColumn"), "Classification", "CodeGroup"))
 
 
 def silver(bronze: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -90,3 +90,16 @@ def test_last_change_per_id_wins(spark):
        "CodeGroup string, ChangeSeq int")
     out = {r.MappingId: r.IsActive for r in meta.apply_mapping_changes(mapping(spark, MAP), changes).collect()}
     assert out == {1: True, 2: False}
+
+
+def test_trailing_blanks_do_not_count_in_header_matches(spark):
+    from datetime import date
+    from metamart.operators.silver import silver, unmapped_columns, column_pairs
+    from tests.helpers import bronze
+    m = mapping(spark, [(1, 1, "a  ", "Internal", "A", True)])
+    b = bronze(spark, [(1, "P", date(2020, 1, 1), "a", 3)])
+    assert silver(b, m).count() == 1
+    assert unmapped_columns(column_pairs(b), m).count() == 0
+    q = queue(spark, [(1, "a", "Internal", "A", 0.99, "", "m", T1), (1, " a", "Internal", "A", 0.99, "", "m", T1)])
+    assert [r.SourceColumn for r in meta.approve_proposals(q, m).collect()] == [" a"]   # leading blanks count
+    assert meta.pending_proposals(q, m).count() == 1
