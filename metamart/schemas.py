@@ -68,3 +68,13 @@ GOLD_SCHEMAS = {
     "dim_date": DIM_DATE,
     "fact": FACT_INCIDENTS,
 }
+
+# Length limits of the metadata DDL (VARCHAR(n)); NOT NULL comes from the
+# schemas above.  Checked when a metadata table is rewritten.
+META_LENGTHS = {
+    "source_registry": {"SourceName": 100, "FilePath": 500, "SheetName": 100},
+    "key_column_mapping": {"SourceColumn": 200, "TargetColumn": 50, "DataType": 20},
+    "column_mapping": {"SourceColumn": 200, "Classification": 50, "CodeGroup": 50},
+    "dq_rules": {"RuleName": 200, "RuleType": 50, "TargetColumn": 200, "RuleParameters": 1000,
+                 "Severity": 20},
+}

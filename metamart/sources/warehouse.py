@@ -26,7 +26,7 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 from pyspark.errors import AnalysisException
 
 from metamart import schemas
-from metamart.operators.gold import Star, contract_checks, enforce_contract
+from metamart.operators.gold import Star, contract_checks, enforce_contract, raise_on_violations
 from metamart.sources.literal import local_frame
 
 LAYERS = ("bronze", "silver", "gold", "meta", "audit")
@@ -87,9 +87,15 @@ def load_meta(wh: Warehouse, name: str) -> DataFrame:
 
 def save_meta(wh: Warehouse, name: str, df: DataFrame) -> None:
     """Rewrite a metadata table.  The new content is checkpointed first so
-    the rewrite never reads the files it replaces."""
-    out = df.select(*[F.col(f.name).cast(f.dataType) for f in META_SCHEMAS[name].fields])
+    the rewrite never reads the files it replaces, and checked against the
+    table's contract (NOT NULL, VARCHAR lengths): a violation raises and
+    the table is left as it was."""
+    schema = META_SCHEMAS[name]
+    out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     out = out.checkpoint(eager=True)
+    checks = [F.count_if(F.col(f.name).isNull()).alias(f"null:{f.name}") for f in schema.fields if not f.nullable]
+    checks += [F.count_if(F.length(c) > n).alias(f"length>{n}:{c}") for c, n in schemas.META_LENGTHS[name].items()]
+    raise_on_violations(name, out.agg(*checks).first().asDict())
     out.coalesce(1).write.mode("overwrite").parquet(wh.path("meta", name))
 
 

@@ -59,3 +59,15 @@ def test_jobs_register_load_propose_approve(spark, tmp_path, root):
                                     "Classification string, CodeGroup string")
     jobs.change_mappings(wh, changes)
     assert jobs.reload_gold(wh)[1].fact.count() == 48
+
+
+def test_metadata_contract_on_rewrite(spark, root):
+    import pytest
+    from metamart.operators.gold import ContractViolation
+    wh = W.ensure_layers(spark, root)
+    ok = spark.createDataFrame([(1, 1, "a", "Internal", "01", True)], schemas.COLUMN_MAPPING)
+    W.save_meta(wh, "column_mapping", ok)
+    too_long = spark.createDataFrame([(2, 1, "x" * 201, "Internal", "01", True)], schemas.COLUMN_MAPPING)
+    with pytest.raises(ContractViolation, match="SourceColumn"):
+        W.save_meta(wh, "column_mapping", W.load_meta(wh, "column_mapping").unionByName(too_long))
+    assert W.load_meta(wh, "column_mapping").count() == 1
