@@ -129,3 +129,13 @@ def test_plant_broadcast_only_below_checked_size(spark):
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hinted(small)
     assert big.count() == small.count() == 1
+
+
+def test_slicer_options_restricted_by_periods(spark):
+    from metamart.operators import reports
+    st = star_of(spark, [("P1", date(2019, 1, 1), "Internal", "01", 1), ("P2", date(2020, 12, 1), "External", "01", 2),
+                         ("P3", date(2021, 3, 1), "External", "01", 3)])
+    ctx = M.FilterContext(periods=("Jan–Jan 2019", "Dec–Dec 2020"))
+    got = sorted((r.Slicer, r.Value) for r in reports.slicer_options(st, ctx).collect())
+    assert got == [("Classification", "External"), ("Classification", "Internal"),
+                   ("Period", "Dec–Dec 2020"), ("Period", "Jan–Jan 2019"), ("Plant", "P1"), ("Plant", "P2")]
