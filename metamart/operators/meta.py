@@ -79,12 +79,21 @@ def registration_rows(result: DataFrame) -> Registration:
 
 def latest_proposals(proposals: DataFrame) -> DataFrame:
     """The most recent proposal per (SourceId, SourceColumn); ties by
-    confidence, then values.  An aggregate (partial on the map side), so a
-    column with very many proposals is no hot spot."""
+    confidence, then values.
+
+    Two exact steps, both aggregates with map-side partials (a column with
+    very many proposals is no hot spot): the latest time per column (a hash
+    aggregate over the whole queue), then -- among the rows at that time
+    only, usually one per column -- the tie-break.
+    """
+    keys = ["SourceId", "SourceColumn"]
+    last = proposals.groupBy(*keys).agg(F.max("ProposedAt").alias("_last"))
+    p, lt = proposals.alias("p"), last.alias("l")
+    cond = [F.col(f"p.{k}") == F.col(f"l.{k}") for k in keys] + [F.col("p.ProposedAt").eqNullSafe(F.col("l._last"))]
+    at_last = p.join(lt, cond, "left_semi")
     pick = F.max_by(F.struct("Classification", "CodeGroup", "Confidence", "ProposedAt"),
-                    F.struct("ProposedAt", "Confidence", "Classification", "CodeGroup"))
-    return (proposals.groupBy("SourceId", "SourceColumn").agg(pick.alias("p"))
-            .select("SourceId", "SourceColumn", "p.*"))
+                    F.struct("Confidence", "Classification", "CodeGroup"))
+    return at_last.groupBy(*keys).agg(pick.alias("p")).select(*keys, "p.*")
 
 
 def approve_proposals(proposals: DataFrame, mapping: DataFrame,

@@ -103,3 +103,10 @@ def test_trailing_blanks_do_not_count_in_header_matches(spark):
     q = queue(spark, [(1, "a", "Internal", "A", 0.99, "", "m", T1), (1, " a", "Internal", "A", 0.99, "", "m", T1)])
     assert [r.SourceColumn for r in meta.approve_proposals(q, m).collect()] == [" a"]   # leading blanks count
     assert meta.pending_proposals(q, m).count() == 1
+
+
+def test_latest_proposal_ties_and_missing_time(spark):
+    q = queue(spark, [(1, "x", "Internal", "A", 0.95, "", "m", T2), (1, "x", "External", "N", 0.97, "", "m", T2),
+                      (1, "x", "External", "R", 0.99, "", "m", T1), (1, "y", "Internal", "A", 0.91, "", "m", None)])
+    got = {r.SourceColumn: (r.Classification, r.CodeGroup, r.Confidence) for r in meta.latest_proposals(q).collect()}
+    assert got == {"x": ("External", "N", 0.97), "y": ("Internal", "A", 0.91)}
