@@ -93,7 +93,7 @@ def latest_proposals(proposals: DataFrame) -> DataFrame:
     at_last = p.join(lt, cond, "left_semi")
     pick = F.max_by(F.struct("Classification", "CodeGroup", "Confidence", "ProposedAt"),
                     F.struct("Confidence", "Classification", "CodeGroup"))
-    return at_last.groupBy(*keys).agg(pick.alias("p")).select(*keys, "p.*")
+    return at_last.groupBy(*keys).agg(pick.alias("_pick")).select(*keys, "_pick.*")
 
 
 def approve_proposals(proposals: DataFrame, mapping: DataFrame,
