@@ -87,10 +87,11 @@ def latest_proposals(proposals: DataFrame) -> DataFrame:
     only, usually one per column -- the tie-break.
     """
     keys = ["SourceId", "SourceColumn"]
-    last = proposals.groupBy(*keys).agg(F.max("ProposedAt").alias("_last"))
-    p, lt = proposals.alias("p"), last.alias("l")
-    cond = [F.col(f"p.{k}") == F.col(f"l.{k}") for k in keys] + [F.col("p.ProposedAt").eqNullSafe(F.col("l._last"))]
-    at_last = p.join(lt, cond, "left_semi")
+    last = proposals.groupBy(F.col("SourceId").alias("_sid"), F.col("SourceColumn").alias("_scol")).agg(
+        F.max("ProposedAt").alias("_last"))
+    cond = ((F.col("SourceId") == F.col("_sid")) & (F.col("SourceColumn") == F.col("_scol"))
+            & F.col("ProposedAt").eqNullSafe(F.col("_last")))
+    at_last = proposals.join(last, cond, "left_semi")
     pick = F.max_by(F.struct("Classification", "CodeGroup", "Confidence", "ProposedAt"),
                     F.struct("Confidence", "Classification", "CodeGroup"))
     return at_last.groupBy(*keys).agg(pick.alias("_pick")).select(*keys, "_pick.*")
