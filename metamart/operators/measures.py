@@ -40,6 +40,25 @@ class FilterContext:
     def without_dates(self) -> "FilterContext":
         return replace(self, years=None, periods=None, months=None, dates=None)
 
+    def shift(self, months: int) -> "FilterContext":
+        """The date selection moved by ``months`` (explicit dates with month
+        arithmetic, clamped to month ends; years by whole years).  Period and
+        month-name selections have no shifted form and raise."""
+        if self.periods is not None or self.months is not None:
+            raise ValueError("period and month-name selections cannot be shifted")
+        if self.years is not None and months % 12:
+            raise ValueError("a year selection shifts by whole years only")
+
+        def move(d: date) -> date:
+            m = d.month - 1 + months
+            y, m = d.year + m // 12, m % 12 + 1
+            last = (date(y + (m == 12), m % 12 + 1, 1) - date.resolution).day
+            return date(y, m, min(d.day, last))
+
+        return replace(self,
+                       years=None if self.years is None else tuple(y + months // 12 for y in self.years),
+                       dates=None if self.dates is None else tuple(move(d) for d in self.dates))
+
     def and_class(self, c: str) -> "FilterContext":
         """Intersecting filter: keep the selection AND classification = c."""
         cur = self.classes

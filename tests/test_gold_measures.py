@@ -139,3 +139,12 @@ def test_slicer_options_restricted_by_periods(spark):
     got = sorted((r.Slicer, r.Value) for r in reports.slicer_options(st, ctx).collect())
     assert got == [("Classification", "External"), ("Classification", "Internal"),
                    ("Period", "Dec–Dec 2020"), ("Period", "Jan–Jan 2019"), ("Plant", "P1"), ("Plant", "P2")]
+
+
+def test_filter_context_shift():
+    import pytest
+    ctx = M.FilterContext(dates=(date(2020, 3, 31), date(2020, 1, 15)), years=None)
+    assert ctx.shift(-1).dates == (date(2020, 2, 29), date(2019, 12, 15))
+    assert M.FilterContext(years=(2021,)).shift(-12).years == (2020,)
+    with pytest.raises(ValueError):
+        M.FilterContext(months=("Jan",)).shift(1)
