@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metamart.llm import minhash_dedup
-from metamart.llm.common import read_table
+from metamart.llm import minhash_dedup, tokens
+from metamart.llm.common import read_table, scratch_path
 
 
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    tokens.write_tokens(read_table(spark, sf_dir, "documents"), path)
+    return tokens.digests(spark, path)
+
+
 QUERIES = {
+    "op6_token_output": op6_token_output,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
