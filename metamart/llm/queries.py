@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metamart.llm import minhash_dedup, tokens
+from metamart.llm import decontaminate, minhash_dedup, quality, tokens
 from metamart.llm.common import read_table, scratch_path
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.quality_scores(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     tokens.write_tokens(read_table(spark, sf_dir, "documents"), path)
@@ -19,7 +28,9 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_token_output": op6_token_output,
+    "op9_decontaminate": op9_decontaminate,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
