@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metamart.llm import decontaminate, minhash_dedup, quality, tokens
+from metamart.llm import decontaminate, minhash_dedup, mixing, quality, tokens
 from metamart.llm.common import read_table, scratch_path
 
 
@@ -16,6 +16,10 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.schedule(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality.quality_scores(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
@@ -28,6 +32,7 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_mix_sources": op3_mix_sources,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_token_output": op6_token_output,
     "op9_decontaminate": op9_decontaminate,
