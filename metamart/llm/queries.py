@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metamart.llm import decontaminate, minhash_dedup, mixing, quality, tokens
+from metamart.llm import decontaminate, embedding_dedup, minhash_dedup, mixing, quality, tokens
 from metamart.llm.common import read_table, scratch_path
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -35,6 +39,7 @@ QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_token_output": op6_token_output,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
