@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metamart.llm import decontaminate, embedding_dedup, minhash_dedup, mixing, quality, tokens
+from metamart.llm import decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, quality, sentence_dedup, tokens
 from metamart.llm.common import read_table, scratch_path
 
 
@@ -12,6 +12,10 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op8_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_dedup.removals(read_table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -20,6 +24,10 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removals(read_table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(read_table(spark, sf_dir, "documents"))
 
@@ -36,10 +44,12 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_token_output": op6_token_output,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_sentence_dedup": op8_sentence_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
