@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metamart.llm import decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, quality, sentence_dedup, tokens
+from metamart.llm import decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, quality, sentence_dedup, tokens, toxicity
 from metamart.llm.common import read_table, scratch_path
 
 
@@ -24,6 +24,11 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.toxicity_scores(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.removals(read_table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op5_quality_classifier": op5_quality_classifier,
