@@ -47,7 +47,7 @@ def dim_plant(silver: DataFrame, keys_source: DataFrame | None = None) -> DataFr
     dense ranks computed without a one-partition sort (see ``dense_keys``)."""
     src = keys_source if keys_source is not None else silver
     plants = src.select(F.col("Plant").alias("PlantCode")).distinct()
-    return (dense_keys(plants, [F.col("PlantCode").asc_nulls_first()], key="PlantKey")
+    return (dense_keys(plants, ["PlantCode"], key="PlantKey")
             .select("PlantKey", "PlantCode"))
 
 

@@ -7,28 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_BITS = 33          # monotonically_increasing_id: partition << 33 | position
+_LEVELS = 8                      # 2 ** 8 buckets
 
 
-def dense_keys(df: DataFrame, order_by: Sequence[Column], key: str = "Key",
+def dense_keys(df: DataFrame, order_by: Sequence[str], key: str = "Key",
                start: Column | int = 1) -> DataFrame:
-    """``row_number() OVER (ORDER BY order_by)`` (+ start - 1) for a set of any size.
+    """``row_number() OVER (ORDER BY order_by)`` (+ start - 1), ascending with
+    NULLs first, for a set of any size.
 
-    The set is range-partitioned and sorted (one shuffle, many tasks); each
-    row gets its position inside its partition; partition sizes (one row per
-    partition) give each partition its offset.  Only the offsets, bounded by
-    the number of partitions, are broadcast.  ``order_by`` must be a total
-    order for the keys to be deterministic.
+    The rows with the smallest hashes are a sample whose sorted keys cut the
+    order into buckets, so a row's bucket is an expression of its own key and
+    of the set: no result depends on how Spark partitions, samples or
+    coalesces, and every evaluation gives the same keys.  Rows are numbered
+    inside their bucket; bucket counts (at most 256 rows) give the offsets.
+    ``order_by`` must be a total order for the keys to be deterministic.
     """
-    ordered = df.orderBy(*order_by).withColumn("_mid", F.monotonically_increasing_id())
-    ordered = ordered.withColumns({
-        "_part": F.shiftright(F.col("_mid"), _POS_BITS),
-        "_pos": F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)),
-    })
-    sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    own = F.struct(*order_by)
+    cuts = (df.select(own.alias("c")).orderBy(F.xxhash64("c"), "c").limit((1 << _LEVELS) - 1)
+            .agg(F.array_sort(F.collect_set("c"))).scalar())
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(_LEVELS))])
+    with_cuts = df.withColumn("_cuts", cuts).withColumn("_own", own)
+    bucket = F.aggregate(steps, F.lit(0), lambda low, step: F.when(
+        F.get(F.col("_cuts"), low + step - 1) <= F.col("_own"), low + step).otherwise(low))
+    placed = with_cuts.withColumn("_bucket", bucket).drop("_cuts", "_own")
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    inside = Window.partitionBy("_bucket").orderBy(*order_by)
     base = start if isinstance(start, Column) else F.lit(int(start))
-    return (ordered.join(F.broadcast(offsets), "_part")
+    return (placed.withColumn("_pos", F.row_number().over(inside) - 1)
+            .join(F.broadcast(offsets), "_bucket")       # at most 2 ** _LEVELS rows
             .withColumn(key, (F.col("_off") + F.col("_pos") + base).cast("bigint"))
-            .drop("_mid", "_part", "_pos", "_off"))
+            .drop("_bucket", "_pos", "_off"))

@@ -50,7 +50,7 @@ def register_sources(registry: DataFrame, key_map: DataFrame, requests: DataFram
     known = req.join(registry.select("FilePath"), "FilePath", "left_semi").select("RequestId")
     req = req.join(known.withColumn("_known", F.lit(True)), "RequestId", "left")
     ok = req.filter(F.col("_first") & F.col("_known").isNull())
-    ids = dense_keys(ok, [F.col("RequestId").asc()], key="NewId",
+    ids = dense_keys(ok, ["RequestId"], key="NewId",
                      start=_next_base(registry, "SourceId").scalar())
     taken = key_map.select(F.col("SourceId").cast("bigint").alias("NewId")).distinct()
     ids = ids.join(taken.withColumn("_taken", F.lit(True)), "NewId", "left")
@@ -112,7 +112,7 @@ def approve_proposals(proposals: DataFrame, mapping: DataFrame,
     mapped = mapping.select("SourceId", header_key().alias("_k"))
     fresh = (latest.withColumn("_k", header_key()).join(mapped, ["SourceId", "_k"], "left_anti")
              .drop("_k"))
-    keyed = dense_keys(fresh, [F.col("SourceId").asc(), F.col("SourceColumn").asc()],
+    keyed = dense_keys(fresh, ["SourceId", "SourceColumn"],
                        key="MappingId", start=_next_base(mapping, "MappingId").scalar())
     return keyed.select(F.col("MappingId").cast("int"), F.col("SourceId").cast("int"), "SourceColumn",
                         "Classification", "CodeGroup", F.lit(True).alias("IsActive"))

@@ -102,12 +102,34 @@ def test_intersecting_class_filter(spark):
 def test_dense_keys_match_row_number(spark):
     from pyspark.sql import Window
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).cast("string").alias("s")).distinct()
-    got = dense_keys(df.repartition(7), [F.col("s")], key="DenseKey", start=11)
+    df = df.unionByName(df.limit(1).select(F.lit(None).cast("string").alias("s")))
+    got = dense_keys(df.repartition(7), ["s"], key="DenseKey", start=11)
     ref = df.withColumn("R", F.row_number().over(Window.orderBy("s")) + 10)
-    assert got.join(ref, "s").filter(F.col("DenseKey") != F.col("R")).count() == 0
+    assert got.join(ref, got["s"].eqNullSafe(ref["s"])).filter(F.col("DenseKey") != F.col("R")).count() == 0
     assert got.count() == df.count()
 
 
+def test_dense_keys_do_not_depend_on_partitions(spark):
+    """2,000,000 rows with payload columns: with the key a function of the
+    row number, every row must get its own number, whatever the planner does."""
+    n = 2_000_000
+    df = spark.range(0, n, 1, 16).select(((F.col("id") * 7_919_117) % n).alias("r")).select(
+        F.lpad(F.col("r").cast("string"), 9, "0").alias("k"), "r",
+        F.repeat(F.lit("x"), 40).alias("payload"), (F.col("r") % 7).alias("other"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for advisory in ("256k", "4m", "64m"):
+        spark.conf.set(size, advisory)
+        try:
+            got = dense_keys(df, ["k"], key="DenseKey")
+            for _ in range(2):                   # evaluated twice
+                row = got.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("DenseKey") != F.col("r") + 1).alias("bad"),
+                              F.sum("other").alias("s")).first()
+                assert (row.n, row.bad) == (n, 0) and row.s > 0
+                assert got.select("payload", "DenseKey").agg(F.max("DenseKey")).first()[0] == n
+        finally:
+            spark.conf.unset(size)
+
+
 def test_display_masks(spark):
     from metamart.functions.formats import arrow_number, signed_pct
     df = spark.createDataFrame([(1234.0, 0.026), (-5.0, -0.1234), (0.0, 0.0004), (None, None), (0.4, -0.00049)],
