@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metamart.llm import decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, quality, sentence_dedup, tokens, toxicity
+from metamart.llm import decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, quality, sentence_dedup, suffix_dedup, tokens, toxicity
 from metamart.llm.common import read_table, scratch_path
 
 
@@ -37,6 +37,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(read_table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removals(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality.quality_scores(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
@@ -52,6 +56,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
     "op3_mix_sources": op3_mix_sources,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_token_output": op6_token_output,
     "op7_embedding_dedup": op7_embedding_dedup,
