@@ -15,8 +15,6 @@ from metamart.operators.silver import active_mapping
 
 # The plant dimension is broadcast into the fact join only up to this many
 # rows (about 50 MB as a hash relation); session setting to override it.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_ROWS_CONF = "metamart.gold.broadcastPlantRows"
 
 
 class ContractViolation(RuntimeError):
@@ -98,30 +96,24 @@ def dim_date(silver: DataFrame, keys_source: DataFrame | None = None) -> DataFra
             .select("DateKey", "Date", "Year", "MonthNumber", "MonthShort", "Period"))
 
 
-def fact(silver: DataFrame, dp: DataFrame, dd: DataFrame, dt: DataFrame,
-         plant_rows: int | None = None) -> DataFrame:
+def fact(silver: DataFrame, dp: DataFrame, dd: DataFrame, dt: DataFrame) -> DataFrame:
     """Silver with the three keys; unmatched rows drop; grain of silver.
 
-    The calendar (bounded by the date span) and the types (bounded by the
-    mapping metadata) are broadcast.  The plant dimension grows with the
-    data: it is broadcast only when its checked row count is small,
-    otherwise the adaptive planner chooses (shuffle join beyond its limit).
+    No join is forced: the planner broadcasts a dimension by its size in
+    bytes, beyond its limit it shuffles and splits a hot plant.
     """
     plants = dp.select("PlantKey", F.col("PlantCode").alias("Plant"))
-    limit = int(dp.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_ROWS)))
-    if plant_rows is not None and plant_rows <= limit:
-        plants = F.broadcast(plants)
-    dates = F.broadcast(dd.select("DateKey", F.col("Date").alias("Month")))
-    types = F.broadcast(dt.select("IncidentTypeKey", "Classification", "CodeGroup"))
+    dates = dd.select("DateKey", F.col("Date").alias("Month"))
+    types = dt.select("IncidentTypeKey", "Classification", "CodeGroup")
     return (silver.join(plants, "Plant").join(dates, "Month")
             .join(types, ["Classification", "CodeGroup"])
             .select("PlantKey", "DateKey", "IncidentTypeKey",
                     F.col("Incidents").cast("int").alias("Incidents")))
 
 
-def build_star(silver: DataFrame, mapping: DataFrame, plant_rows: int | None = None) -> Star:
+def build_star(silver: DataFrame, mapping: DataFrame) -> Star:
     dp, dt, dd = dim_plant(silver), dim_type(mapping), dim_date(silver)
-    return Star(fact(silver, dp, dd, dt, plant_rows), dp, dt, dd)
+    return Star(fact(silver, dp, dd, dt), dp, dt, dd)
 
 
 def gold_counts(star: Star) -> DataFrame:

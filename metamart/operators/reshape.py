@@ -84,34 +84,23 @@ def key_positions(headers: Sequence[str], r: "KeyRoles", key_rows: Sequence) ->
     pos = {}
     missing = []
     for target, source in want.items():
-        if source in headers:
-            pos[target] = headers.index(source)
-        elif target in headers:          # already named like bronze
-            pos[target] = headers.index(target)
-        else:
+        if source not in headers:
             missing.append(source)
+        elif source != target and target in headers and target not in want.values():
+            raise MissingHeaderError(f"renaming {source!r} would collide with the file's column {target!r}")
+        else:
+            pos[target] = headers.index(source)
     if missing:
         raise MissingHeaderError(f"key header(s) not in the file: {missing}")
     return pos
 
 
-def rename_keys(df: DataFrame, key_rows: Sequence) -> DataFrame:
-    """B1 on its own: the frame with its key headers renamed to bronze names
-    (exact, case-sensitive match; a missing header is an error)."""
-    r = roles(key_rows)
-    pdf, headers = positional(df)
-    pos = key_positions(headers, r, key_rows)
-    names = list(headers)
-    for target, i in pos.items():
-        names[i] = target
-    return pdf.toDF(*names)
-
-
 def to_int64(c: Column, is_integral: bool) -> Column:
-    """Whole number as bigint; fractions round half to even (2.5 -> 2)."""
+    """Whole number as bigint; fractions round half to even (2.5 -> 2).
+    Through decimals: whole numbers above 2 ** 53 stay exact."""
     if is_integral:
         return c.cast("bigint")
-    return F.bround(c.cast("double"), 0).cast("bigint")
+    return F.bround(c.cast("decimal(38,10)"), 0).cast("bigint")
 
 
 def unpivot_others(df: DataFrame, headers: Sequence[str], id_positions: dict[str, int],

@@ -39,13 +39,12 @@ STATUS_CLASS = {"O": "Internal", "F": "External"}
 # Six global rules: (RuleId, SourceId, RuleName, RuleType, TargetColumn,
 #                    RuleParameters, Severity, IsActive)
 RULES = [
-    (1, None, "All source columns are mapped", "SchemaDrift", None, "{}", "Warning", True),
-    (2, None, "File is not empty", "RowCount", None, '{"min": 1}', "Error", True),
-    (3, None, "Plant is populated", "NotNull", "Plant", "{}", "Error", True),
-    (4, None, "Incidents are not negative", "Range", "Value", '{"min": 0}', "Error", True),
-    (5, None, "Fact grain is unique", "Unique", None,
-     '{"cols": ["Plant","Month","Classification","CodeGroup"]}', "Error", True),
-    (6, None, "No mapped column is missing", "MissingColumn", None, "{}", "Error", True),
+    (1, None, "Headers known to the mapping", "SchemaDrift", None, "{}", "Warning", True),
+    (2, None, "Some rows arrived", "RowCount", None, '{"min": 1}', "Error", True),
+    (3, None, "Every row has a plant", "NotNull", "Plant", "{}", "Error", True),
+    (4, None, "Counts from zero up", "Range", "Value", '{"min": 0}', "Error", True),
+    (5, None, "One row per plant, month and type", "Unique", None, "{}", "Error", True),
+    (6, None, "Mapped headers arrived", "MissingColumn", None, "{}", "Error", True),
 ]
 
 # Fixed "now" of the binding's validation run (whole seconds, UTC).
@@ -266,7 +265,7 @@ def write_landing_files(wide: dict[int, DataFrame], folder: str) -> DataFrame:
 
     def one(item):
         sid, df = item
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/source_{sid}")
+        df.write.mode("overwrite").option("header", True).csv(f"{folder}/source_{sid}")
 
     with ThreadPoolExecutor(max_workers=max(1, len(wide))) as pool:
         list(pool.map(one, wide.items()))

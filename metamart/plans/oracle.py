@@ -245,14 +245,14 @@ vlog AS (SELECT '{_NOW_ID}-' || CAST(RunSourceId AS VARCHAR) AS RunId, TIMESTAMP
                 CASE RuleType WHEN 'SchemaDrift' THEN Unmapped = 0 WHEN 'MissingColumn' THEN Missing = 0
                      WHEN 'RowCount' THEN COALESCE(Rows >= pmin, FALSE) WHEN 'NotNull' THEN COALESCE(bad = 0, FALSE)
                      WHEN 'Range' THEN COALESCE(MinValue >= pmin, FALSE) WHEN 'Unique' THEN Dupes = 0 END AS Passed,
-                substr(CASE RuleType
+                CASE RuleType
                   WHEN 'SchemaDrift' THEN 'unmapped columns: ' || CAST(Unmapped AS VARCHAR) || COALESCE('; ' || UnmappedList, '')
                   WHEN 'MissingColumn' THEN 'missing columns: ' || CAST(Missing AS VARCHAR) || COALESCE('; ' || MissingList, '')
                   WHEN 'RowCount' THEN 'rows: ' || CAST(Rows AS VARCHAR)
                   WHEN 'NotNull' THEN CASE WHEN bad IS NULL THEN 'column unknown to the engine: ' || COALESCE(TargetColumn, '')
                                            ELSE 'missing values in ' || COALESCE(TargetColumn, '') || ': ' || CAST(bad AS VARCHAR) END
                   WHEN 'Range' THEN 'minimum value: ' || COALESCE(CAST(MinValue AS VARCHAR), '')
-                  WHEN 'Unique' THEN 'duplicate combinations: ' || CAST(Dupes AS VARCHAR) END, 1, 4000) AS Details
+                  WHEN 'Unique' THEN 'duplicate combinations: ' || CAST(Dupes AS VARCHAR) END AS Details
          FROM ev)
 """
 

@@ -76,8 +76,7 @@ def load_gold(wh: W.Warehouse, mapping: DataFrame, version: str | None = None,
     for name, (_, metrics) in written.items():
         gold.raise_on_violations(name, metrics)
     dp, dt, dd = (written[n][0] for n in ("dim_plant", "dim_incident_type", "dim_date"))
-    plant_rows = written["dim_plant"][1]["rows"]
-    f, metrics = W.write_gold_table(wh, version, "fact", gold.fact(s, dp, dd, dt, plant_rows))
+    f, metrics = W.write_gold_table(wh, version, "fact", gold.fact(s, dp, dd, dt))
     gold.raise_on_violations("fact", metrics)
     W.mark_published(wh, version)
     if keep_versions:

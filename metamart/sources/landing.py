@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import posixpath
 from collections.abc import Mapping
 from functools import reduce
 
@@ -10,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metamart.functions.text import trim_header, trim_ws
-from metamart.operators.reshape import MissingHeaderError, dedupe_names, wide_to_bronze
+from metamart.operators.reshape import (MissingHeaderError, dedupe_names, key_positions, roles, to_int64,
+                                        wide_to_bronze)
 from metamart.schemas import BRONZE
 from metamart.sources.literal import local_frame
 
@@ -32,7 +34,7 @@ def read_wide(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
         # columns by position.
         line = spark.read.text(path).first()
         headers = next(csv.reader([line[0].lstrip("\ufeff")])) if line is not None else []
-        data = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        data = spark.read.option("header", True).option("inferSchema", False).option("multiLine", True).csv(path)
         return data.toDF(*headers) if headers and len(headers) == len(data.columns) else data
     return spark.read.format(fmt).load(path)
 
@@ -113,11 +115,10 @@ def _first_lines(batches):
     def first_line(fs, rel):
         buf = b""
         with fs.open_input_stream(rel) as f:
-            while b"\n" not in buf and len(buf) < (1 << 20):
-                chunk = f.read(65536)
-                if not chunk:
-                    break
+            while chunk := f.read(65536):        # to the line's end, however long it is
                 buf += chunk
+                if b"\n" in chunk:
+                    break
         line = buf.split(b"\n", 1)[0].rstrip(b"\r")
         return line.decode("utf-8-sig") if buf else None
 
@@ -194,7 +195,12 @@ def ingest_landing(spark: SparkSession, sources: DataFrame, key_map: DataFrame,
     if not srcs:
         return empty_bronze(spark)
     base = root.rstrip("/") + "/" if root else ""
-    by_path = {base + p: sid for sid, p in srcs}
+    by_path: dict[str, int] = {}
+    for sid, p in srcs:
+        place = base + posixpath.normpath(p)
+        if place in by_path:
+            raise ValueError(f"sources {by_path[place]} and {sid} name the same file: {p}")
+        by_path[place] = sid
     keys = key_meta_all(key_map, [s for s, _ in srcs])
     info, width = [], 1
     for h in landing_headers(spark, list(by_path)):
@@ -203,18 +209,16 @@ def ingest_landing(spark: SparkSession, sources: DataFrame, key_map: DataFrame,
         sid = by_path[h["Path"]]
         names = dedupe_names(next(csv.reader([h["Header"]])))
         width = max(width, len(names))
-        pos = {}
-        for k in keys[sid]:
-            col = k["SourceColumn"] if k["SourceColumn"] in names else k["TargetColumn"]
-            if col not in names:
-                raise MissingHeaderError(f"key header {k['SourceColumn']!r} not in {h['File']}")
-            pos[k["TargetColumn"]] = names.index(col) + 1
+        role = roles(keys[sid])
+        pos = {k: i + 1 for k, i in key_positions(names, role, keys[sid]).items()}
+        if absent := {"Plant", "Month"} - pos.keys():
+            raise MissingHeaderError(f"no key column names {sorted(absent)} of {h['File']}")
         measures = [None if i + 1 in pos.values() else trim_header(n) for i, n in enumerate(names)]
-        info.append((h["File"], sid, h["Header"], measures, pos.get("Plant"), pos.get("Month")))
+        info.append((h["File"], sid, h["Header"], measures, pos["Plant"], pos["Month"], "Plant" in role.text))
     if not info:
         return empty_bronze(spark)
     file_info = spark.createDataFrame(
-        info, "_fk string, SourceID long, _header string, _heads array<string>, _pp int, _mp int")
+        info, "_fk string, SourceID long, _header string, _heads array<string>, _pp int, _mp int, _trim boolean")
     # the same location key on the JVM side: the file URI without scheme
     # and authority, percent-decoded (a literal '+' is kept)
     uri = F.regexp_replace(F.input_file_name(), "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
@@ -222,21 +226,29 @@ def ingest_landing(spark: SparkSession, sources: DataFrame, key_map: DataFrame,
     lines = spark.read.text(list(by_path)).select(
         F.concat(F.lit("/"), F.regexp_replace(decoded, "^/+", "")).alias("_fk"),
         F.input_file_block_start().alias("_blk"), "value")
-    schema = ", ".join(f"c{i} STRING" for i in range(width))
-    cells = F.array(*[F.col(f"_r.c{i}") for i in range(width)])
+    # one cell more than the widest header shows rows that are longer than it
+    schema = ", ".join(f"c{i} STRING" for i in range(width + 1))
+    cells = F.array(*[F.col(f"_r.c{i}") for i in range(width + 1)])
     # the header line, compared without a byte-order mark (spreadsheet exports)
     is_header = (F.col("_blk") == 0) & (F.regexp_replace("value", "^\uFEFF", "") == F.col("_header"))
     rows = (lines.join(F.broadcast(file_info), "_fk", "left")
             .withColumn("SourceID", F.when(F.col("SourceID").isNotNull(), F.col("SourceID"))
                         .otherwise(F.raise_error(F.concat(F.lit("landing file not registered: "), F.col("_fk")))))
             .filter(~is_header)
-            .select("SourceID", "_heads", "_pp", "_mp", F.from_csv("value", schema).alias("_r"))
-            .select("SourceID", "_heads", "_pp", "_mp", cells.alias("_cells")))
+            # a quote left open goes on in the next line, which a line scan cannot follow
+            .withColumn("value", F.when(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 0, F.col("value"))
+                        .otherwise(F.raise_error(F.concat(F.lit("line break inside quotes, load it by read_wide: "), F.col("_fk")))))
+            .select("SourceID", "_fk", "_heads", "_pp", "_mp", "_trim", F.from_csv("value", schema).alias("_r"))
+            .select("SourceID", "_fk", "_heads", "_pp", "_mp", "_trim", cells.alias("_cells"))
+            .withColumn("_cells", F.when(
+                F.exists(F.slice("_cells", F.size("_heads") + 1, width + 1), lambda c: c.isNotNull()),
+                F.raise_error(F.concat(F.lit("cells behind the last header: "), F.col("_fk")))).otherwise(F.col("_cells"))))
     cell = F.element_at("_cells", F.col("_i") + 1)
-    return (rows.select("SourceID", "_pp", "_mp", "_cells", F.posexplode("_heads").alias("_i", "_h"))
+    plant = F.element_at("_cells", F.col("_pp"))
+    return (rows.select("SourceID", "_pp", "_mp", "_trim", "_cells", F.posexplode("_heads").alias("_i", "_h"))
             .filter(F.col("_h").isNotNull() & cell.isNotNull())
             .select(F.col("SourceID").cast("bigint").alias("SourceID"),
-                    trim_ws(F.element_at("_cells", F.col("_pp")).cast("string")).alias("Plant"),
+                    F.when(F.col("_trim"), trim_ws(plant)).otherwise(plant).alias("Plant"),
                     F.element_at("_cells", F.col("_mp")).cast("date").alias("Month"),
                     F.col("_h").alias("SourceColumn"),
-                    F.bround(cell.cast("double"), 0).cast("bigint").alias("Value")))
+                    to_int64(cell, False).alias("Value")))

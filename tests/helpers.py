@@ -24,12 +24,12 @@ def bronze(spark, rows):
 
 
 SIX_RULES = [
-    (1, None, "All source columns are mapped", "SchemaDrift", None, "{}", "Warning", True),
-    (2, None, "File is not empty", "RowCount", None, '{"min": 1}', "Error", True),
-    (3, None, "Plant is populated", "NotNull", "Plant", "{}", "Error", True),
-    (4, None, "Incidents are not negative", "Range", "Value", '{"min": 0}', "Error", True),
-    (5, None, "Fact grain is unique", "Unique", None, '{"cols": []}', "Error", True),
-    (6, None, "No mapped column is missing", "MissingColumn", None, "{}", "Error", True),
+    (1, None, "Headers known to the mapping", "SchemaDrift", None, "{}", "Warning", True),
+    (2, None, "Some rows arrived", "RowCount", None, '{"min": 1}', "Error", True),
+    (3, None, "Every row has a plant", "NotNull", "Plant", "{}", "Error", True),
+    (4, None, "Counts from zero up", "Range", "Value", '{"min": 0}', "Error", True),
+    (5, None, "One row per plant, month and type", "Unique", None, '{"cols": []}', "Error", True),
+    (6, None, "Mapped headers arrived", "MissingColumn", None, "{}", "Error", True),
 ]
 
 D = date

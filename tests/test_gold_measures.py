@@ -139,20 +139,6 @@ def test_display_masks(spark):
     assert got == [("▲ 1,234", "+2.6%"), ("▼ 5", "-12.3%"), ("0", "0.0%"), (None, None), ("0", "0.0%")]
 
 
-def test_plant_broadcast_only_below_checked_size(spark):
-    st = star_of(spark, [("P1", date(2020, 1, 1), "Internal", "01", 1)])
-    s = silver_df(spark, [("P1", date(2020, 1, 1), "Internal", "01", 1)])
-    small = gold.fact(s, st.dim_plant, st.dim_date, st.dim_incident_type, plant_rows=1)
-    spark.conf.set(gold.BROADCAST_ROWS_CONF, "0")
-    try:
-        big = gold.fact(s, st.dim_plant, st.dim_date, st.dim_incident_type, plant_rows=1)
-    finally:
-        spark.conf.unset(gold.BROADCAST_ROWS_CONF)
-    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-    assert hinted(small)
-    assert big.count() == small.count() == 1
-
-
 def test_slicer_options_restricted_by_periods(spark):
     from metamart.operators import reports
     st = star_of(spark, [("P1", date(2019, 1, 1), "Internal", "01", 1), ("P2", date(2020, 12, 1), "External", "01", 2),

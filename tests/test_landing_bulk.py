@@ -3,7 +3,10 @@
 import csv as _csv
 import os
 
+import pytest
+
 from metamart import schemas
+from metamart.operators.reshape import MissingHeaderError
 from metamart.plans import binding as B
 from metamart.sources import landing, warehouse as W
 from tests.conftest import SF0001
@@ -93,3 +96,53 @@ def test_bulk_csv_with_byte_order_mark_and_crlf(spark, tmp_path):
     sources = spark.createDataFrame([(1, "a.csv")], "SourceId int, FilePath string")
     got = [(r.Plant, r.SourceColumn, r.Value) for r in landing.ingest_landing(spark, sources, keys, str(d)).collect()]
     assert got == [("P", "Q", 4)]
+
+
+KEYS = [(s, c, c, t) for s in (1, 2) for c, t in (("Plant", "text"), ("Month", "date"))]
+
+
+def one_file(spark, folder, header, rows, keys=KEYS, name="a.csv"):
+    os.makedirs(folder, exist_ok=True)
+    write_csv(folder / name, header, rows)
+    sources = spark.createDataFrame([(1, name)], "SourceId int, FilePath string")
+    return landing.ingest_landing(spark, sources, spark.createDataFrame(keys, schemas.KEY_COLUMN_MAPPING), str(folder))
+
+
+def test_header_longer_than_a_mebibyte(spark, tmp_path):
+    heads = [f"Q{i} " + "x" * 12_000 for i in range(100)]
+    got = one_file(spark, tmp_path / "w", ["Plant", "Month", *heads], [["P", "2020-01-01", *range(100)]])
+    assert sorted(r.Value for r in got.collect()) == list(range(100))
+
+
+def test_whole_numbers_above_double_precision_stay_exact(spark, tmp_path):
+    got = one_file(spark, tmp_path / "n", ["Plant", "Month", "Q"],
+                   [["P", "2020-01-01", 9007199254740993], ["P", "2020-02-01", "2.5"], ["P", "2020-03-01", "-3.5"]])
+    assert sorted(r.Value for r in got.collect()) == [-4, 2, 9007199254740993]
+
+
+@pytest.mark.parametrize("header,row,what", [
+    (["Plant", "Month", "Q"], ["P", "2020-01-01", "5", "77"], "behind the last header"),
+    (["Plant", "Month", "Q"], ["P\nX", "2020-01-01", "5"], "line break inside quotes")])
+def test_lines_that_do_not_fit_raise(spark, tmp_path, header, row, what):
+    with pytest.raises(Exception, match=what):
+        one_file(spark, tmp_path / "x", header, [row]).collect()
+
+
+def test_key_headers_must_be_there_and_unique(spark, tmp_path):
+    keys = [(1, "Werk", "Plant", "text"), (1, "Month", "Month", "date")]
+    for header in (["Plant", "Month", "Q"], ["Werk", "Plant", "Month"]):
+        with pytest.raises(MissingHeaderError):
+            one_file(spark, tmp_path / header[1], header, [["P", "2020-01-01", "5"]], keys)
+
+
+def test_one_file_registered_twice_raises(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", ["Plant", "Month", "Q"], [["P", "2020-01-01", "5"]])
+    sources = spark.createDataFrame([(1, "a.csv"), (2, "./a.csv")], "SourceId int, FilePath string")
+    with pytest.raises(ValueError, match="same file"):
+        landing.ingest_landing(spark, sources, spark.createDataFrame(KEYS, schemas.KEY_COLUMN_MAPPING), str(tmp_path))
+
+
+def test_wide_reader_keeps_quoted_line_breaks(spark, tmp_path):
+    write_csv(tmp_path / "q.csv", ["Plant", "Month", "Q"], [["P\nX", "2020-01-01", "5"], ["Y", "2020-02-01", "6"]])
+    got = landing.ingest({1: landing.read_wide(spark, str(tmp_path / "q.csv"))}, spark.createDataFrame(KEYS[:2], schemas.KEY_COLUMN_MAPPING))
+    assert sorted((r.Plant, r.Value) for r in got.collect()) == [("P\nX", 5), ("Y", 6)]
