@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from metamart.llm import decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, quality, sentence_dedup, suffix_dedup, tokens, toxicity
 from metamart.llm.common import read_table, scratch_path
+from metamart.llm.oracle import ORACLE_SQL  # noqa: F401 - the entry reads both tables here
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,4 +66,4 @@ QUERIES = {
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
