@@ -15,6 +15,8 @@ def test_every_query_matches_its_sql(spark):
     sql = E.oracle_sql()
     bad = {}
     for name, q in E.queries().items():
+        if name not in sql:             # tested by brute force where SQL cannot say it
+            continue
         df = q(spark, SF0001)
         cols = df.columns
         stypes = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
