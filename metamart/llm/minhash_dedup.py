@@ -14,9 +14,10 @@ makes up half a document.  Sets of up to 27 shingles have complete sketches and
 exact prefix.
 
 No pairs within a group.  Identical sets collapse first.  In a list every
-member is compared with one leader; only members that the leader does not
-confirm are then compared with the rest of the list (pairs already known to be
-connected are left out).  Components need no more links than these.
+member is compared with one leader, its least edited member.  Members that the
+leader does not confirm meet the rest of the list, but for pairs that are
+connected already and pairs whose own shingles exclude a link (an exact bound).
+Components need no more links than these.
 
 Defined results: null or empty texts have no shingles and no link; documents
 of fewer than 5 words have one shingle; rows with a null doc_id take part in
@@ -90,8 +91,9 @@ def _estimate_fits(a: str, b: str):
 
 
 def postings(reps: DataFrame) -> DataFrame:
-    """(v, id, n): the retained values that generate candidates, rare ones
-    first within every document; values of a single document are no list."""
+    """(v, id, n, own): the retained values that generate candidates, rare ones
+    first within every document; values of a single document are no list.
+    ``own`` counts a sketch's values that no other document has."""
     post = reps.select(F.col("doc_id").alias("id"), "n", F.size("sketch").alias("k"), F.explode("sketch").alias("v"))
     shared = post.groupBy("v").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     ranked = (post.join(shared, "v").groupBy("id", "n", "k")
@@ -99,11 +101,13 @@ def postings(reps: DataFrame) -> DataFrame:
     prefix = F.expr(f"CASE WHEN n <= {EXACT} THEN n - (n * {NUM} + {DEN - 1}) DIV {DEN} + 1 "
                     f"ELSE k - {SHARED} + 1 END")
     room = F.greatest(F.lit(0), prefix - (F.col("k") - F.size("vs"))).cast("int")
-    return ranked.select("id", "n", F.explode(F.slice("vs", F.lit(1), room)).alias("x")).select("x.v", "id", "n")
+    return (ranked.select("id", "n", (F.col("k") - F.size("vs")).alias("own"),
+                          F.explode(F.slice("vs", F.lit(1), room)).alias("x")).select("x.v", "id", "n", "own"))
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose full sets meet the threshold."""
+def _scored(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, common, linked) of the pairs that the sketches do not exclude:
+    the exact size of the intersection of their full sets."""
     sk = reps.select("doc_id", "sketch")
     near = (pairs.join(sk.toDF("a", "sa"), "a").join(sk.toDF("b", "sb"), "b")
             .filter(_estimate_fits("sa", "sb")).select("a", "b"))
@@ -111,7 +115,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
     both = (near.join(sets.toDF("b", "tb"), "b").join(sets.toDF("a", "ta"), "a")
             .withColumn("common", F.expr("size(array_intersect(ta, tb))")))
     fits = F.expr(f"{DEN} * common >= {NUM} * (size(ta) + size(tb) - common)")
-    return both.filter(fits).select("a", "b")
+    return both.select("a", "b", F.col("common").cast("long").alias("common"), fits.alias("linked"))
 
 
 def link_classes(docs: DataFrame, prof: DataFrame) -> DataFrame:
@@ -121,27 +125,61 @@ def link_classes(docs: DataFrame, prof: DataFrame) -> DataFrame:
     reps = materialize(prof.join(classes, ["digest", "doc_id"]).dropDuplicates(["doc_id"])
                        .select("doc_id", "n", "sketch"), "reps")
     post = materialize(postings(reps), "postings")
-    lists = (post.groupBy("v").agg(F.min(F.struct("id", "n")).alias("lead"), F.count(F.lit(1)).alias("members"))
+    # the leader has the fewest values of its own: of edited copies, the least edited one
+    lists = (post.groupBy("v").agg(F.min(F.struct("own", "id", "n")).alias("lead"), F.count(F.lit(1)).alias("members"))
              .filter("members > 1").select("v", F.col("lead.id").alias("lead"), F.col("lead.n").alias("lead_n")))
     led = materialize(post.join(lists, "v").filter("id <> lead"), "led")
-    pairs = led.filter(_sizes_fit("n", "lead_n")).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    pairs = led.filter(_sizes_fit("n", "lead_n")).select(F.least("lead", "id").alias("a"),
+                                                              F.greatest("lead", "id").alias("b")).distinct()
 
     members = led.select("id").union(led.select("lead")).distinct().withColumnRenamed("id", "doc_id")
     texts = _id_text(docs).join(members, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     sets = materialize(texts.mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
-    star = materialize(_verified(pairs, reps, sets), "links")
+    scored = materialize(_scored(pairs, reps, sets), "scored")
+    star = scored.filter("linked").select("a", "b")
 
-    # members that their list's leader did not confirm meet the rest of the list
     root = materialize(components(star), "roots")
-    placed = (led.join(root.toDF("id", "r"), "id", "left").join(root.toDF("lead", "lr"), "lead", "left")
+    rest = _unconfirmed(led, scored, root, sets)
+    return star.unionByName(_scored(rest, reps, sets).filter("linked").select("a", "b"))
+
+
+def _unconfirmed(led: DataFrame, scored: DataFrame, root: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a list's members, one of them not connected to the
+    list's leader, that may still be links.
+
+    A shingle that no other document of these lists has cannot be common to a
+    pair.  With f = n less such shingles, a pair shares at most
+    least(f_x, f_y) shingles; most members drop out on their own, against the
+    smallest set of the list, before any pair is formed.  Of the shingles that a pair
+    shares, at most least(c_x, c_y) are the leader's, c being the exact number
+    that a member shares with the leader, and at most least(f_x - c_x, f_y - c_y) are not."""
+    common = scored.select("a", "b", "common")
+    placed = (led.withColumns({"a": F.least("id", "lead"), "b": F.greatest("id", "lead")})
+              .join(common, ["a", "b"], "left")
+              .join(root.toDF("id", "r"), "id", "left").join(root.toDF("lead", "lr"), "lead", "left")
               .withColumn("open", F.expr("r IS NULL OR lr IS NULL OR r <> lr"))
-              .select("v", "id", "n", F.coalesce("r", "id").alias("r"), "open"))
-    placed = materialize(placed, "placed")
-    loose = placed.filter("open").select("v", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("r").alias("xr"))
-    rest = (loose.join(placed, "v").filter(F.expr("x <> id AND xr <> r AND (NOT open OR x < id)"))
-            .filter(_sizes_fit("n", "xn"))
+              .select("v", "id", "lead", "n", "common", F.coalesce("r", "id").alias("r"), "open"))
+    unsure = placed.filter("open").select("v").distinct()
+    placed = materialize(placed.join(unsure, "v"), "placed")
+    ids = placed.select(F.col("id").alias("doc_id")).union(placed.select("lead")).distinct()
+    lone = (sets.join(ids, "doc_id").select("doc_id", F.explode("shingles").alias("s"))
+            .groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("id")).filter("c = 1")
+            .groupBy("id").agg(F.count(F.lit(1)).alias("lone")))
+    able = (placed.join(lone, "id", "left").withColumn("f", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone")
+            .filter(f"{DEN} * f >= {NUM} * n"))
+    able = materialize(able, "able")
+    least = able.groupBy("v").agg(F.min("n").alias("least_n"), F.max("open").alias("open_left")).filter("open_left")
+    able = able.join(least, "v").filter(f"{DEN} * f >= {NUM} * (n + least_n - f)")
+    # without an exact count (the sketches excluded the leader) the second bound is f itself
+    able = able.select("v", "id", "n", "r", "open", "f", F.coalesce("common", F.lit(0)).alias("c"))
+    able = materialize(able, "able-pairs")
+    loose = able.filter("open").select("v", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("r").alias("xr"),
+                                       F.col("f").alias("xf"), F.col("c").alias("xc"))
+    shared = "least(f, xf, least(c, xc) + least(f - c, xf - xc))"
+    shared = f"if(c = 0 OR xc = 0, least(f, xf), {shared})"
+    may = F.expr(f"{DEN} * {shared} >= {NUM} * (n + xn - {shared})")
+    return (loose.join(able, "v").filter(F.expr("x <> id AND xr <> r AND (NOT open OR x < id)")).filter(may)
             .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct())
-    return star.unionByName(_verified(rest, reps, sets))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
