@@ -26,9 +26,8 @@ from metamart.sources import landing, warehouse as W
 def init_warehouse(spark: SparkSession, root: str, registry: DataFrame, key_map: DataFrame,
                    mapping: DataFrame, rules: DataFrame) -> W.Warehouse:
     wh = W.ensure_layers(spark, root)
-    for name, df in (("source_registry", registry), ("key_column_mapping", key_map),
-                     ("column_mapping", mapping), ("dq_rules", rules)):
-        W.save_meta(wh, name, df)
+    W.save_meta_tables(wh, {"source_registry": registry, "key_column_mapping": key_map,
+                            "column_mapping": mapping, "dq_rules": rules})
     return wh
 
 
@@ -38,8 +37,8 @@ def register(wh: W.Warehouse, requests: DataFrame) -> DataFrame:
     # decided once and materialised, before any table is rewritten
     result = meta.register_sources(reg, keys, requests).result.checkpoint(eager=True)
     rows = meta.registration_rows(result)
-    W.save_meta(wh, "source_registry", reg.unionByName(rows.registry_rows))
-    W.save_meta(wh, "key_column_mapping", keys.unionByName(rows.key_rows))
+    W.save_meta_tables(wh, {"source_registry": reg.unionByName(rows.registry_rows),
+                            "key_column_mapping": keys.unionByName(rows.key_rows)})
     return result
 
 

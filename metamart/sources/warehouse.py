@@ -7,13 +7,15 @@ object store path on a cluster):
 * ``bronze/measures_raw/SourceID=<k>/`` -- one partition per source;
 * ``audit/validation_log/`` and ``meta/column_mapping_proposal/`` --
   append-only;
-* ``meta/<table>/`` -- metadata tables;
+* ``meta/<table>/v=<version>/`` plus ``meta/_published/`` -- metadata tables,
+  several of them published by one row;
 * ``gold/v=<version>/<table>/`` plus ``gold/_published/`` -- an append-only
   list of published versions; readers resolve the newest one once.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -22,7 +24,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType, TimestampType
 from pyspark.errors import AnalysisException
 
 from metamart import schemas
@@ -87,23 +89,44 @@ def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 # --------------------------------------------------------------------- meta
+_META_PUBLISHED = StructType([StructField("Version", StringType(), False),
+                              StructField("PublishedAt", TimestampType(), False),
+                              StructField("Tables", ArrayType(StringType()), False)])
+
+
 def load_meta(wh: Warehouse, name: str) -> DataFrame:
-    """A4: a metadata table."""
-    return _read(wh.spark, wh.path("meta", name), META_SCHEMAS[name])
+    """A4: a metadata table, as last published."""
+    pub = _read(wh.spark, wh.path("meta", "_published"), _META_PUBLISHED)
+    row = (pub.filter(F.array_contains("Tables", name))
+           .agg(F.max_by("Version", F.struct("PublishedAt", "Version")).alias("v")).first())
+    if row["v"] is None:
+        return local_frame(wh.spark, [], META_SCHEMAS[name])
+    return wh.spark.read.schema(META_SCHEMAS[name]).parquet(wh.path("meta", name, f"v={row['v']}"))
 
 
 def save_meta(wh: Warehouse, name: str, df: DataFrame) -> None:
-    """Rewrite a metadata table.  The new content is checkpointed first so
-    the rewrite never reads the files it replaces, and checked against the
-    table's contract (NOT NULL, VARCHAR lengths): a violation raises and
-    the table is left as it was."""
-    schema = META_SCHEMAS[name]
-    out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    out = out.checkpoint(eager=True)
-    checks = [F.count_if(F.col(f.name).isNull()).alias(f"null:{f.name}") for f in schema.fields if not f.nullable]
-    checks += [F.count_if(F.length(c) > n).alias(f"length>{n}:{c}") for c, n in schemas.META_LENGTHS[name].items()]
-    raise_on_violations(name, out.agg(*checks).first().asDict())
-    out.coalesce(1).write.mode("overwrite").parquet(wh.path("meta", name))
+    """Rewrite one metadata table (see ``save_meta_tables``)."""
+    save_meta_tables(wh, {name: df})
+
+
+def save_meta_tables(wh: Warehouse, tables: Mapping[str, DataFrame]) -> None:
+    """Rewrite metadata tables as one unit.  Each is written as a new version
+    and checked against its contract (NOT NULL, VARCHAR lengths); one row then
+    publishes all of them.  A violation, or a failure at any step before
+    that row, leaves every table as it was."""
+    version = uuid.uuid4().hex
+    for name, df in tables.items():
+        schema = META_SCHEMAS[name]
+        path = wh.path("meta", name, f"v={version}")
+        out = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        checks = [F.count_if(F.col(f.name).isNull()).alias(f"null:{f.name}") for f in schema.fields if not f.nullable]
+        checks += [F.count_if(F.length(c) > n).alias(f"length>{n}:{c}") for c, n in schemas.META_LENGTHS[name].items()]
+        obs = Observation(f"meta_{name}_{version[:8]}")
+        out.observe(obs, F.count(F.lit(1)).alias("rows"), *checks).coalesce(1).write.parquet(path)
+        raise_on_violations(name, {k: v for k, v in obs.get.items() if k != "rows"})
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    (wh.spark.createDataFrame([(version, now, list(tables))], _META_PUBLISHED)
+     .coalesce(1).write.mode("append").parquet(wh.path("meta", "_published")))
 
 
 def load_proposals(wh: Warehouse) -> DataFrame:
@@ -247,16 +270,23 @@ def _fs(path: str):
     return pafs.LocalFileSystem(), ("/" + path[5:].lstrip("/")) if path.startswith("file:") else path
 
 
-def prune_gold_versions(wh: Warehouse, keep: int = 2) -> list[str]:
+def prune_gold_versions(wh: Warehouse, keep: int = 2, spare_hours: float = 24.0) -> list[str]:
     """Delete gold version folders except the ``keep`` most recently
     published (and never the current one); folders of versions that were
-    never published (failed loads) are deleted too.  Returns what was
+    never published (failed loads) go once they are ``spare_hours`` old, so a
+    load that is still running keeps what it writes.  Returns what was
     deleted.  A reader still on the previous version is safe with keep >= 2.
     """
     import pyarrow.fs as pafs
     pub = _read(wh.spark, wh.path("gold", "_published"), _PUBLISHED)
     recent = [r["Version"] for r in pub.orderBy(F.desc("PublishedAt"), F.desc("Version"))
               .select("Version").limit(max(1, keep)).collect()]
+    known = {r["Version"] for r in pub.select("Version").distinct().collect()}      # one row per load
+
+    def newest(fs, path: str) -> float:
+        times = [i.mtime.timestamp() for i in fs.get_file_info(pafs.FileSelector(path, recursive=True)) if i.mtime]
+        return max(times, default=time.time())
+
     fs, base = _fs(wh.path("gold"))
     try:
         entries = fs.get_file_info(pafs.FileSelector(base, recursive=False))
@@ -266,6 +296,8 @@ def prune_gold_versions(wh: Warehouse, keep: int = 2) -> list[str]:
     for e in entries:
         if e.type == pafs.FileType.Directory and e.base_name.startswith("v="):
             v = e.base_name[2:]
+            if v not in known and time.time() - newest(fs, e.path) < 3600 * spare_hours:
+                continue
             if v not in recent:
                 fs.delete_dir(e.path)
                 gone.append(v)

@@ -2,6 +2,8 @@
 
 from datetime import datetime
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from metamart import schemas
@@ -71,3 +73,41 @@ def test_metadata_contract_on_rewrite(spark, root):
     with pytest.raises(ContractViolation, match="SourceColumn"):
         W.save_meta(wh, "column_mapping", W.load_meta(wh, "column_mapping").unionByName(too_long))
     assert W.load_meta(wh, "column_mapping").count() == 1
+
+
+def test_metadata_tables_are_published_as_one_unit(spark, root, monkeypatch):
+    reg = spark.createDataFrame([(1, "one", "s1.csv", "Sheet1", True)], schemas.SOURCE_REGISTRY)
+    keys = spark.createDataFrame([(1, "Plant", "Plant", "text")], schemas.KEY_COLUMN_MAPPING)
+    wh = W.ensure_layers(spark, root)
+    W.save_meta_tables(wh, {"source_registry": reg, "key_column_mapping": keys})
+    more = reg.unionByName(spark.createDataFrame([(2, "two", "s2.csv", "Sheet1", True)], schemas.SOURCE_REGISTRY))
+    bad = spark.createDataFrame([(2, "x" * 5000, "Plant", "text")], schemas.KEY_COLUMN_MAPPING)
+    with pytest.raises(Exception):
+        W.save_meta_tables(wh, {"source_registry": more, "key_column_mapping": bad})
+    assert W.load_meta(wh, "source_registry").count() == W.load_meta(wh, "key_column_mapping").count() == 1
+    W.save_meta_tables(wh, {"source_registry": more})
+    assert W.load_meta(wh, "source_registry").count() == 2 and W.load_meta(wh, "key_column_mapping").count() == 1
+
+
+def test_only_a_missing_table_reads_as_empty(spark, root):
+    wh = W.ensure_layers(spark, root)
+    assert W.load_log(wh).count() == 0
+    with pytest.raises(AnalysisException):
+        W._raise_unless_absent(catch(lambda: spark.sql("SELECT nothing_like_it")))
+
+
+def catch(run):
+    try:
+        run()
+    except AnalysisException as e:
+        return e
+
+
+def test_pruning_spares_a_running_load(spark, root):
+    wh = W.ensure_layers(spark, root)
+    for v in ("a", "b", "c", "running"):
+        spark.range(1).write.parquet(wh.path("gold", f"v={v}", "fact"))
+        if v != "running":
+            W.mark_published(wh, v)
+    assert W.prune_gold_versions(wh, keep=2) == ["a"]
+    assert W.prune_gold_versions(wh, keep=2, spare_hours=0) == ["running"]
