@@ -84,11 +84,28 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw[1:], np.float64) if len(raw) % 4 else np.frombuffer(raw, np.float32).astype(np.float64)
 
 
-def _unit(vecs: list[np.ndarray]) -> np.ndarray:
-    x = np.stack(vecs)
+def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
+def _pack_tiles(batches):
+    """All vectors of a tile as one run of bytes."""
+    for b in small_batches(batches, 8):
+        out = []
+        for raw in b.column(b.num_columns - 1):
+            parts = raw.as_py()
+            if any(len(v) % 4 for v in parts):
+                parts = [_unpack(v).tobytes() for v in parts]
+            out.append(b"".join(parts))
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.binary())], names=b.schema.names)
+
+
+def _tile(dim: int, ids: pa.Array, mult: pa.Array, raw: bytes):
+    ids = ids.values.to_numpy(zero_copy_only=False)
+    x = np.frombuffer(raw, np.float32 if len(raw) == 4 * dim * len(ids) else np.float64)
+    return ids, mult.values.to_numpy(zero_copy_only=False), _unit(x.astype(np.float64).reshape(len(ids), -1))
+
+
 def _cells(cosine: float):
     def run(batches):
         for b in small_batches(batches, 1000):
@@ -96,7 +113,7 @@ def _cells(cosine: float):
             raw = b.column(2).to_pylist()
             for dim in np.unique(dims).tolist():
                 rows = np.flatnonzero(dims == dim)
-                y = _unit([_unpack(raw[i]) for i in rows]) @ rotation(dim)
+                y = _unit(np.stack([_unpack(raw[i]) for i in rows])) @ rotation(dim)
                 for n, s in enumerate(block_slices(dim)):
                     r = np.sqrt((2 - 2 * cosine) * (s.stop - s.start) / dim + SLACK)
                     g = np.floor(y[:, s][:, :2] / r).astype(np.int32)
@@ -130,13 +147,16 @@ def _tile_links(cosine: float):
         limit = [eps2 * (s.stop - s.start) / dim + SLACK for s in slices]
         s = slices[block]
         turn = rotation(dim)
-        ya, yb = a @ turn, b @ turn
-        fb = yb[:, s].astype(np.float32)
+        # one product of extended vectors is -(squared distance) / 2
+        xa, xb = a @ turn[:, s], b @ turn[:, s]
+        fa = np.column_stack((xa, -0.5 * (xa * xa).sum(1), np.ones(len(a)))).astype(np.float32)
+        fb = np.column_stack((xb, np.ones(len(b)), -0.5 * (xb * xb).sum(1))).astype(np.float32).T
         left, right = [], []
         for at in range(0, len(a), STRIP):
-            fa = ya[at:at + STRIP, s].astype(np.float32)
-            d2 = (fa * fa).sum(1)[:, None] + (fb * fb).sum(1)[None, :] - 2 * (fa @ fb.T)
-            i, j = np.nonzero(d2 <= limit[block] + 1e-5)
+            near = fa[at:at + STRIP] @ fb >= np.float32(-0.5 * limit[block] - 1e-5)
+            if not near.any():
+                continue
+            i, j = np.nonzero(near)
             i += at
             if same:
                 i, j = i[i < j], j[i < j]
@@ -144,7 +164,7 @@ def _tile_links(cosine: float):
                 ci, cj = i[cut:cut + 200_000], j[cut:cut + 200_000]
                 ok = np.einsum("ij,ij->i", a[ci], b[cj]) >= cosine
                 ci, cj = ci[ok], cj[ok]
-                diff = (ya[ci] - yb[cj]) ** 2
+                diff = ((a[ci] - b[cj]) @ turn) ** 2
                 ok = diff[:, s].sum(1) <= limit[block]
                 for t, l in zip(slices[:block], limit[:block], strict=True):
                     ok &= diff[:, t].sum(1) > l             # an earlier block has it
@@ -169,8 +189,7 @@ def _tile_links(cosine: float):
     def run(batches):
         for b in small_batches(batches, 1):
             row = {n: b.column(i)[0] for i, n in enumerate(b.schema.names)}
-            side = lambda x: (row["ids_" + x].values.to_numpy(zero_copy_only=False), row["mult_" + x].values.to_numpy(zero_copy_only=False),
-                              _unit([_unpack(v) for v in row["raw_" + x].values.to_pylist()]))
+            side = lambda x: _tile(row["dim"].as_py(), row["ids_" + x], row["mult_" + x], row["raw_" + x].as_py())
             same = row["same"].as_py()
             a = side("a")
             out = pair(row["b"].as_py(), *a, *(a if same else side("b")), same)
@@ -198,7 +217,8 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
              .agg(F.array_sort(F.collect_list(F.struct("id", "mult", "raw"))).alias("v"))
              .select(F.struct(*key, "tile").alias("t"), F.col("v.id").alias("ids"), F.col("v.mult").alias("mult"),
                      F.col("v.raw").alias("raw")))
-    tiles = materialize(tiles, "tiles")
+    tiles = materialize(tiles.mapInArrow(_pack_tiles, "t struct<dim:int,b:int,g1:int,g2:int,tile:int>, ids array<long>, "
+                                                      "mult array<long>, raw binary"), "tiles")
 
     # pairs of tiles in the same or adjacent cells, each pair once: names only, no vectors
     names = sizes.select(*key, F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
@@ -207,10 +227,10 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
             .select(F.struct(*key, "tile").alias("ta"), F.col("dim").alias("dim"), F.col("b").alias("b"),
                     (F.col("g1") + F.col("s.x")).alias("g1"), (F.col("g2") + F.col("s.y")).alias("g2")))
     right = names.select(*key, F.struct(*key, "tile").alias("tb"))
-    pairs = materialize(left.join(right, key).filter("ta <= tb").select("b", "ta", "tb"), "tile-pairs")
+    pairs = materialize(left.join(right, key).filter("ta <= tb").select("dim", "b", "ta", "tb"), "tile-pairs")
     work = (pairs.join(tiles.toDF("ta", "ids_a", "mult_a", "raw_a"), "ta")
             .join(tiles.toDF("tb", "ids_b", "mult_b", "raw_b"), "tb")
-            .select("b", (F.col("ta") == F.col("tb")).alias("same"), "ids_a", "mult_a", "raw_a", "ids_b", "mult_b", "raw_b"))
+            .select("dim", "b", (F.col("ta") == F.col("tb")).alias("same"), "ids_a", "mult_a", "raw_a", "ids_b", "mult_b", "raw_b"))
     found = materialize(work.mapInArrow(_tile_links(cosine), "id long, n long, root long"), "found")
 
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
