@@ -25,6 +25,7 @@ unspecified order among themselves; extra columns are ignored.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from itertools import filterfalse
 
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from metamart.llm.common import small_batches
+from metamart.llm.common import materialize, small_batches
 
 END_ID = 0
 ROW_GROUP_BYTES = 32 << 20
@@ -58,6 +59,11 @@ class PieceEncoder:
         self.tok.encode_special_tokens = True
         self.newline = int(np.frombuffer(self._ids("\n"), "<u4")[0])
         self.tails = {c: self._ids(c) for c in ".,;:!?"}
+        self.model = self.tok.model
+        # byte-level vocabularies name bytes that are no visible Latin-1 character by the
+        # characters from 256 on
+        hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+        self.alphabet = {b: chr(256 + i) for i, b in enumerate(hidden)}
         # pieces after a space, and pieces at the start of a text or line
         self.now = {" ": {}, "": {}}
         self.old = {" ": {}, "": {}}
@@ -95,6 +101,7 @@ class PieceEncoder:
         (empty, or white space that would run on into the next piece)."""
         known, old = self.now[lead], self.old[lead]
         plain: list[str] = []
+        letters: list[str] = []
         built: list[tuple[str, str, list[str] | bytes]] = []
         for p in pieces:
             if p in known:
@@ -113,8 +120,14 @@ class PieceEncoder:
                     known[p] = self._ids(lead + p)
             elif p[-1] in self.tails and p[:-1].isalpha() and max(p) < "\u0250":
                 built.append((p, p[:-1], self.tails[p[-1]]))
+            elif p.isalpha() and max(p) < "\u0250":
+                letters.append(p)
             else:
                 plain.append(p)
+        # letters after at most one space are one word of the vocabulary's splitting
+        for p in letters:
+            ids = [x.id for x in self.model.tokenize((lead + p).encode().decode("latin-1").translate(self.alphabet))]
+            known[p] = struct.pack(f"<{len(ids)}I", *ids)
         if plain:
             # one call for all: a line break between two pieces is a token of its own
             ids = np.array(self.tok.encode("\n".join([lead + p for p in plain]), add_special_tokens=False).ids,
@@ -220,4 +233,5 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from its ids in the files."""
     rows = read_tokens(spark, path, "doc_id", "token_ids").mapInArrow(
         _digest, "part long, row long, doc_id long, n_tokens long, ids_crc32 long")
+    rows = materialize(rows, "token-digests")      # the token pages are read once
     return with_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
