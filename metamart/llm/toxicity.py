@@ -215,6 +215,14 @@ def _stream(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return chars, np.repeat(np.arange(len(words)), [len(w) for w in words])
 
 
+def _spelt(text: str) -> list[str]:
+    """The folded words of a text, with their marks."""
+    chars, word, n = word_stream(text)
+    cuts = np.searchsorted(word, np.arange(n + 1)).tolist()
+    raw = chars.tobytes().decode("latin-1")
+    return [raw[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 class Landmarks:
     """Landmark words in the space of subsequences, and the Nystroem map."""
 
@@ -268,26 +276,29 @@ def train(rows: list[tuple[int, list[str]]]) -> Model:
     if len(kinds) < 2:
         constant = {frozenset(): 0.5, frozenset((0,)): 0.25, frozenset((1,)): 0.75}[frozenset(kinds)]
         return Model(np.zeros(CHARS ** LENGTH, np.float32), 0.0, np.zeros(3), constant)
-    # a document's distinct folded words, long enough for a subsequence
-    words: list[list[str]] = []
-    seen: set[tuple[int, str]] = set()
-    after: set[tuple[str, str]] = set()                           # (word, word before) in toxic documents
+    # distinct folded words of toxic documents; of clean ones only their counts
+    df: list[Counter[str]] = [Counter(), Counter()]
+    toxic: list[list[str]] = []
+    seen: set[int] = set()
     for y, texts in rows:
-        texts = [t for t in texts if (y, t) not in seen]          # copies of a document teach nothing new
-        seen.update((y, t) for t in texts)
-        chars, word, _ = word_stream("\n".join(texts))
-        cuts = np.searchsorted(word, np.arange((word[-1] if len(word) else -1) + 2))
-        raw = chars.tobytes().decode("latin-1")
-        spelt = [raw[a:z] for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-        words.append(sorted({w for w in spelt if len(w) > LENGTH}))
-        if y == 1:
-            after.update(zip(spelt[1:], spelt[:-1]))
-    df = [Counter(w for (y, _), ws in zip(rows, words, strict=True) if y == k for w in ws) for k in (0, 1)]
-    toxic = [ws for (y, _), ws in zip(rows, words, strict=True) if y == 1 and ws]
+        keys = [xxhash.xxh3_64_intdigest(t, seed=y) for t in texts]
+        own = sorted(set(_spelt("\n".join(t for t, k in zip(texts, keys, strict=True) if k not in seen))))
+        seen.update(keys)                             # copies of a document teach nothing new
+        own = [w for w in own if len(w) > LENGTH]
+        df[y].update(own)
+        if y == 1 and own:
+            toxic.append(own)
     n0, n1 = (max(1, sum(y == k for y, _ in rows)) for k in (0, 1))
     least = min(max(3, n1 // 100), max(df[1].values(), default=1))
-    places = Counter(w for w, _ in after)       # near copies repeat a word in one place only
-    seeds = {w for w, n in df[1].items() if min(n, places[w]) >= least and min(n, places[w]) / n1 >= TYPICAL * (df[0][w] + 0.2) / n0}
+
+    def typical(w: str, n: int) -> bool:
+        return n >= least and n / n1 >= TYPICAL * (df[0][w] + 0.2) / n0
+
+    maybe = {w for w, n in df[1].items() if typical(w, n)}
+    after = {(w, before) for y, texts in rows if y == 1 for spelt in [_spelt("\n".join(texts))]
+             for before, w in zip(spelt[:-1], spelt[1:], strict=True) if w in maybe}
+    places = Counter(w for w, _ in after)             # near copies repeat a word in one place only
+    seeds = {w for w in maybe if typical(w, min(df[1][w], places[w]))}
     by_hash = sorted(df[0].keys() - seeds, key=lambda w: (xxhash.xxh3_64_intdigest(w.encode()), w))
     marks = sorted(seeds, key=lambda w: (-df[1][w], w))[:LANDMARKS * 3 // 4]
     marks += sorted(df[0].keys() - seeds, key=lambda w: (-df[0][w], w))[:LANDMARKS - len(marks)]
