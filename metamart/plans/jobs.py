@@ -16,7 +16,6 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from metamart.operators import meta, proposals as P
 from metamart.plans import pipeline

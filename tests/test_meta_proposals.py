@@ -2,7 +2,6 @@
 
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from metamart import schemas
 from metamart.operators import meta, proposals as P
