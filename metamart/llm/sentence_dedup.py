@@ -1,13 +1,18 @@
 """Substring dedup by sliding sentence spans (op8).
 
-A unit is a sentence: it ends at . ! ? before white space, at an ideographic
-full stop, or at a line break; one of more than ``LONGEST`` words is cut every
-``LONGEST`` words, so a text without sentence ends has units too.  At every
-unit the shortest run of at least ``SENTENCES`` units and ``WORDS`` words is
+A sentence ends at . ! ? before white space, at an ideographic full stop, or at
+a line break.  A unit is a sentence or, of more than ``CUT`` words, a piece of
+one: it is also cut before the word whose hash is the smallest of ``CUT`` words in
+a row, unless a sentence begins among these.  So any ``CUT`` words hold a cut, and
+whether there is one at a word depends on ``CUT - 1`` words on either side alone.
+At every unit the shortest run of at least ``SENTENCES`` units and ``WORDS`` words is
 hashed (A-Z lower-cased, white space as one space).  A run that occurs more than once
-is removed wherever it is not the first: the sentences that any of these covers go.
-A repeated passage of 50 words holds such a run wherever its sentences begin,
-while short common phrases alone are too short to be one.
+is removed wherever it is not the first: the units that any of these covers go.
+
+A passage of 50 words that repeats with its line breaks is cut alike from its word 8
+to its word 42, whatever surrounds it.  A cut is at word 15 or before, and the run
+from there has at most 19 + ``CUT`` words, so it ends at word 42 or before: every such
+passage holds a run, while short common phrases alone are too short to be one.
 See ``spans`` for the method at scale and the defined results.
 """
 
@@ -20,35 +25,58 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from metamart.llm import spans
+from metamart.llm.common import mix64, word_codes
 
 SENTENCES = 2
 WORDS = 20
-LONGEST = 16
+LONGEST = 16           # words on which a cut within a sentence depends, about
+CUT = LONGEST // 2
 
 _END = re.compile(rb"[.!?]+[\"')\]]*\s+|(?:\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f)\s*|\n\s*")
-_WORD = re.compile(rb"[^\x20\x09-\x0d]+[\x20\x09-\x0d]*")
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def chosen(codes: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Words before which a text is cut: where sentences begin, and the smallest
+    hash of any CUT words in a row without such a place."""
+    h = np.append(np.maximum(mix64(codes), np.uint64(1)), np.uint64(0))       # the end is a cut too
+    h[begins] = 0
+    keep = h == 0
+    if len(h) >= CUT:
+        low = np.lib.stride_tricks.sliding_window_view(h, CUT).min(1)
+        pad = np.zeros(CUT - 1, np.uint64)
+        keep |= np.lib.stride_tricks.sliding_window_view(np.concatenate((pad, low, pad)), CUT).max(1) == h
+    return np.flatnonzero(keep[:-1])
 
 
 def sentences(text: bytes) -> spans.Units:
     cuts = [0, *(m.end() for m in _END.finditer(text)), len(text)]
     low = text.lower()
-    start, end, code, count = [], [], [], []
-
-    def add(a: int, z: int, words: list[bytes]) -> None:
-        start.append(a)
-        end.append(z)
-        code.append(xxhash.xxh3_64_intdigest(b" ".join(words)))
-        count.append(len(words))
-
+    words: list[bytes] = []
+    begins, starts = [], []
     for a, z in zip(cuts[:-1], cuts[1:], strict=True):
-        words = low[a:z].split()
-        if len(words) > LONGEST:
-            places = [a + m.start() for m in _WORD.finditer(text[a:z])] + [z]
-            for i in range(0, len(words), LONGEST):
-                add(places[i], places[min(i + LONGEST, len(words))], words[i:i + LONGEST])
-        elif words:
-            add(a, z, words)
-    return spans.Units(np.array(start, np.int64), np.array(end, np.int64), np.array(code, np.uint64), np.array(count, np.int64))
+        if part := low[a:z].split():
+            begins.append(len(words))
+            starts.append(a)
+            words += part
+    if not words:
+        none = np.empty(0, np.int64)
+        return spans.Units(none, none, none.astype(np.uint64), none)
+    codes = word_codes(words)
+    space = _SPACE[np.frombuffer(text, np.uint8)]
+    places = ~space
+    places[1:] &= space[:-1]
+    places[[a for a in starts if not space[a]]] = True       # a full stop without white space
+    places = np.flatnonzero(places)
+    places[begins] = starts
+    first = chosen(codes, np.array(begins))
+    last = np.append(first[1:], len(words))
+    raw = codes.astype("<u8").tobytes()
+    code = np.fromiter((xxhash.xxh3_64_intdigest(raw[8 * a:8 * z]) for a, z in zip(first.tolist(), last.tolist(), strict=True)),
+                       np.uint64, len(first))
+    start = places[first]
+    return spans.Units(start, np.append(start[1:], len(text)), code, last - first)
 
 
 RUNS = spans.Runs(sentences, SENTENCES, WORDS)
