@@ -1,13 +1,15 @@
 """Repeated runs of lines or sentences: found globally, removed but for the first.
 
 Shared by line dedup (op2) and substring dedup (op8).  Executors cut whole
-texts into units, hash every run of consecutive units, and emit one row per
-run.  One aggregate finds the runs that occur more than once and the smallest
+texts into units, hash the shortest sufficient run that begins and the one that
+ends at every unit, and emit one row per run.  One aggregate finds the runs that occur more than once and the smallest
 doc_id that has each; a join marks the other occurrences; the units that any of
 them covers are merged per document and removed from the text.
 
 A hot run (a third of all rows) is a partial aggregate and a join whose skewed
-side the adaptive planner splits.  A document's rows never exceed its units.
+side the adaptive planner splits.  A document's rows never exceed twice its units.
+Every unit of a longer repeated run is in one of the two, so the runs cover it to
+both its ends.
 
 Order: the first occurrence is that of the smallest doc_id, there the first
 place.  A run that repeats within its first document keeps its first place
@@ -51,13 +53,17 @@ class Runs:
 
     def of(self, text: bytes | None) -> tuple[Units, np.ndarray, np.ndarray, np.ndarray]:
         """(units, first unit, end unit and 63-bit hash of every run): at every
-        unit the shortest run that is long enough."""
+        unit the shortest runs that are long enough and begin or end there."""
         u = self.cut(text or b"")
         n = len(u.code)
         total = np.concatenate(([0], np.cumsum(u.words)))
         end = np.maximum(np.arange(n) + self.units, np.searchsorted(total, total[:-1] + self.words, "left"))
         first = np.flatnonzero(end <= n)
-        end = end[first]
+        until = np.arange(1, n + 1)
+        begin = np.minimum(until - self.units, np.searchsorted(total, total[1:] - self.words, "right") - 1)
+        until = until[begin >= 0]
+        pairs = np.unique(np.concatenate((first * (n + 1) + end[first], begin[begin >= 0] * (n + 1) + until)))
+        first, end = pairs // (n + 1), pairs % (n + 1)
         raw = u.code.astype("<u8").tobytes()
         code = np.fromiter((xxhash.xxh3_64_intdigest(raw[8 * a:8 * z]) >> 1 for a, z in zip(first.tolist(), end.tolist(), strict=True)),
                            np.int64, len(first))

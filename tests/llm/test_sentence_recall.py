@@ -62,3 +62,12 @@ def test_every_repeated_passage_of_the_table_is_found(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     again, missed = missed_passages([tuple(r) for r in docs.collect()], removed(docs))
     assert again and missed == []
+
+
+def test_short_last_sentences_of_a_passage_go_too(spark):
+    rnd = random.Random(4)
+    fresh = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n)) + ". "
+    passage = fresh(7) + fresh(6) + fresh(8) + fresh(7) + fresh(2) + fresh(1)
+    rows = [(i, fresh(8) + passage + fresh(8) + fresh(7), "en", "s", 0) for i in (1, 2)]
+    got = sentence_dedup.removals(spark.createDataFrame(rows, DOCS)).collect()
+    assert [(r.doc_id, r.text) for r in got] == [(2, rows[1][1].replace(passage, ""))]
