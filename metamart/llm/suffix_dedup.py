@@ -11,17 +11,19 @@ equal passages of ``MATCH`` words keep a suffix at the same place (about one in
 2. each suffix carries the hashes of the MATCH words from its place on and of
    the words before it, as far as a window reaches, and suffixes are sorted by
    them (range partitions; ties by doc_id and place, so a group of copies is
-   spread over many), and once more by the words before and then after;
+   spread over many);
 3. the nearest neighbours in the order are compared and extended right and left;
-   neighbours that share MATCH words form a run, whose members are also compared with the
-   run's first occurrence.  Runs at the ends of a partition hand their first
-   occurrence to a next, far smaller round, until one partition is left;
-4. every word that a verified match with an earlier occurrence covers is
+4. suffixes that share the GRAM words with more than NEAR others on a side, or with
+   the first or last of their partition, go on as windows of MATCH words: each that has
+   its smallest hash at the place, by a 64-bit hash.  An aggregate finds the first
+   occurrence of every window, a join the others; windows in a row are one match;
+5. every word that a match with an earlier occurrence covers is
    removed; the earlier occurrence (smallest doc_id, then place) stays.
 
-A match longer than MATCH words is the union of those at its minimisers.  Not
-found is a copy that more than NEAR suffixes, each equal on one side only, part from
-every other copy in both orders.
+A match longer than MATCH words is the union of those at its minimisers.  Two equal
+windows have their minimisers in one group of equal GRAM words.  These are compared
+in step 3, or both stand before a NEARth neighbour or partition end of the group and
+meet in step 4, so no repeated window is missed, however the ranges fall.
 
 Defined results: null and empty texts and texts under MATCH words change
 nothing; rows without a doc_id take no part; rows with one doc_id are one
@@ -35,7 +37,8 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metamart.llm import spans
@@ -86,11 +89,13 @@ def _emit(batches):
 
 
 def _contexts(batches):
-    """(key, doc_id, at) of the named places: hashes of the words from there on, then of those before, nearest first."""
+    """(key, doc_id, at, mine) of the named places: hashes of the words from there on, then of those
+    before, nearest first; bit k of mine: the window that begins k words before has its smallest hash there."""
     for b in small_batches(batches, 100):
-        keys, ids, places = [], [], []
+        keys, ids, places, masks = [], [], [], []
         for doc_id, text, at in zip(b.column(0).to_pylist(), binary_column(b, 1), b.column(2).to_pylist(), strict=True):
-            c = (word_codes(words_of(text)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)     # 0: no word
+            codes = word_codes(words_of(text))
+            c = (codes >> np.uint64(32)).astype(np.uint32) | np.uint32(1)     # 0: no word
             c = np.concatenate((np.zeros(SPREAD, np.uint32), c, np.zeros(MATCH, np.uint32)))
             at = np.unique(np.array([x for x in at if x + SPREAD + MATCH <= len(c)], np.int64))
             right = np.lib.stride_tricks.sliding_window_view(c, MATCH)[at + SPREAD]
@@ -99,9 +104,15 @@ def _contexts(batches):
             keys += [r.tobytes() for r in rows]
             ids.append(np.full(len(at), doc_id, np.int64))
             places.append(at)
+            h = as_long(run_codes(codes, GRAM))
+            low = _window(h, MATCH - GRAM + 1, np.minimum)
+            begin = at[:, None] - np.arange(SPREAD + 1)
+            inside = (begin >= 0) & (begin < len(low))
+            mine = inside & (low[np.where(inside, begin, 0)] == h[at][:, None])
+            masks.append((mine << np.arange(SPREAD + 1)).sum(1))
         if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(np.concatenate(ids)), pa.array(np.concatenate(places))],
-                                             names=["key", "doc_id", "at"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.binary()), *(pa.array(np.concatenate(x)) for x in (ids, places, masks))], names=["key", "doc_id", "at", "mine"])
 
 
 def shared(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,12 +123,13 @@ def shared(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return right, left
 
 
-_OUT = "doc_id long, a long, z long, first_id long, at long, key binary"
+_OUT = "doc_id long, a long, z long, first_id long, at long, w long"
 
 
-def _neighbours(batches, flipped: bool = False):
-    """One sorted partition: matches with earlier occurrences (a to z), and
-    the first occurrence of the first and the last run for the next round."""
+def _neighbours(batches, alone: bool):
+    """One sorted partition: matches of neighbours with earlier occurrences (a to z),
+    and windows (at, w) of the suffixes that have more partners than neighbours.
+    ``alone``: there is no other partition."""
     parts = [b for b in batches if b.num_rows]
     if not parts:
         return
@@ -126,8 +138,6 @@ def _neighbours(batches, flipped: bool = False):
     doc, at = table["doc_id"].to_numpy(), table["at"].to_numpy()
     raw = table["key"].combine_chunks()
     keys = np.frombuffer(b"".join(raw.to_pylist()), ">u4").reshape(n, MATCH + SPREAD)
-    if flipped:
-        keys = np.concatenate((keys[:, SPREAD:], keys[:, :SPREAD]), axis=1)
     order = np.empty(n, np.int64)
     order[np.lexsort((at, doc))] = np.arange(n)                      # smaller: earlier occurrence
 
@@ -144,26 +154,37 @@ def _neighbours(batches, flipped: bool = False):
         keep = a < z
         return doc[late[keep]], a[keep], z[keep], doc[early[keep]]
 
-    linked = np.empty(n, bool)
-    linked[0] = False
-    for s in range(0, n - 1, 10_000):
-        right, left = shared(keys[s + 1:min(n, s + 10_001)], keys[s:min(n - 1, s + 10_000)])
-        linked[s + 1:s + 1 + len(right)] = right + left >= MATCH
-    start = np.flatnonzero(~linked)
-    run = np.cumsum(~linked) - 1
-    head = np.argsort(order)[np.minimum.reduceat(order, start)]      # row of every run's first occurrence
     out = []
-    near = [(np.arange(n - d), np.arange(d, n)) for d in range(1, min(NEAR, n - 1) + 1)]
-    for i, j in (*near, (np.arange(n), head[run])):
-        for s in range(0, len(i), 10_000):
-            out.append(matches(i[s:s + 10_000], j[s:s + 10_000]))
+    for d in range(1, min(NEAR, n - 1) + 1):
+        for s in range(0, n - d, 10_000):
+            i = np.arange(s, min(n - d, s + 10_000))
+            out.append(matches(i, i + d))
     cols = [np.concatenate([o[k] for o in out]) for k in range(4)] if out else [np.empty(0, np.int64)] * 4
-    nothing = pa.nulls(len(cols[0]), pa.int64())
-    names = ["doc_id", "a", "z", "first_id", "at", "key"]
-    yield pa.RecordBatch.from_arrays([*map(pa.array, cols), nothing, pa.nulls(len(cols[0]), pa.binary())], names=names)
-    ends = np.unique(head[[0, -1]])
-    none = pa.nulls(len(ends), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array(doc[ends]), none, none, none, pa.array(at[ends]), raw.take(pa.array(ends))], names=names)
+    names = ["doc_id", "a", "z", "first_id", "at", "w"]
+    none = pa.nulls(len(cols[0]), pa.int64())
+    yield pa.RecordBatch.from_arrays([*map(pa.array, cols), none, none], names=names)
+
+    start = np.flatnonzero(np.append(True, (keys[1:, :GRAM] != keys[:-1, :GRAM]).any(1)))
+    size = np.diff(np.append(start, n))
+    first, last = np.repeat(start, size), np.repeat(start + size - 1, size)      # of the group of equal GRAM words
+    row = np.arange(n)
+    rest = (last - row > NEAR) | (row - first > NEAR)
+    if not alone:
+        rest |= (first == 0) | (last == n - 1)
+    rest = np.flatnonzero(rest)
+    mine = table["mine"].to_numpy()
+    wide = 4 * (SPREAD + MATCH)
+    for s in range(0, len(rest), 10_000):
+        part = rest[s:s + 10_000]
+        text = np.concatenate((keys[part, MATCH:][:, ::-1], keys[part, :MATCH]), axis=1).tobytes()
+        i, back = np.nonzero((mine[part][:, None] >> np.arange(SPREAD + 1)) & 1)
+        # where a window has its smallest hash at several places, one row is enough
+        one = np.unique(np.stack((doc[part[i]], at[part[i]] - back)), axis=1, return_index=True)[1]
+        i, back = i[one], back[one]
+        begin = i * wide + 4 * (SPREAD - back)
+        w = np.fromiter((xxhash.xxh3_64_intdigest(text[x:x + 4 * MATCH]) >> 1 for x in begin.tolist()), np.int64, len(i))
+        none = pa.nulls(len(i), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(doc[part[i]]), none, none, none, pa.array(at[part[i]] - back), pa.array(w)], names=names)
 
 
 def matches(docs: DataFrame) -> DataFrame:
@@ -173,27 +194,27 @@ def matches(docs: DataFrame) -> DataFrame:
     again = found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
     places = (found.join(again, "h").groupBy(F.col("doc_id").alias("id")).agg(F.collect_list("at").alias("at")))
     rows = (texts.dropDuplicates(["doc_id"]).join(places, F.col("doc_id") == F.col("id")).select("doc_id", "text", "at")
-            .mapInArrow(_contexts, "key binary, doc_id long, at long"))
+            .mapInArrow(_contexts, "key binary, doc_id long, at long, mine long"))
     rows = materialize(rows, "suffixes")
-    # by the words after and then before, and the other way round: what shares
-    # only one side with a passage stands between its copies in one order at most
-    width = 4 * MATCH
-    other = F.concat(F.expr(f"substring(key, {width + 1}, {4 * SPREAD})"), F.expr(f"substring(key, 1, {width})"))
-    return _order(rows, False).unionByName(_order(rows.withColumn("key", other), True))
-
-
-def _order(rows: DataFrame, flipped: bool) -> DataFrame:
-    out = None
-    while True:
-        parts = max(1, -(-rows.count() // ROWS))
-        sort = ["key", "doc_id", "at"]
-        done = (rows.repartitionByRange(parts, *sort) if parts > 1 else rows.repartition(1)).sortWithinPartitions(*sort)
-        done = materialize(done.mapInArrow(lambda b: _neighbours(b, flipped), _OUT), "neighbours")
-        ranges = done.filter("a IS NOT NULL").select("doc_id", "a", "z", "first_id")
-        out = ranges if out is None else out.unionByName(ranges)
-        if parts == 1:                  # at most ROWS suffixes: the order is complete
-            return out
-        rows = done.filter("key IS NOT NULL").select("key", "doc_id", "at")
+    parts = max(1, -(-rows.count() // ROWS))
+    sort = ["key", "doc_id", "at"]
+    done = (rows.repartitionByRange(parts, *sort) if parts > 1 else rows.repartition(1)).sortWithinPartitions(*sort)
+    done = materialize(done.mapInArrow(lambda b: _neighbours(b, parts == 1), _OUT), "neighbours")
+    near = done.filter("a IS NOT NULL").select("doc_id", "a", "z", "first_id")
+    return near.unionByName(_repeated(done.filter("w IS NOT NULL").select("w", "doc_id", "at")))
+
+
+def _repeated(windows: DataFrame) -> DataFrame:
+    """Matches of equal windows with their first occurrence; those in a row are one."""
+    first = (windows.groupBy("w").agg(F.min(F.struct("doc_id", "at")).alias("f"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+             .select("w", F.col("f.doc_id").alias("first_id"), F.col("f.at").alias("first_at")))
+    later = (windows.join(first, "w").filter("doc_id <> first_id OR at <> first_at")
+             .select("doc_id", "first_id", "at", (F.col("at") - F.col("first_at")).alias("shift")))
+    line = Window.partitionBy("doc_id", "first_id", "shift").orderBy("at")        # within one document
+    # within a document the earlier place stays whole
+    return (later.withColumn("row", F.col("at") - F.dense_rank().over(line)).groupBy("doc_id", "first_id", "shift", "row")
+            .agg(F.min("at").alias("a"), (F.max("at") + MATCH).alias("z"))
+            .select("doc_id", F.expr("if(doc_id = first_id, greatest(a, z - shift), a)").alias("a"), "z", "first_id").filter("a < z"))
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+[\x20\x09-\x0d]*")
