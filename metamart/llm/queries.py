@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metamart.llm import bpe, decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, quality, sentence_dedup, suffix_dedup, tokens, toxicity
+from metamart.llm import bpe, decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, quality, sentence_dedup, suffix_dedup, tokens, toxicity, whitening
 from metamart.llm.common import read_table, scratch_path
 from metamart.llm.oracle import ORACLE_SQL  # noqa: F401 - the entry reads both tables here
 
@@ -57,6 +57,10 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -69,6 +73,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_minhash_dedup": op10_minhash_dedup,
     "op12_bpe": op12_bpe,
+    "op13_whitening": op13_whitening,
 }
 
 
