@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metamart.llm import bpe, decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, quality, sentence_dedup, suffix_dedup, tokens, toxicity, whitening
+from metamart.llm import bpe, decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, prefix_trie, quality, sentence_dedup, suffix_dedup, tokens, toxicity, whitening
 from metamart.llm.common import read_table, scratch_path
 from metamart.llm.oracle import ORACLE_SQL  # noqa: F401 - the entry reads both tables here
 
@@ -53,6 +53,10 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digests(spark, path)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(read_table(spark, sf_dir, "conversations"))
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_sentence_dedup": op8_sentence_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_bpe": op12_bpe,
     "op13_whitening": op13_whitening,
 }
