@@ -43,6 +43,11 @@ def dedupe_names(names: Sequence[str]) -> list[str]:
     return out
 
 
+def name_blanks(cells: Sequence[str | None]) -> list[str]:
+    """Names of a header record: an empty cell is ``Column<n>`` by its position."""
+    return [c if c else f"Column{i}" for i, c in enumerate(cells, 1)]
+
+
 def positional(df: DataFrame) -> tuple[DataFrame, list[str]]:
     """The frame with internal names ``_c0 .. _cN`` and its headers, exact.
 
@@ -130,9 +135,11 @@ def trim_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def stamp(df: DataFrame, source_id: int) -> DataFrame:
-    """Add SourceID and project the fixed bronze layout."""
-    return df.select(F.lit(int(source_id)).cast("bigint").alias("SourceID"),
-                     q("Plant"), q("Month"), q("SourceColumn"), q("Value").cast("bigint"))
+    """Add SourceID and project the fixed bronze layout.  Bronze has its own column
+    types: a key that the metadata types otherwise, or not at all, is cast here;
+    identifying columns that bronze does not have end here."""
+    return df.select(F.lit(int(source_id)).cast("bigint").alias("SourceID"), q("Plant").cast("string").alias("Plant"),
+                     q("Month").cast("date").alias("Month"), q("SourceColumn"), q("Value").cast("bigint").alias("Value"))
 
 
 def type_keys(df: DataFrame, r: KeyRoles) -> DataFrame:

@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import csv
+import io
 import posixpath
-from collections.abc import Mapping
+import re
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
+from itertools import islice
+from urllib.parse import quote, unquote
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metamart.functions.text import trim_header, trim_ws
-from metamart.operators.reshape import (MissingHeaderError, dedupe_names, key_positions, roles, to_int64,
+from metamart.functions.text import WHITESPACE, trim_header
+from metamart.operators.reshape import (MissingHeaderError, dedupe_names, key_positions, name_blanks, roles, to_int64,
                                         wide_to_bronze)
 from metamart.schemas import BRONZE
 from metamart.sources.literal import local_frame
@@ -23,20 +30,29 @@ def active_sources(registry: DataFrame) -> DataFrame:
 
 
 def read_wide(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Open one landing file; the first row holds the headers, all columns kept.
+    """Open one landing file; the first record holds the headers, all columns kept.
 
     CSV columns stay strings: typing happens from metadata (keys) and in the
-    unpivot (values, half-even rounding).
+    unpivot (values, half-even rounding).  An empty cell is null, quoted or not.
     """
-    if fmt == "csv":
-        # Spark would rename repeated or case-only-different headers; take
-        # the header line as written (one line, read once) and name the
-        # columns by position.
-        line = spark.read.text(path).first()
-        headers = next(csv.reader([line[0].lstrip("\ufeff")])) if line is not None else []
-        data = spark.read.option("header", True).option("inferSchema", False).option("multiLine", True).csv(path)
-        return data.toDF(*headers) if headers and len(headers) == len(data.columns) else data
-    return spark.read.format(fmt).load(path)
+    if fmt != "csv":
+        return spark.read.format(fmt).load(path)
+    # quotes inside quotes are doubled; line breaks inside quotes stay in their cell
+    reader = spark.read.option("inferSchema", False).option("multiLine", True).option("escape", '"')
+    # Spark would rename repeated or case-only-different headers: take the first
+    # record as it is and name the columns by position
+    first = reader.csv(path).first()
+    data = reader.option("header", True).csv(path)
+    if first is None:
+        return data
+    names = [None if h is None else h.lstrip("\ufeff") if i == 0 else h for i, h in enumerate(first)]
+    inner = [f"_c{i}" for i in range(len(names))]
+    # with a line break inside the first quotes the reader takes a bare \n for the end of
+    # a record and leaves the \r of \r\n in the last cell
+    names[-1] = None if names[-1] is None else names[-1].rstrip("\r")
+    ends = {inner[-1]: F.rtrim(F.col(inner[-1]), F.lit("\r"))}
+    cells = data.toDF(*inner).select(*[F.nullif(ends.get(c, F.col(c)), F.lit("")).alias(c) for c in inner])
+    return cells.toDF(*name_blanks(names))
 
 
 def key_meta(key_map: DataFrame, source_id: int) -> list:
@@ -82,173 +98,123 @@ def replace_rows(current: DataFrame, new: DataFrame, source_ids) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# One-job ingest of many CSV landing files (any headers, any number of files)
+# One-scan ingest of many CSV landing files (any headers, any number of files)
 # ---------------------------------------------------------------------------
-_HEADER_SCHEMA = "Path string, File string, Header string"
-
-
-def _first_lines(batches):
-    """mapInPandas: for each registered path (a file or a folder of part
-    files) yield (Path, File, first line).  Only the bytes up to the first
-    newline of each file are read (pyarrow filesystems: local, HDFS, S3 ...).
-    """
-    import pandas as pd
-    import pyarrow.fs as pafs
-
-    def fs_for(path):
-        if "://" in path and not path.startswith("file:"):
-            scheme, rest = path.split("://", 1)
-            uri = ("s3://" + rest) if scheme in ("s3a", "s3n") else path
-            fs, rel = pafs.FileSystem.from_uri(uri)
-            return fs, rel, scheme
-        if path.startswith("file:"):
-            path = "/" + path[5:].lstrip("/")
-        return pafs.LocalFileSystem(), path, "file"
-
-    def key(rel, scheme):
-        # location without scheme and authority (object stores: bucket)
-        rel = rel.lstrip("/")
-        if scheme in ("s3", "s3a", "s3n", "gs", "gcs"):
-            rel = rel.split("/", 1)[1] if "/" in rel else ""
-        return "/" + rel
-
-    def first_line(fs, rel):
-        buf = b""
-        with fs.open_input_stream(rel) as f:
-            while chunk := f.read(65536):        # to the line's end, however long it is
-                buf += chunk
-                if b"\n" in chunk:
-                    break
-        line = buf.split(b"\n", 1)[0].rstrip(b"\r")
-        return line.decode("utf-8-sig") if buf else None
-
-    for pdf in batches:
-        out = []
-        for path in pdf["Path"]:
-            fs, rel, scheme = fs_for(path)
-            info = fs.get_file_info(rel)
-            if info.type == pafs.FileType.Directory:
-                files = sorted(i.path for i in fs.get_file_info(pafs.FileSelector(rel, recursive=True))
-                               if i.type == pafs.FileType.File
-                               and not i.base_name.startswith(("_", ".")))
-            else:
-                files = [rel]
-            for f in files:
-                out.append((path, key(f, scheme), first_line(fs, f)))
-        yield pd.DataFrame(out, columns=["Path", "File", "Header"])
-
-
-def _pyarrow_can_open(path: str) -> bool:
-    try:
-        import pyarrow.fs as pafs
-        if "://" in path and not path.startswith("file:"):
-            scheme, rest = path.split("://", 1)
-            pafs.FileSystem.from_uri(("s3://" + rest) if scheme in ("s3a", "s3n") else path)
-        return True
-    except Exception:  # noqa: BLE001 - unknown scheme, missing client library
-        return False
-
-
-def _headers_by_scan(spark: SparkSession, paths: list[str]) -> list:
-    """Fallback for filesystems pyarrow cannot open: the first line of each
-    file from a Spark text scan (reads the files once more; correct on any
-    filesystem Spark can read)."""
-    uri = F.regexp_replace(F.input_file_name(), "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
-    key = F.concat(F.lit("/"), F.regexp_replace(F.url_decode(F.regexp_replace(uri, "\\+", "%2B")), "^/+", ""))
-    rows = []
-    for p in paths:      # one scan per registered path keeps the Path of each file
-        lines = spark.read.text(p).select(key.alias("File"), F.input_file_block_start().alias("_blk"),
-                                          F.monotonically_increasing_id().alias("_mid"), "value")
-        for r in (lines.filter(F.col("_blk") == 0).groupBy("File")
-                  .agg(F.min_by("value", "_mid").alias("Header")).collect()):
-            rows.append({"Path": p, "File": r["File"], "Header": r["Header"]})
-    return rows
-
-
-def landing_headers(spark: SparkSession, paths: list[str]) -> list:
-    """First line of every file under the given paths, read by executors
-    (one small read per file, no scan of the data)."""
-    if not all(_pyarrow_can_open(p) for p in paths):
-        return _headers_by_scan(spark, paths)
-    # the path list is spread over the default parallelism: one small read
-    # per file, no shuffle
-    df = spark.createDataFrame([(p,) for p in paths], "Path string")
-    return df.mapInPandas(_first_lines, _HEADER_SCHEMA).collect()
+_CELLS = "SourceID bigint, Plant string, Month string, SourceColumn string, Cell string"
+ROWS_AT_ONCE = 20_000
+
+
+@dataclass(frozen=True)
+class FileRoles:
+    """What the metadata says about the columns of one source's files."""
+    source_id: int
+    key_rows: tuple[dict, ...]
+
+    def header(self, names: Sequence[str | None], file: str) -> tuple[dict[str, int], list[tuple[int, str]]]:
+        """Key positions by bronze name, and (position, trimmed header) of every
+        column to unpivot."""
+        heads = dedupe_names(name_blanks(names))
+        try:
+            keys = key_positions(heads, roles(self.key_rows), self.key_rows)
+        except MissingHeaderError as e:
+            raise MissingHeaderError(f"{file}: {e}") from None
+        if absent := {"Plant", "Month"} - keys.keys():
+            raise MissingHeaderError(f"{file}: no key column names {sorted(absent)}")
+        taken = set(keys.values())
+        return keys, [(i, trim_header(h)) for i, h in enumerate(heads) if i not in taken]
+
+
+def location(uri: str) -> str:
+    """The path of a file without scheme and authority, percent-decoded."""
+    path = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", uri)
+    return "/" + unquote(path).strip("/")
+
+
+def _records(content: bytes) -> Iterator[list[str]]:
+    """CSV records; line breaks inside quotes belong to their cell."""
+    csv.field_size_limit(2**31 - 1)
+    text = io.TextIOWrapper(io.BytesIO(content), encoding="utf-8-sig", newline="")
+    return (r for r in csv.reader(text, strict=True) if r)
+
+
+def _unpivoted(content: bytes, file: str, source: FileRoles) -> Iterator[pa.RecordBatch]:
+    """One file's non-empty cells in long form, a bounded number of rows at a time."""
+    records = _records(content)
+    names = next(records, None)
+    if names is None:                    # an empty file has no header and no rows
+        return
+    keys, measures = source.header(names, file)
+    trimmed = set(roles(source.key_rows).text)
+    width = len(names)
+    while rows := list(islice(records, ROWS_AT_ONCE)):
+        for r in rows:
+            if len(r) < width:           # cells left out at the end are empty
+                r.extend([""] * (width - len(r)))
+            elif len(r) > width:
+                raise ValueError(f"{file}: cells behind the last header: {r[width:]}")
+        columns = list(zip(*rows, strict=True))
+
+        def cells(i: int) -> pa.Array:
+            column = pa.array(columns[i], pa.string())
+            return pc.if_else(pc.equal(column, ""), pa.scalar(None, pa.string()), column)
+
+        id_cells = {}
+        for name in ("Plant", "Month"):
+            column = cells(keys[name])
+            id_cells[name] = pc.utf8_trim(column, characters=WHITESPACE) if name in trimmed else column
+        for i, head in measures:
+            column = cells(i)
+            at = pc.indices_nonzero(pc.is_valid(column))
+            yield pa.RecordBatch.from_arrays([
+                pa.repeat(pa.scalar(source.source_id, pa.int64()), len(at)), id_cells["Plant"].take(at),
+                id_cells["Month"].take(at), pa.repeat(pa.scalar(head, pa.string()), len(at)), column.take(at),
+            ], ["SourceID", "Plant", "Month", "SourceColumn", "Cell"])
+
+
+def _reader(by_location: Mapping[str, FileRoles]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, content in zip(b.column(0), b.column(1), strict=True):
+                at = file = location(path.as_py())
+                while at and at not in by_location:       # a file, or a part file of a registered folder
+                    at = at.rpartition("/")[0]
+                if not at:
+                    raise ValueError(f"landing file not registered: {file}")
+                yield from _unpivoted(content.as_py(), file, by_location[at])
+
+    return run
 
 
 def ingest_landing(spark: SparkSession, sources: DataFrame, key_map: DataFrame,
                    root: str = "") -> DataFrame:
-    """All registered CSV files as bronze rows in one lazy plan.
-
-    ``sources`` holds (SourceId, FilePath); paths are relative to ``root``
-    (a path may be a folder of part files, each with its header line).
-    Headers are read first by executors, a few bytes per file, and become
-    a small per-file table (header array, key positions) that is broadcast:
-    it is schema, bounded by files x columns.  The data are then read in ONE
-    text scan of all files; header lines are dropped, cells are parsed
-    positionally and exploded against their file's headers, so files with
-    different headers, header languages or widths need no per-file plan.
-    Same semantics as ``ingest`` (null cells no row, headers trimmed and
-    made unique, text keys trimmed, half-even rounding).
+    """All registered CSV files as bronze rows in one lazy plan, each byte read once.
+
+    ``sources`` holds (SourceId, FilePath); paths are relative to ``root`` (a path
+    may be a folder of part files, each with its header).  Spark lists and reads
+    the files, whatever file system they are on, and hands every file whole to a
+    task; its first record is its header, so files with different headers, header
+    languages or widths need no plan of their own and the driver sees no file.
+    The task finds the file's source by its location, splits records (line breaks
+    inside quotes stay in their cell), names blank headers ``Column<n>``, and turns
+    the columns that the metadata does not name as keys into rows.  Text keys are
+    trimmed, every other type is cast by Spark: the same rows as ``ingest`` gives.
+
+    What the tasks are told is the registry and its key columns: a row a source, not
+    a file.  A file is held in memory by its task (spreadsheet exports; Spark's
+    limit for a file read whole is 2 GB), so larger ones belong in part folders.
     """
-    srcs = [(int(r["SourceId"]), r["FilePath"]) for r in sources.select("SourceId", "FilePath").collect()]
-    if not srcs:
-        return empty_bronze(spark)
     base = root.rstrip("/") + "/" if root else ""
     by_path: dict[str, int] = {}
-    for sid, p in srcs:
-        place = base + posixpath.normpath(p)
+    for r in sources.select("SourceId", "FilePath").collect():
+        place = base + posixpath.normpath(r["FilePath"])
         if place in by_path:
-            raise ValueError(f"sources {by_path[place]} and {sid} name the same file: {p}")
-        by_path[place] = sid
-    keys = key_meta_all(key_map, [s for s, _ in srcs])
-    info, width = [], 1
-    for h in landing_headers(spark, list(by_path)):
-        if h["Header"] is None:          # empty file: no header, no rows
-            continue
-        sid = by_path[h["Path"]]
-        names = dedupe_names(next(csv.reader([h["Header"]])))
-        width = max(width, len(names))
-        role = roles(keys[sid])
-        pos = {k: i + 1 for k, i in key_positions(names, role, keys[sid]).items()}
-        if absent := {"Plant", "Month"} - pos.keys():
-            raise MissingHeaderError(f"no key column names {sorted(absent)} of {h['File']}")
-        measures = [None if i + 1 in pos.values() else trim_header(n) for i, n in enumerate(names)]
-        info.append((h["File"], sid, h["Header"], measures, pos["Plant"], pos["Month"], "Plant" in role.text))
-    if not info:
+            raise ValueError(f"sources {by_path[place]} and {r['SourceId']} name the same file: {r['FilePath']}")
+        by_path[place] = int(r["SourceId"])
+    if not by_path:
         return empty_bronze(spark)
-    file_info = spark.createDataFrame(
-        info, "_fk string, SourceID long, _header string, _heads array<string>, _pp int, _mp int, _trim boolean")
-    # the same location key on the JVM side: the file URI without scheme
-    # and authority, percent-decoded (a literal '+' is kept)
-    uri = F.regexp_replace(F.input_file_name(), "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
-    decoded = F.url_decode(F.regexp_replace(uri, "\\+", "%2B"))
-    lines = spark.read.text(list(by_path)).select(
-        F.concat(F.lit("/"), F.regexp_replace(decoded, "^/+", "")).alias("_fk"),
-        F.input_file_block_start().alias("_blk"), "value")
-    # one cell more than the widest header shows rows that are longer than it
-    schema = ", ".join(f"c{i} STRING" for i in range(width + 1))
-    cells = F.array(*[F.col(f"_r.c{i}") for i in range(width + 1)])
-    # the header line, compared without a byte-order mark (spreadsheet exports)
-    is_header = (F.col("_blk") == 0) & (F.regexp_replace("value", "^\uFEFF", "") == F.col("_header"))
-    rows = (lines.join(F.broadcast(file_info), "_fk", "left")
-            .withColumn("SourceID", F.when(F.col("SourceID").isNotNull(), F.col("SourceID"))
-                        .otherwise(F.raise_error(F.concat(F.lit("landing file not registered: "), F.col("_fk")))))
-            .filter(~is_header)
-            # a quote left open goes on in the next line, which a line scan cannot follow
-            .withColumn("value", F.when(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 0, F.col("value"))
-                        .otherwise(F.raise_error(F.concat(F.lit("line break inside quotes, load it by read_wide: "), F.col("_fk")))))
-            .select("SourceID", "_fk", "_heads", "_pp", "_mp", "_trim", F.from_csv("value", schema).alias("_r"))
-            .select("SourceID", "_fk", "_heads", "_pp", "_mp", "_trim", cells.alias("_cells"))
-            .withColumn("_cells", F.when(
-                F.exists(F.slice("_cells", F.size("_heads") + 1, width + 1), lambda c: c.isNotNull()),
-                F.raise_error(F.concat(F.lit("cells behind the last header: "), F.col("_fk")))).otherwise(F.col("_cells"))))
-    cell = F.element_at("_cells", F.col("_i") + 1)
-    plant = F.element_at("_cells", F.col("_pp"))
-    return (rows.select("SourceID", "_pp", "_mp", "_trim", "_cells", F.posexplode("_heads").alias("_i", "_h"))
-            .filter(F.col("_h").isNotNull() & cell.isNotNull())
-            .select(F.col("SourceID").cast("bigint").alias("SourceID"),
-                    F.when(F.col("_trim"), trim_ws(plant)).otherwise(plant).alias("Plant"),
-                    F.element_at("_cells", F.col("_mp")).cast("date").alias("Month"),
-                    F.col("_h").alias("SourceColumn"),
-                    to_int64(cell, False).alias("Value")))
+    keys = key_meta_all(key_map, by_path.values())
+    by_location = {location(quote(p, safe="/:")): FileRoles(s, tuple(r.asDict() for r in keys[s])) for p, s in by_path.items()}
+    files = spark.read.format("binaryFile").load(list(by_path)).select("path", "content")
+    cells = files.mapInArrow(_reader(by_location), _CELLS)
+    return cells.select("SourceID", "Plant", F.col("Month").cast("date").alias("Month"), "SourceColumn",
+                        to_int64(F.col("Cell"), False).alias("Value"))

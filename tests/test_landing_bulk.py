@@ -1,6 +1,7 @@
 """One-job ingest of many CSV landing files equals the per-source path."""
 
 import csv as _csv
+import datetime
 import os
 
 import pytest
@@ -76,17 +77,6 @@ def test_bulk_odd_file_names_and_part_folders(spark, tmp_path):
     assert got == [(1, "Q", 1), (2, "Q", 2), (2, "R", 3)]
 
 
-def test_header_fallback_matches_executor_reads(spark, tmp_path):
-    d = tmp_path / "h"
-    os.makedirs(d / "folder")
-    write_csv(d / "a b.csv", ["Plant", "Month", "Q"], [["P", "2020-01-01", "1"]])
-    write_csv(d / "folder" / "part-0.csv", ["Plant", "Month", "R"], [["P", "2020-02-01", "2"]])
-    paths = [str(d / "a b.csv"), str(d / "folder")]
-    fast = sorted((r["Path"], r["File"], r["Header"]) for r in landing.landing_headers(spark, paths))
-    slow = sorted((r["Path"], r["File"], r["Header"]) for r in landing._headers_by_scan(spark, paths))
-    assert fast == slow and len(fast) == 2
-
-
 def test_bulk_csv_with_byte_order_mark_and_crlf(spark, tmp_path):
     d = tmp_path / "bom"
     os.makedirs(d)
@@ -120,19 +110,64 @@ def test_whole_numbers_above_double_precision_stay_exact(spark, tmp_path):
     assert sorted(r.Value for r in got.collect()) == [-4, 2, 9007199254740993]
 
 
-@pytest.mark.parametrize("header,row,what", [
-    (["Plant", "Month", "Q"], ["P", "2020-01-01", "5", "77"], "behind the last header"),
-    (["Plant", "Month", "Q"], ["P\nX", "2020-01-01", "5"], "line break inside quotes")])
-def test_lines_that_do_not_fit_raise(spark, tmp_path, header, row, what):
-    with pytest.raises(Exception, match=what):
-        one_file(spark, tmp_path / "x", header, [row]).collect()
+def test_cells_behind_the_last_header_raise(spark, tmp_path):
+    with pytest.raises(Exception, match="behind the last header"):
+        one_file(spark, tmp_path / "x", ["Plant", "Month", "Q"], [["P", "2020-01-01", "5", "77"]]).collect()
+
+
+def test_unclosed_quote_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Plant,Month,Q\n"P,2020-01-01,5\n')
+    sources = spark.createDataFrame([(1, "a.csv")], "SourceId int, FilePath string")
+    with pytest.raises(Exception, match="unexpected end of data"):
+        landing.ingest_landing(spark, sources, spark.createDataFrame(KEYS, schemas.KEY_COLUMN_MAPPING), str(tmp_path)).collect()
 
 
 def test_key_headers_must_be_there_and_unique(spark, tmp_path):
     keys = [(1, "Werk", "Plant", "text"), (1, "Month", "Month", "date")]
     for header in (["Plant", "Month", "Q"], ["Werk", "Plant", "Month"]):
-        with pytest.raises(MissingHeaderError):
-            one_file(spark, tmp_path / header[1], header, [["P", "2020-01-01", "5"]], keys)
+        with pytest.raises(Exception, match="MissingHeaderError"):
+            one_file(spark, tmp_path / header[1], header, [["P", "2020-01-01", "5"]], keys).collect()
+
+
+def both_ways(spark, folder, files, keys):
+    """Rows of the one-scan ingest and of the per-source path, which must agree."""
+    key_map = spark.createDataFrame(keys, schemas.KEY_COLUMN_MAPPING)
+    sources = spark.createDataFrame([(s, f) for s, f in files.items()], "SourceId int, FilePath string")
+    rows = sorted(map(tuple, landing.ingest_landing(spark, sources, key_map, str(folder)).collect()), key=str)
+    each = landing.ingest({s: landing.read_wide(spark, str(folder / f)) for s, f in files.items()}, key_map)
+    assert rows == sorted(map(tuple, each.collect()), key=str)
+    return rows
+
+
+def test_quoted_line_breaks_blank_headers_and_languages(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", ["Plant", "Month", "Q", "", "", "two\nlines"],
+              [["P\nX", "2020-01-01", "5", "6", None, "1"], ['say "hi", you', "2020-02-01", None, None, "7", None]])
+    write_csv(tmp_path / "b.csv", ["Werk", "", "Monat", "Menge"], [["W", "9", "2020-01-01", "2.5"], ["", "1", "", ""]])
+    write_csv(tmp_path / "c.csv", ["Mois", "Usine", "Quantité", "Column4", ""], [["2020-03-01", " U\t", "-1.5", "3", "4"]])
+    keys = [(1, "Plant", "Plant", "text"), (1, "Month", "Month", "date"), (2, "Werk", "Plant", "text"),
+            (2, "Monat", "Month", "date"), (3, "Usine", "Plant", "text"), (3, "Mois", "Month", "date")]
+    rows = both_ways(spark, tmp_path, {1: "a.csv", 2: "b.csv", 3: "c.csv"}, keys)
+    assert [(r[0], r[1], r[3], r[4]) for r in rows] == [
+        (1, "P\nX", "Column4", 6), (1, "P\nX", "Q", 5), (1, "P\nX", "two\nlines", 1), (1, 'say "hi", you', "Column5", 7),
+        (2, "W", "Column2", 9), (2, "W", "Menge", 2), (2, None, "Column2", 1),
+        (3, "U", "Column4", 3), (3, "U", "Column5", 4), (3, "U", "Quantité", -2)]
+
+
+def test_keys_are_typed_by_their_metadata(spark, tmp_path):
+    # source 1: Month is text, Plant untyped; source 2: an identifying column that bronze lacks
+    write_csv(tmp_path / "a.csv", ["Plant", "Month", "Q"], [[" P ", " 2020-01-01 ", "5"]])
+    write_csv(tmp_path / "b.csv", ["Werk", "Land", "Monat", "Menge"], [[" W ", "DE", "2020-01-01", "7"]])
+    keys = [(1, "Plant", "Plant", "any"), (1, "Month", "Month", "text"), (2, "Werk", "Plant", "text"),
+            (2, "Land", "Country", "text"), (2, "Monat", "Month", "date")]
+    rows = both_ways(spark, tmp_path, {1: "a.csv", 2: "b.csv"}, keys)
+    day = datetime.date(2020, 1, 1)
+    assert rows == [(1, " P ", day, "Q", 5), (2, "W", day, "Menge", 7)]
+
+
+def test_short_rows_and_blank_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Plant,Month,Q,R\n\nP,2020-01-01,4\n\nP,2020-02-01\n")
+    rows = both_ways(spark, tmp_path, {1: "a.csv"}, KEYS[:2])
+    assert [(r[3], r[4]) for r in rows] == [("Q", 4)]
 
 
 def test_one_file_registered_twice_raises(spark, tmp_path):
