@@ -81,11 +81,11 @@ def star(spark: SparkSession, d: str) -> gold.Star:
 
 def validation_log(spark: SparkSession, d: str) -> DataFrame:
     return dq.run_validations(bronze_table(spark, d), B.mapping(spark), B.rules(spark),
-                              list(B.LANDED_SOURCES), B.RUN_NOW)
+                              list(B.LANDED_SOURCES), B.RUN_NOW, profile=_profile(spark, d))
 
 
 def _profile(spark: SparkSession, d: str) -> DataFrame:
-    return dq.bronze_profile(bronze_table(spark, d), list(B.LANDED_SOURCES))
+    return W.load_profile(loaded(spark, d)[0], B.LANDED_SOURCES)
 
 
 def _source_measures(spark: SparkSession, d: str) -> DataFrame:

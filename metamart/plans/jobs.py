@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metamart.operators import meta, proposals as P
 from metamart.plans import pipeline
@@ -53,13 +54,21 @@ def load(wh: W.Warehouse, landing_root: str = "", now: datetime | None = None,
                                 landing_root, now, use_gate, KEEP_VERSIONS)
 
 
-def propose(wh: W.Warehouse, responses: DataFrame, now: datetime | None = None) -> DataFrame:
-    """Parse model answers, keep those inside the vocabulary, queue them.
+def batch_of(responses: DataFrame) -> str:
+    """A name for a set of model answers: the same answers have the same name."""
+    code = F.xxhash64("SourceId", "ModelName", "ResponseText")
+    row = responses.agg(F.bit_xor(code).alias("x"), F.count(F.lit(1)).alias("n")).first()
+    return f"{(row['x'] or 0) & 0xFFFFFFFFFFFFFFFF:016x}-{row['n']}"
+
+
+def propose(wh: W.Warehouse, responses: DataFrame, now: datetime | None = None, batch: str | None = None) -> DataFrame:
+    """Parse model answers, keep those inside the vocabulary, queue them as one batch
+    (by default named after the answers, so that a repeated run queues nothing twice).
     Returns the per-source statistics (proposed, valid, rejected)."""
     now = now or pipeline.utc_now()
     parsed = P.parse_proposals(responses).checkpoint(eager=True)
     vocab = P.vocabulary(W.load_meta(wh, "column_mapping"))
-    W.append_proposals(wh, P.to_queue(P.valid_proposals(parsed, vocab), now))
+    W.append_proposals(wh, P.to_queue(P.valid_proposals(parsed, vocab), now), batch or batch_of(responses))
     return P.proposal_stats(parsed, vocab)
 
 

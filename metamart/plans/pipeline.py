@@ -44,18 +44,14 @@ def load_bronze_sources(wh: W.Warehouse, frames: Mapping[int, DataFrame],
 
 
 def validate(wh: W.Warehouse, mapping: DataFrame, rules: DataFrame,
-             source_ids, now: datetime, observed: dict | None = None) -> DataFrame:
-    """Run all rules for the sources, append the rows, return them (read
-    back from the log).  ``observed`` receives the counts seen while
-    appending (rows, failed_errors)."""
+             source_ids, now: datetime) -> DataFrame:
+    """Run all rules for the sources on their kept profiles, log the rows, return them
+    (read back from the log, only the folders of this run)."""
     now = now.replace(microsecond=0)
-    rows = dq.run_validations(W.load_bronze(wh), mapping, rules, list(source_ids), now)
-    seen = W.append_log(wh, rows)
-    if observed is not None:
-        observed.update(seen)
-    stamp = F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
-    return (W.load_log(wh).filter((F.col("RunTimestamp") == stamp)
-                                  & F.col("SourceId").isin([int(s) for s in source_ids])))
+    ids = [int(s) for s in source_ids]
+    rows = dq.run_validations(W.load_bronze(wh), mapping, rules, ids, now, profile=W.load_profile(wh, ids))
+    W.append_log(wh, rows)
+    return W.load_log(wh).filter(F.col("RunId").isin([f"{now.strftime('%Y-%m-%dT%H:%M:%S')}-{s}" for s in ids]))
 
 
 def load_gold(wh: W.Warehouse, mapping: DataFrame, version: str | None = None,
@@ -81,6 +77,8 @@ def load_gold(wh: W.Warehouse, mapping: DataFrame, version: str | None = None,
     W.mark_published(wh, version)
     if keep_versions:
         W.prune_gold_versions(wh, keep_versions)
+        W.prune_bronze_versions(wh, keep_versions)
+        W.prune_meta_versions(wh, keep_versions)
     return version, W.read_gold_version(wh, version)
 
 
@@ -88,7 +86,7 @@ def run_landing(wh: W.Warehouse, sources: DataFrame, key_map: DataFrame, mapping
                 rules: DataFrame, landing_root: str = "", now: datetime | None = None,
                 use_gate: bool = True, keep_versions: int | None = None) -> LoadResult:
     """The scheduled load over registered CSV landing files: one scan of all
-    files, one bronze write (dynamic partition overwrite, empty files
+    files, one bronze write (published by one manifest row, empty files
     emptied), then validation, gate and gold as in ``run``."""
     now = now or utc_now()
     ids = sorted(int(r["SourceId"]) for r in sources.select("SourceId").collect())
@@ -98,17 +96,15 @@ def run_landing(wh: W.Warehouse, sources: DataFrame, key_map: DataFrame, mapping
 
 def _validate_then_gold(wh: W.Warehouse, mapping: DataFrame, rules: DataFrame, ids, now: datetime,
                         use_gate: bool, keep_versions: int | None = None) -> LoadResult:
-    """With the gate, gold waits for the verdict.  Without it the two steps
-    only share the (written) bronze table, so they run as concurrent jobs."""
-    seen: dict = {}
+    """With the gate, gold waits for the verdict of the written log.  Without it the two
+    steps only share the (written) bronze table, so they run as concurrent jobs."""
     if use_gate:
-        log = validate(wh, mapping, rules, ids, now, seen)
-        if seen.get("failed_errors"):
-            raise dq.ValidationFailed("Validation failed. See the validation log for this run.")
+        log = validate(wh, mapping, rules, ids, now)
+        dq.gate(log)
         version, star = load_gold(wh, mapping, keep_versions=keep_versions)
         return LoadResult(tuple(ids), log, version, star)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        f_log = pool.submit(validate, wh, mapping, rules, ids, now, seen)
+        f_log = pool.submit(validate, wh, mapping, rules, ids, now)
         f_gold = pool.submit(load_gold, wh, mapping, None, keep_versions)
         log, (version, star) = f_log.result(), f_gold.result()
     return LoadResult(tuple(ids), log, version, star)

@@ -4,9 +4,13 @@ appends, versioned gold publish and the model scan (K2, A4..A12).
 Tables are Parquet directories under one root (a shared filesystem or
 object store path on a cluster):
 
-* ``bronze/measures_raw/SourceID=<k>/`` -- one partition per source;
-* ``audit/validation_log/`` and ``meta/column_mapping_proposal/`` --
-  append-only;
+* ``bronze/measures_raw/v=<version>/SourceID=<k>/`` -- the rows of a replace,
+  ``bronze/profile/v=<version>/`` -- their column profiles, and
+  ``bronze/_published/`` -- the manifest: one row makes the rows of all the sources of
+  a replace current;
+* ``audit/validation_log/RunId=<run>/`` and
+  ``meta/column_mapping_proposal/Batch=<batch>/`` -- histories; a repeated run or
+  batch replaces itself;
 * ``meta/<table>/v=<version>/`` plus ``meta/_published/`` -- metadata tables,
   several of them published by one row;
 * ``gold/v=<version>/<table>/`` plus ``gold/_published/`` -- an append-only
@@ -17,17 +21,18 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Container, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType, TimestampType
 from pyspark.errors import AnalysisException
 
 from metamart import schemas
+from metamart.operators.dq import NOT_NULL_COLUMNS, bronze_profile
 from metamart.operators.gold import Star, contract_checks, raise_on_violations
 from metamart.sources.literal import local_frame
 
@@ -131,86 +136,149 @@ def save_meta_tables(wh: Warehouse, tables: Mapping[str, DataFrame]) -> None:
 
 def load_proposals(wh: Warehouse) -> DataFrame:
     """A5: the proposal queue."""
-    return _read(wh.spark, wh.proposals_path, schemas.PROPOSALS)
+    return _read(wh.spark, wh.proposals_path, _QUEUE).select(*schemas.PROPOSALS.fieldNames())
 
 
 # ------------------------------------------------------------------- bronze
+# One row per replace: the version folder that now holds the rows of Sources;
+# those of them without rows are not in WithRows.
+_BRONZE_PUBLISHED = StructType([StructField("Version", StringType(), False),
+                                StructField("PublishedAt", TimestampType(), False),
+                                StructField("Sources", ArrayType(LongType()), False),
+                                StructField("WithRows", ArrayType(LongType()), False)])
+PROFILE = StructType([StructField("SourceID", LongType()), StructField("SourceColumn", StringType()),
+                      StructField("n", LongType()), StructField("min_value", LongType()),
+                      *[StructField(f"bad_{c}", LongType()) for c in NOT_NULL_COLUMNS]])
+
+
+def bronze_manifest(wh: Warehouse) -> DataFrame:
+    """(SourceID, Version, HasRows): where the rows of every source now are."""
+    pub = _read(wh.spark, wh.path("bronze", "_published"), _BRONZE_PUBLISHED)
+    each = pub.select("PublishedAt", "Version", "WithRows", F.explode("Sources").alias("SourceID"))
+    last = each.groupBy("SourceID").agg(F.max_by(
+        F.struct("Version", F.array_contains("WithRows", F.col("SourceID")).alias("HasRows")),
+        F.struct("PublishedAt", "Version")).alias("m"))
+    return last.select("SourceID", "m.Version", "m.HasRows")
+
+
+def _current(wh: Warehouse) -> list[tuple[int, str]]:
+    """(source, version) of every source that has rows: a row a source."""
+    return [(r.SourceID, r.Version) for r in bronze_manifest(wh).filter("HasRows").orderBy("SourceID").collect()]
+
+
 def load_bronze(wh: Warehouse) -> DataFrame:
-    """Bronze with partition discovery; SourceID typed from the schema."""
-    try:
-        return (wh.spark.read.schema(schemas.BRONZE).option("basePath", wh.bronze_path)
-                .parquet(wh.bronze_path))
-    except AnalysisException as e:
-        _raise_unless_absent(e)
+    """The rows of every source's current version; a filter on SourceID prunes folders."""
+    paths = [f"{wh.bronze_path}/v={v}/SourceID={sid}" for sid, v in _current(wh)]
+    if not paths:
         return local_frame(wh.spark, [], schemas.BRONZE)
+    schema = StructType([*schemas.BRONZE.fields, StructField("v", StringType())])
+    rows = wh.spark.read.schema(schema).option("basePath", wh.bronze_path).parquet(*paths)
+    return rows.select(*schemas.BRONZE.fieldNames())
+
+
+def load_profile(wh: Warehouse, source_ids: Iterable[int] | None = None) -> DataFrame:
+    """The column profiles (``dq.bronze_profile``) kept beside the current rows of the
+    sources; no bronze row is read."""
+    current = [(sid, v) for sid, v in _current(wh) if source_ids is None or sid in {int(s) for s in source_ids}]
+    if not current:
+        return local_frame(wh.spark, [], PROFILE)
+    base = wh.path("bronze", "profile")
+    schema = StructType([*PROFILE.fields, StructField("v", StringType())])
+    rows = wh.spark.read.schema(schema).option("basePath", base).parquet(*sorted({f"{base}/v={v}" for _, v in current}))
+    held = F.concat_ws("/", F.col("SourceID").cast("string"), "v").isin([f"{sid}/{v}" for sid, v in current])
+    return rows.filter(held).drop("v")
+
+
+def _publish_bronze(wh: Warehouse, version: str, ids: Iterable[int], present: Iterable[int]) -> None:
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    row = (version, now, sorted(ids), sorted(present))
+    (wh.spark.createDataFrame([row], _BRONZE_PUBLISHED).coalesce(1)
+     .write.mode("append").parquet(wh.path("bronze", "_published")))
 
 
-def _write_partition(wh: Warehouse, source_id: int, df: DataFrame) -> None:
-    part = df.filter(F.col("SourceID") == F.lit(int(source_id))).drop("SourceID")
-    part.write.mode("overwrite").parquet(f"{wh.bronze_path}/SourceID={int(source_id)}")
+def _finish_version(wh: Warehouse, version: str, ids: list[int], present: list[int]) -> list[int]:
+    """Keep the profile of what was written, then publish: one row makes the new rows
+    of all the sources current at once.  Returns the ids that are empty now."""
+    if present:
+        # the rows just written, read once; no validation reads them again
+        rows = wh.spark.read.schema(schemas.BRONZE).parquet(f"{wh.bronze_path}/v={version}")
+        profile = bronze_profile(rows, ids).select(*[F.col(f.name).cast(f.dataType) for f in PROFILE.fields])
+        profile.write.parquet(wh.path("bronze", "profile", f"v={version}"))
+    _publish_bronze(wh, version, ids, present)
+    return [s for s in ids if s not in present]
 
 
 def replace_sources(wh: Warehouse, parts: Mapping[int, DataFrame], parallelism: int = 4) -> None:
     """A6..A8: replace the bronze rows of each given source, leave the others.
 
-    Each source's partition directory is overwritten by its own job, so an
-    empty file leaves an empty partition (and the row-count rule fires); the
-    jobs of different sources run concurrently.  Loading a source twice gives
-    the same rows as once.
+    Every source's rows go to the folder of a new version, by jobs that run
+    concurrently; one manifest row then makes them all current.  A failure before
+    that row leaves every source as it was; a source without rows is empty
+    afterwards (and the row-count rule fires); loading twice gives the rows once.
     """
-    items = list(parts.items())
-    if len(items) <= 1 or parallelism <= 1:
-        for sid, df in items:
-            _write_partition(wh, sid, df)
-        return
-    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
-        for f in [pool.submit(_write_partition, wh, sid, df) for sid, df in items]:
-            f.result()
+    version = uuid.uuid4().hex
+
+    def write(item: tuple[int, DataFrame]) -> int | None:
+        sid, df = int(item[0]), item[1]
+        obs = Observation(f"bronze_{version[:8]}_{sid}")
+        part = df.filter(F.col("SourceID") == F.lit(sid)).select(
+            *[F.col(f.name).cast(f.dataType) for f in schemas.BRONZE.fields if f.name != "SourceID"])
+        part.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(f"{wh.bronze_path}/v={version}/SourceID={sid}")
+        return sid if obs.get["n"] else None
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(parts)))) as pool:
+        present = [s for s in pool.map(write, parts.items()) if s is not None]
+    _finish_version(wh, version, sorted(int(s) for s in parts), present)
 
 
 def replace_sources_bulk(wh: Warehouse, bronze_rows: DataFrame, source_ids) -> list[int]:
-    """A8 for many sources in one job: dynamic partition overwrite replaces
-    the partitions of the sources that produced rows; the set of those
-    sources is observed while writing, and the partitions of requested
-    sources without rows are then emptied (an empty file must leave zero
-    rows).  Returns the ids that were emptied."""
+    """A8 for many sources in one job (see ``replace_sources``); which of them have
+    rows is observed while writing.  Returns the ids that are empty now."""
     ids = sorted({int(s) for s in source_ids})
-    obs = Observation(f"bronze_{uuid.uuid4().hex[:8]}")
+    version = uuid.uuid4().hex
+    obs = Observation(f"bronze_{version[:8]}")
     cols = [F.col(f.name).cast(f.dataType) for f in schemas.BRONZE.fields]
     out = (bronze_rows.select(*cols).filter(F.col("SourceID").isin(ids))
            .observe(obs, F.collect_set("SourceID").alias("present")))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("SourceID").parquet(wh.bronze_path))
-    present = {int(x) for x in (obs.get.get("present") or [])}
-    emptied = [s for s in ids if s not in present]
-    empty = local_frame(wh.spark, [], schemas.BRONZE)
-    for sid in emptied:
-        _write_partition(wh, sid, empty)
-    return emptied
+    out.write.partitionBy("SourceID").parquet(f"{wh.bronze_path}/v={version}")
+    return _finish_version(wh, version, ids, [int(x) for x in (obs.get.get("present") or [])])
+
+
+def delete_sources(wh: Warehouse, source_ids: Iterable[int]) -> None:
+    """Drop the rows of the given sources, by one manifest row."""
+    _publish_bronze(wh, uuid.uuid4().hex, {int(s) for s in source_ids}, [])
 
 
 # -------------------------------------------------------------------- audit
 def append_log(wh: Warehouse, log_rows: DataFrame) -> dict:
-    """Append validation rows (append-only history).  Returns what was
-    observed while writing: rows, and failed rows of severity Error (what
-    the gate needs, without reading the rows again)."""
+    """Add the rows of a validation run.  The log has a folder per RunId (run time
+    and source): a run that is repeated replaces its own rows, every other row stays.
+    Returns what was observed while writing: rows, and failed rows of severity Error."""
     cols = [F.col(f.name).cast(f.dataType) for f in schemas.VALIDATION_LOG.fields]
     obs = Observation(f"log_{uuid.uuid4().hex[:8]}")
     out = log_rows.select(*cols).observe(
         obs, F.count(F.lit(1)).alias("rows"),
         F.count_if(~F.col("Passed") & (F.col("Severity") == "Error")).alias("failed_errors"))
-    out.coalesce(1).write.mode("append").parquet(wh.log_path)
+    _replace_partitions(out.coalesce(1), "RunId", wh.log_path)
     return dict(obs.get)
 
 
+def _replace_partitions(df: DataFrame, column: str, path: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+
+
 def load_log(wh: Warehouse) -> DataFrame:
-    return _read(wh.spark, wh.log_path, schemas.VALIDATION_LOG)
+    return _read(wh.spark, wh.log_path, schemas.VALIDATION_LOG).select(*schemas.VALIDATION_LOG.fieldNames())
+
+
+_QUEUE = StructType([*schemas.PROPOSALS.fields, StructField("Batch", StringType())])
 
 
-def append_proposals(wh: Warehouse, proposals: DataFrame) -> None:
-    """A10: append proposals to the queue."""
+def append_proposals(wh: Warehouse, proposals: DataFrame, batch: str) -> None:
+    """A10: add a batch of proposals to the queue.  The queue has a folder per batch: a
+    batch that is queued again replaces itself."""
     cols = [F.col(f.name).cast(f.dataType) for f in schemas.PROPOSALS.fields]
-    proposals.select(*cols).write.mode("append").parquet(wh.proposals_path)
+    _replace_partitions(proposals.select(*cols, F.lit(batch).alias("Batch")), "Batch", wh.proposals_path)
 
 
 # --------------------------------------------------------------------- gold
@@ -270,37 +338,64 @@ def _fs(path: str):
     return pafs.LocalFileSystem(), ("/" + path[5:].lstrip("/")) if path.startswith("file:") else path
 
 
+def _drop_folders(wh: Warehouse, folders: Sequence[str], keep: Container[str], known: Container[str],
+                  spare_hours: float) -> list[str]:
+    """Delete version folders ``v=<version>`` below the given folders, but for those in
+    ``keep``; folders that were never published (``known``) go once they are
+    ``spare_hours`` old, so a load that is still running keeps what it writes."""
+    import pyarrow.fs as pafs
+
+    def newest(fs, path: str) -> float:
+        times = [i.mtime.timestamp() for i in fs.get_file_info(pafs.FileSelector(path, recursive=True)) if i.mtime]
+        return max(times, default=time.time())
+
+    gone = set()
+    for folder in folders:
+        fs, base = _fs(folder)
+        for e in fs.get_file_info(pafs.FileSelector(base, recursive=False, allow_not_found=True)):
+            v = e.base_name[2:]
+            if e.type != pafs.FileType.Directory or not e.base_name.startswith("v=") or v in keep:
+                continue
+            if v in known or time.time() - newest(fs, e.path) >= 3600 * spare_hours:
+                fs.delete_dir(e.path)
+                gone.add(v)
+    return sorted(gone)
+
+
 def prune_gold_versions(wh: Warehouse, keep: int = 2, spare_hours: float = 24.0) -> list[str]:
     """Delete gold version folders except the ``keep`` most recently
-    published (and never the current one); folders of versions that were
-    never published (failed loads) go once they are ``spare_hours`` old, so a
-    load that is still running keeps what it writes.  Returns what was
+    published (and never the current one); see ``_drop_folders`` for versions that were
+    never published (failed loads).  Returns what was
     deleted.  A reader still on the previous version is safe with keep >= 2.
     """
-    import pyarrow.fs as pafs
     pub = _read(wh.spark, wh.path("gold", "_published"), _PUBLISHED)
     recent = [r["Version"] for r in pub.orderBy(F.desc("PublishedAt"), F.desc("Version"))
               .select("Version").limit(max(1, keep)).collect()]
     known = {r["Version"] for r in pub.select("Version").distinct().collect()}      # one row per load
+    return _drop_folders(wh, [wh.path("gold")], recent, known, spare_hours)
 
-    def newest(fs, path: str) -> float:
-        times = [i.mtime.timestamp() for i in fs.get_file_info(pafs.FileSelector(path, recursive=True)) if i.mtime]
-        return max(times, default=time.time())
 
-    fs, base = _fs(wh.path("gold"))
-    try:
-        entries = fs.get_file_info(pafs.FileSelector(base, recursive=False))
-    except FileNotFoundError:
-        return []
-    gone = []
-    for e in entries:
-        if e.type == pafs.FileType.Directory and e.base_name.startswith("v="):
-            v = e.base_name[2:]
-            if v not in known and time.time() - newest(fs, e.path) < 3600 * spare_hours:
-                continue
-            if v not in recent:
-                fs.delete_dir(e.path)
-                gone.append(v)
+def prune_bronze_versions(wh: Warehouse, keep: int = 2, spare_hours: float = 24.0) -> list[str]:
+    """Delete bronze versions in which no source is current and that are not among the
+    ``keep`` published last (a reader may still be on those)."""
+    pub = _read(wh.spark, wh.path("bronze", "_published"), _BRONZE_PUBLISHED)
+    recent = {r["Version"] for r in pub.orderBy(F.desc("PublishedAt"), F.desc("Version"))
+              .select("Version").limit(max(1, keep)).collect()}
+    known = {r["Version"] for r in pub.select("Version").distinct().collect()}      # one row per replace
+    return _drop_folders(wh, [wh.bronze_path, wh.path("bronze", "profile")], recent | {v for _, v in _current(wh)}, known,
+                         spare_hours)
+
+
+def prune_meta_versions(wh: Warehouse, keep: int = 2, spare_hours: float = 24.0) -> list[str]:
+    """Delete versions of metadata tables but the ``keep`` published last of each table."""
+    pub = _read(wh.spark, wh.path("meta", "_published"), _META_PUBLISHED)
+    each = pub.select("Version", "PublishedAt", F.explode("Tables").alias("t"))
+    newest = F.row_number().over(Window.partitionBy("t").orderBy(F.desc("PublishedAt"), F.desc("Version")))
+    last = {(r.t, r.Version) for r in each.withColumn("k", newest).filter(F.col("k") <= max(1, keep)).collect()}
+    known = {r["Version"] for r in pub.select("Version").distinct().collect()}      # one row per rewrite
+    gone: set[str] = set()
+    for name in META_SCHEMAS:
+        gone |= set(_drop_folders(wh, [wh.path("meta", name)], {v for t, v in last if t == name}, known, spare_hours))
     return sorted(gone)
 
 

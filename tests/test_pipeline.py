@@ -98,7 +98,7 @@ def test_demo_rehearsal(spark, demo):
     assert parsed.count() == 5
     valid = P.valid_proposals(parsed, P.vocabulary(m))
     assert valid.count() == 4
-    W.append_proposals(wh, P.to_queue(valid, datetime(2024, 1, 1, 10)))
+    W.append_proposals(wh, P.to_queue(valid, datetime(2024, 1, 1, 10)), "demo")
     queue = W.load_proposals(wh)
     assert meta.pending_proposals(queue, m).count() == 4
     new = meta.approve_proposals(queue, m, [3])

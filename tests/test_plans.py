@@ -68,12 +68,12 @@ def test_sources_share_one_lineitem_scan(spark):
 
 def test_windows_only_over_bounded_frames(spark):
     # a window without PARTITION BY moves its rows to one task: allowed only
-    # over the per-partition sizes of dense_keys (one row per partition) and
+    # over the bucket sizes of dense_keys (one row per bucket) and
     # over the incident types (bounded by the mapping metadata)
     catalog.loaded(spark, SF0001)
     seen = set()
     for name, q in catalog.QUERIES.items():
         for order in unpartitioned_windows(executed(q(spark, SF0001))):
-            assert "_part" in order or "Classification" in order, (name, order[:120])
-            seen.add("_part" if "_part" in order else "types")
-    assert "_part" in seen        # the parser does see the dense-key offsets
+            assert "_bucket" in order or "Classification" in order, (name, order[:120])
+            seen.add("_bucket" if "_bucket" in order else "types")
+    assert "_bucket" in seen        # the parser does see the dense-key offsets
