@@ -26,6 +26,15 @@ def _values(rows, cols) -> str:
     return f"(VALUES {body}) AS t({', '.join(cols)})"
 
 
+_DIM_TYPE = """SELECT CAST(k AS BIGINT) AS IncidentTypeKey, Classification, CodeGroup,
+                    CASE WHEN Classification = 'Internal' THEN 'Int' ELSE 'Ext' END || ' ' || CodeGroup AS IncidentTypeName,
+                    CAST(k AS BIGINT) AS SortOrder
+             FROM (SELECT Classification, CodeGroup,
+                          ROW_NUMBER() OVER (ORDER BY CASE WHEN Classification = 'Internal' THEN 1 ELSE 2 END,
+                                             CodeGroup, Classification) AS k
+                   FROM (SELECT DISTINCT Classification, CodeGroup FROM mapping WHERE IsActive))"""
+
+
 def _prefix() -> str:
     src = [(sid, *info) for sid, info in B.SOURCES.items()]
     src_cols = ["SourceId", "SourceName", "FilePath", "SheetName", "PlantHeader", "MonthHeader",
@@ -61,13 +70,7 @@ silver AS (SELECT b.Plant, b.Month, m.Classification, m.CodeGroup, b.Value AS In
              ON m.IsActive AND m.SourceId = b.SourceID AND m.SourceColumn = b.SourceColumn),
 dim_plant AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY Plant NULLS FIRST) AS BIGINT) AS PlantKey, Plant AS PlantCode
               FROM (SELECT DISTINCT Plant FROM silver)),
-dim_type AS (SELECT CAST(k AS BIGINT) AS IncidentTypeKey, Classification, CodeGroup,
-                    CASE WHEN Classification = 'Internal' THEN 'Int' ELSE 'Ext' END || ' ' || CodeGroup AS IncidentTypeName,
-                    CAST(k AS BIGINT) AS SortOrder
-             FROM (SELECT Classification, CodeGroup,
-                          ROW_NUMBER() OVER (ORDER BY CASE WHEN Classification = 'Internal' THEN 1 ELSE 2 END,
-                                             CodeGroup, Classification) AS k
-                   FROM (SELECT DISTINCT Classification, CodeGroup FROM mapping WHERE IsActive))),
+dim_type AS ({_DIM_TYPE}),
 years AS (SELECT CAST(year(Month) AS INTEGER) AS Yr, MIN(Month) AS FirstMonth, MAX(Month) AS LastMonth
           FROM silver WHERE Month IS NOT NULL GROUP BY 1),
 periods AS (SELECT Yr, strftime(FirstMonth, '%b') || '–' || strftime(LastMonth, '%b') || ' ' || CAST(Yr AS VARCHAR) AS Period
@@ -204,10 +207,9 @@ def _display() -> str:
     return ", ".join(cols)
 
 
-_NOW = B.RUN_NOW.strftime("%Y-%m-%d %H:%M:%S")
-_NOW_ID = B.RUN_NOW.strftime("%Y-%m-%dT%H:%M:%S")
-
-_DQ = f"""
+def _dq(run: str, now: str) -> str:
+    """CTEs from bronze, mapping, rules and run_sources to the log of one run."""
+    return f"""
 , prof AS (SELECT SourceID, COUNT(*) AS Rows, MIN(Value) AS MinValue,
                   COUNT(*) FILTER (WHERE Plant IS NULL OR trim(Plant) = '') AS bad_Plant,
                   COUNT(*) FILTER (WHERE SourceColumn IS NULL OR trim(SourceColumn) = '') AS bad_SourceColumn,
@@ -240,7 +242,7 @@ ev AS (SELECT a.*, m.*, dup.Dupes,
                    WHEN 'Month' THEN m.bad_Month WHEN 'Value' THEN m.bad_Value END AS bad,
               CAST(json_extract_string(a.RuleParameters, '$.min') AS INTEGER) AS pmin
        FROM app a JOIN meas m ON m.SourceId = a.RunSourceId CROSS JOIN dup),
-vlog AS (SELECT '{_NOW_ID}-' || CAST(RunSourceId AS VARCHAR) AS RunId, TIMESTAMP '{_NOW}' AS RunTimestamp,
+vlog AS (SELECT '{run}-' || CAST(RunSourceId AS VARCHAR) AS RunId, TIMESTAMP '{now}' AS RunTimestamp,
                 RunSourceId AS SourceId, RuleId, RuleName, Severity,
                 CASE RuleType WHEN 'SchemaDrift' THEN Unmapped = 0 WHEN 'MissingColumn' THEN Missing = 0
                      WHEN 'RowCount' THEN COALESCE(Rows >= pmin, FALSE) WHEN 'NotNull' THEN COALESCE(bad = 0, FALSE)
@@ -303,7 +305,7 @@ WHERE m.IsActive AND m.SourceId IN (SELECT SourceId FROM run_sources)
     "duplicate_grain": """
 SELECT CAST(COUNT(*) AS BIGINT) AS Dupes FROM (SELECT 1 FROM silver GROUP BY Plant, Month, Classification, CodeGroup
                                               HAVING COUNT(*) > 1)""",
-    "validation_log": _DQ + "SELECT * FROM vlog",
+    "validation_log": _dq(B.RUN_NOW.strftime("%Y-%m-%dT%H:%M:%S"), B.RUN_NOW.strftime("%Y-%m-%d %H:%M:%S")) + "SELECT * FROM vlog",
     "failed_rules": """
 SELECT CAST(COUNT(*) FILTER (WHERE NOT Passed) AS BIGINT) AS FailedRules,
        CAST(COUNT(*) FILTER (WHERE NOT Passed AND RunTimestamp = (SELECT MAX(RunTimestamp) FROM hist)) AS BIGINT)
