@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LEVELS = 8                      # 2 ** 8 buckets
+RANGE_ROWS = 500_000             # rows a range, about
+_WITHIN = (1 << 33) - 1          # the part of a running id that counts inside its partition
 
 
 def dense_keys(df: DataFrame, order_by: Sequence[str], key: str = "Key",
@@ -15,27 +16,24 @@ def dense_keys(df: DataFrame, order_by: Sequence[str], key: str = "Key",
     """``row_number() OVER (ORDER BY order_by)`` (+ start - 1), ascending with
     NULLs first, for a set of any size.
 
-    The rows with the smallest hashes are a sample whose sorted keys cut the
-    order into buckets, so a row's bucket is an expression of its own key and
-    of the set: no result depends on how Spark partitions, samples or
-    coalesces, and every evaluation gives the same keys.  Rows are numbered
-    inside their bucket; bucket counts (at most 256 rows) give the offsets.
+    The input is written once (``spark.checkpoint.dir``) and computed once; all that
+    follows reads what was written.  Its rows go to sorted ranges, as many as the row
+    count asks for, and are numbered inside their range; the numbers are written with
+    the rows, so that the sampled bounds of the ranges play no part in what is read
+    later.  The counts of the ranges before (a row a range) give the offsets.
     ``order_by`` must be a total order for the keys to be deterministic.
     """
-    own = F.struct(*order_by)
-    cuts = (df.select(own.alias("c")).orderBy(F.xxhash64("c"), "c").limit((1 << _LEVELS) - 1)
-            .agg(F.array_sort(F.collect_set("c"))).scalar())
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(_LEVELS))])
-    with_cuts = df.withColumn("_cuts", cuts).withColumn("_own", own)
-    bucket = F.aggregate(steps, F.lit(0), lambda low, step: F.when(
-        F.get(F.col("_cuts"), low + step - 1) <= F.col("_own"), low + step).otherwise(low))
-    placed = with_cuts.withColumn("_bucket", bucket).drop("_cuts", "_own")
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-               .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
-    inside = Window.partitionBy("_bucket").orderBy(*order_by)
+    rows = df.checkpoint(eager=True)
+    ranges = max(1, -(-rows.count() // RANGE_ROWS))
     base = start if isinstance(start, Column) else F.lit(int(start))
-    return (placed.withColumn("_pos", F.row_number().over(inside) - 1)
-            .join(F.broadcast(offsets), "_bucket")       # at most 2 ** _LEVELS rows
-            .withColumn(key, (F.col("_off") + F.col("_pos") + base).cast("bigint"))
-            .drop("_bucket", "_pos", "_off"))
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit(_WITHIN))
+    if ranges == 1:
+        return (rows.repartition(1).sortWithinPartitions(*order_by)
+                .withColumn(key, (position + base).cast("bigint")))
+    placed = (rows.repartitionByRange(ranges, *order_by).sortWithinPartitions(*order_by)
+              .withColumns({"_part": F.spark_partition_id(), "_pos": position}).checkpoint(eager=True))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    return (placed.join(offsets, "_part").withColumn(key, (F.col("_off") + F.col("_pos") + base).cast("bigint"))
+            .drop("_part", "_pos", "_off"))

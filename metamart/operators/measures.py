@@ -146,7 +146,9 @@ def date_roles(star: Star, ctx: FilterContext, date_by: Sequence[str]) -> DataFr
     * ``cur``  -- a visible day feeds its own group (Anchor = that day);
     * ``py``   -- the day one year before a visible day feeds the visible
       day's group (same period last year; distinct per group, so two
-      visible days mapping to one prior day count it once);
+      visible days mapping to one prior day count it once).  A month all of
+      whose days are visible in a group has the whole month a year earlier:
+      all of February has a prior 29th of February too;
     * ``prev`` -- the day one month before a visible day feeds it as the
       "previous month" of Anchor (date filters replaced, so it may lie
       outside the visible dates).
@@ -158,8 +160,16 @@ def date_roles(star: Star, ctx: FilterContext, date_by: Sequence[str]) -> DataFr
     # shifted days are keyed arithmetically; a day missing from the
     # calendar has no facts, so it simply contributes nothing
     cur = vis.select("DateKey", F.lit("cur").alias("Role"), F.col("Date").alias("Anchor"), *dby)
-    py = (vis.select(date_key(F.add_months("Date", -12)).alias("DateKey"), F.lit("py").alias("Role"),
-                     F.lit(None).cast("date").alias("Anchor"), *dby).distinct())
+    none = F.lit(None).cast("date").alias("Anchor")
+    shifted = vis.select(F.add_months("Date", -12).alias("Date"), *[c.alias(f"_{n}") for n, c in zip(date_by, dby, strict=True)])
+    last = F.last_day(F.max("Date"))
+    months = (vis.groupBy(*[c.alias(f"_{n}") for n, c in zip(date_by, dby, strict=True)], F.trunc("Date", "month").alias("_month"))
+              .agg(F.count(F.lit(1)).alias("_days"), last.alias("_last")).filter(F.col("_days") == F.dayofmonth("_last")))
+    # the days between the shifted end of a whole month and that month's own end
+    ends = months.select(F.explode(F.sequence(F.add_months("_last", -12), F.last_day(F.add_months("_last", -12)))).alias("Date"),
+                         *[F.col(f"_{n}") for n in date_by])
+    py = (shifted.unionByName(ends).select(date_key("Date").alias("DateKey"), F.lit("py").alias("Role"), none,
+                                           *[F.col(f"_{n}").alias(n) for n in date_by]).distinct())
     prev = vis.select(date_key(F.add_months("Date", -1)).alias("DateKey"), F.lit("prev").alias("Role"),
                       F.col("Date").alias("Anchor"), *dby)
     return cur.unionByName(py).unionByName(prev)

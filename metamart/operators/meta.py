@@ -79,43 +79,38 @@ def registration_rows(result: DataFrame) -> Registration:
 
 def latest_proposals(proposals: DataFrame) -> DataFrame:
     """The most recent proposal per (SourceId, SourceColumn); ties by
-    confidence, then values.
-
-    Two exact steps, both aggregates with map-side partials (a column with
-    very many proposals is no hot spot): the latest time per column (a hash
-    aggregate over the whole queue), then -- among the rows at that time
-    only, usually one per column -- the tie-break.
-    """
-    keys = ["SourceId", "SourceColumn"]
-    last = proposals.groupBy(F.col("SourceId").alias("_sid"), F.col("SourceColumn").alias("_scol")).agg(
-        F.max("ProposedAt").alias("_last"))
-    cond = ((F.col("SourceId") == F.col("_sid")) & (F.col("SourceColumn") == F.col("_scol"))
-            & F.col("ProposedAt").eqNullSafe(F.col("_last")))
-    at_last = proposals.join(last, cond, "left_semi")
+    confidence, then values.  One aggregate with map-side partials: the queue is
+    read once, and a column with very many proposals is no hot spot."""
     pick = F.max_by(F.struct("Classification", "CodeGroup", "Confidence", "ProposedAt"),
-                    F.struct("Confidence", "Classification", "CodeGroup"))
-    return at_last.groupBy(*keys).agg(pick.alias("_pick")).select(*keys, "_pick.*")
+                    F.struct("ProposedAt", "Confidence", "Classification", "CodeGroup"))
+    return proposals.groupBy("SourceId", "SourceColumn").agg(pick.alias("_pick")).select("SourceId", "SourceColumn", "_pick.*")
 
 
-def approve_proposals(proposals: DataFrame, mapping: DataFrame,
-                      source_ids: Sequence[int] | None = None,
-                      min_confidence: float = DEFAULT_MIN_CONFIDENCE) -> DataFrame:
-    """H2: new mapping rows.  Latest proposal per column first, *then* the
+def approvable(proposals: DataFrame, mapping: DataFrame, source_ids: Sequence[int] | None = None,
+               min_confidence: float = DEFAULT_MIN_CONFIDENCE) -> DataFrame:
+    """What an approval would add, without ids: latest proposal per column first, *then* the
     confidence threshold (a newer weak proposal hides an older strong one),
-    then not already mapped (active or not); ids continue after the largest
-    MappingId in (SourceId, SourceColumn) order.  Running it again with the
-    rows added inserts nothing."""
+    then not already mapped (active or not)."""
     p = proposals
     if source_ids is not None:
         p = p.filter(F.col("SourceId").isin([int(s) for s in source_ids]))
     latest = latest_proposals(p).filter(F.col("Confidence") >= F.lit(min_confidence))
     mapped = mapping.select("SourceId", header_key().alias("_k"))
-    fresh = (latest.withColumn("_k", header_key()).join(mapped, ["SourceId", "_k"], "left_anti")
-             .drop("_k"))
+    fresh = latest.withColumn("_k", header_key()).join(mapped, ["SourceId", "_k"], "left_anti")
+    return fresh.select(F.col("SourceId").cast("int").alias("SourceId"), "SourceColumn", "Classification", "CodeGroup",
+                        F.lit(True).alias("IsActive"))
+
+
+def approve_proposals(proposals: DataFrame, mapping: DataFrame,
+                      source_ids: Sequence[int] | None = None,
+                      min_confidence: float = DEFAULT_MIN_CONFIDENCE) -> DataFrame:
+    """H2: new mapping rows (see ``approvable``); ids continue after the largest
+    MappingId in (SourceId, SourceColumn) order.  Running it again with the
+    rows added inserts nothing."""
+    fresh = approvable(proposals, mapping, source_ids, min_confidence)
     keyed = dense_keys(fresh, ["SourceId", "SourceColumn"],
                        key="MappingId", start=_next_base(mapping, "MappingId").scalar())
-    return keyed.select(F.col("MappingId").cast("int"), F.col("SourceId").cast("int"), "SourceColumn",
-                        "Classification", "CodeGroup", F.lit(True).alias("IsActive"))
+    return keyed.select(F.col("MappingId").cast("int"), "SourceId", "SourceColumn", "Classification", "CodeGroup", "IsActive")
 
 
 def pending_proposals(proposals: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -67,16 +67,17 @@ def slicer_options(star: Star, ctx: M.FilterContext = M.ALL) -> DataFrame:
     """Options of the three slicers.  Periods come from the calendar;
     classifications and plants are those with facts on the visible dates
     (each slicer restricted by the date selection); blank plants excluded."""
-    vis = M.visible_dates(star, ctx).select("DateKey")
-    f = star.fact.join(F.broadcast(vis), "DateKey", "left_semi")
-    periods = (M.visible_dates(star, ctx).select(F.lit("Period").alias("Slicer"),
-                                                  F.col("Period").alias("Value")).distinct())
-    types_used = f.select("IncidentTypeKey").distinct()
-    classes = (star.dim_incident_type.join(types_used, "IncidentTypeKey", "left_semi")
-               .select(F.lit("Classification").alias("Slicer"), F.col("Classification").alias("Value"))
-               .distinct())
-    plants_used = f.select("PlantKey").distinct()
-    plants = (star.dim_plant.filter(F.col("PlantCode").isNotNull())
-              .join(plants_used, "PlantKey", "left_semi")
-              .select(F.lit("Plant").alias("Slicer"), F.col("PlantCode").alias("Value")))
-    return periods.unionByName(classes).unionByName(plants)
+    vis = M.visible_dates(star, ctx)
+    f = star.fact.join(vis.select("DateKey"), "DateKey", "left_semi")
+    periods = vis.select(F.lit("Period").alias("Slicer"), F.col("Period").alias("Value")).distinct()
+
+    def option(slicer, key):
+        return F.struct(F.lit(slicer).alias("Slicer"), F.col(key).cast("bigint").alias("Key"))
+
+    # both lists from one pass over the fact: every row names its type and its plant
+    used = f.select(F.inline(F.array(option("Classification", "IncidentTypeKey"), option("Plant", "PlantKey")))).distinct()
+    names = (star.dim_incident_type.select(option("Classification", "IncidentTypeKey").alias("o"), F.col("Classification").alias("Value"))
+             .unionByName(star.dim_plant.filter(F.col("PlantCode").isNotNull())
+                          .select(option("Plant", "PlantKey").alias("o"), F.col("PlantCode").alias("Value"))))
+    listed = used.join(names.select("o.*", "Value"), ["Slicer", "Key"]).select("Slicer", "Value").distinct()
+    return periods.unionByName(listed)

@@ -310,6 +310,20 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def q_yoy_daily(spark, d):
+    """Prior year at day grain: 1997 against the leap year 1996, by month."""
+    li = spark.read.parquet(f"{d}/lineitem.parquet")
+    sup = spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", "s_name")
+    cls = F.when(F.col("l_linestatus") == "O", F.lit("Internal")).otherwise(F.lit("External"))
+    daily = li.join(sup, li.l_suppkey == sup.s_suppkey).groupBy(
+        F.col("s_name").alias("Plant"), F.col("l_shipdate").cast("date").alias("Month"), cls.alias("Classification"),
+        F.col("l_returnflag").alias("CodeGroup")).agg(F.sum("l_quantity").cast("bigint").alias("Incidents"))
+    return M.year_over_year(gold.build_star(daily, B.mapping(spark)), M.FilterContext(years=(1997,)), ("MonthShort",))
+
+
+QUERIES["yoy_daily"] = q_yoy_daily
+
+
 # ------------------------------------------------------- metadata, proposals
 def _vocab(spark, d):
     return P.vocabulary(B.mapping_with_extras(spark))
@@ -359,7 +373,9 @@ def q_set_active(spark, d):
 
 
 def q_meta_counts(spark, d):
-    mapping_after = B.mapping_with_extras(spark).unionByName(_approved(spark, d))
+    # counted before the key step: ids are not needed
+    mx = B.mapping_with_extras(spark)
+    mapping_after = mx.select("SourceId").unionByName(meta.approvable(_queue(spark, d), mx).select("SourceId"))
     return meta.meta_counts({
         "SourceRegistry": B.registry(spark), "KeyColumnMapping": B.key_map(spark),
         "ColumnMapping": mapping_after, "DQRules": B.rules(spark),
@@ -367,7 +383,9 @@ def q_meta_counts(spark, d):
 
 
 def q_vocabulary(spark, d):
-    return P.vocabulary(B.mapping_with_extras(spark).unionByName(_approved(spark, d)))
+    mx = B.mapping_with_extras(spark)
+    fresh = meta.approvable(_queue(spark, d), mx)
+    return P.vocabulary(mx.select(fresh.columns).unionByName(fresh))
 
 
 def q_parse(spark, d):

@@ -353,6 +353,14 @@ FROM (SELECT DISTINCT Year FROM dim_date) y LEFT JOIN ({_latest(['Year'])}) l ON
     "overview_signal": f"""
 SELECT yy.Year, {_signal('yy.Incidents_Pct_Chg', 'l.Pct_Latest_Month_Chg', 'l.LatestMonth')} AS Overview_Signal
 FROM ({_yoy_by_year()}) yy LEFT JOIN ({_latest(['Year'])}) l ON l.Year = yy.Year""",
+    "yoy_daily": f"""
+, daily AS (SELECT CAST(l_shipdate AS DATE) AS d, CASE WHEN l_linestatus = 'O' THEN 'Internal' ELSE 'External' END AS Classification,
+                   CAST(l_quantity AS BIGINT) AS Incidents FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
+SELECT k.MonthShort, {_yoy_cols('c', 'p')}
+FROM (SELECT DISTINCT strftime(d, '%b') AS MonthShort FROM daily) k
+LEFT JOIN (SELECT strftime(d, '%b') AS MonthShort, {_SPLITS} FROM daily WHERE year(d) = 1997 GROUP BY 1) c ON c.MonthShort = k.MonthShort
+LEFT JOIN (SELECT strftime(d, '%b') AS MonthShort, {_SPLITS} FROM daily WHERE year(d) = 1996 GROUP BY 1) p ON p.MonthShort = k.MonthShort
+WHERE {_ANY}""",
     "trend_month_class": """
 SELECT MonthShort, MonthNumber, Classification, CAST(SUM(Incidents) AS BIGINT) AS Incidents
 FROM star GROUP BY ALL""",

@@ -2,7 +2,8 @@
 
 import re
 
-from metamart.plans import catalog
+from metamart.operators import keys, meta
+from metamart.plans import binding as B, catalog
 from tests.conftest import SF0001
 
 
@@ -66,14 +67,38 @@ def test_sources_share_one_lineitem_scan(spark):
     assert plan.count("ReusedExchange") >= 2
 
 
-def test_windows_only_over_bounded_frames(spark):
+def test_windows_only_over_bounded_frames(spark, monkeypatch):
     # a window without PARTITION BY moves its rows to one task: allowed only
-    # over the bucket sizes of dense_keys (one row per bucket) and
+    # over the sizes of the ranges of dense_keys (one row per range) and
     # over the incident types (bounded by the mapping metadata)
+    monkeypatch.setattr(keys, "RANGE_ROWS", 5)      # several ranges at this size
     catalog.loaded(spark, SF0001)
     seen = set()
     for name, q in catalog.QUERIES.items():
         for order in unpartitioned_windows(executed(q(spark, SF0001))):
-            assert "_bucket" in order or "Classification" in order, (name, order[:120])
-            seen.add("_bucket" if "_bucket" in order else "types")
-    assert "_bucket" in seen        # the parser does see the dense-key offsets
+            assert "_part" in order or "Classification" in order, (name, order[:120])
+            seen.add("_part" if "_part" in order else "types")
+    assert "_part" in seen        # the parser does see the dense-key offsets
+
+
+def test_slicers_read_the_fact_once(spark):
+    plan = executed(catalog.QUERIES["slicer_options"](spark, SF0001))
+    assert len([line for line in plan.split("\n") if "FileScan" in line and "Incidents" in line or "IncidentTypeKey" in line and "FileScan" in line
+                and "PlantKey" in line]) == 1
+
+
+def test_validation_reads_bronze_for_the_uniqueness_rule_only(spark):
+    def scans(name):
+        return [line for line in executed(catalog.QUERIES[name](spark, SF0001)).split("\n") if "FileScan" in line]
+
+    assert scans("null_counts") and all("bad_Plant" in line for line in scans("null_counts"))     # the kept profile
+    assert all("n#" in line and "Plant#" not in line for line in scans("row_counts"))
+    assert len([line for line in scans("validation_log") if "bad_Plant" not in line]) <= 2         # the rule's two phases
+
+
+def test_the_queue_is_read_once(spark):
+    """Approval: one scan of the events before the key step, none after it."""
+    mx = B.mapping_with_extras(spark)
+    before = executed(meta.approvable(catalog._queue(spark, SF0001), mx))
+    assert before.count("FileScan parquet") == 1
+    assert "FileScan" not in executed(catalog.QUERIES["approve_proposals"](spark, SF0001))
