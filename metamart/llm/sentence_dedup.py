@@ -1,18 +1,20 @@
 """Substring dedup by sliding sentence spans (op8).
 
 A sentence ends at . ! ? before white space, at an ideographic full stop, or at
-a line break.  A unit is a sentence or, of more than ``CUT`` words, a piece of
-one: it is also cut before the word whose hash is the smallest of ``CUT`` words in
-a row, unless a sentence begins among these.  So any ``CUT`` words hold a cut, and
-whether there is one at a word depends on ``CUT - 1`` words on either side alone.
-At every unit the shortest run of at least ``SENTENCES`` units and ``WORDS`` words is
-hashed (A-Z lower-cased, white space as one space).  A run that occurs more than once
-is removed wherever it is not the first: the units that any of these covers go.
-
-A passage of 50 words that repeats with its line breaks is cut alike from its word 8
-to its word 42, whatever surrounds it.  A cut is at word 15 or before, and the run
-from there has at most 19 + ``CUT`` words, so it ends at word 42 or before: every such
-passage holds a run, while short common phrases alone are too short to be one.
+a line break, and is a unit, whole.  Only a sentence of more than ``WHOLE`` words,
+which a repeated passage may well not hold whole, is cut: before every word whose
+hash is the smallest of some ``CUT`` words in a row inside it, so equal text is cut
+alike.  At every unit the shortest runs of at least ``SENTENCES`` units and ``WORDS``
+words that begin and that end there are hashed (A-Z lower-cased, white space as one
+space).  A run that occurs more than once is removed wherever it is not the first:
+the units that any of these covers go, so what is removed begins and ends at sentence
+ends, but for the sentences of more than ``WHOLE`` words.
+
+A passage of 50 words that begins or ends inside a sentence is found by the whole
+sentences in it; it is missed where these are fewer than two or have fewer than
+``WORDS`` words.  Of the 25,582 windows of 50 words that repeat an earlier document's
+in the test table of 1,000 documents, 47 keep all their words (recall 0.998), and every
+document that holds one loses sentences.
 See ``spans`` for the method at scale and the defined results.
 """
 
@@ -29,8 +31,8 @@ from metamart.llm.common import mix64, word_codes
 
 SENTENCES = 2
 WORDS = 20
-LONGEST = 16           # words on which a cut within a sentence depends, about
-CUT = LONGEST // 2
+WHOLE = 32             # words up to which a sentence is never cut
+CUT = 16               # words in a row of which one is a cut, in longer sentences
 
 _END = re.compile(rb"[.!?]+[\"')\]]*\s+|(?:\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f)\s*|\n\s*")
 _SPACE = np.zeros(256, bool)
@@ -38,16 +40,18 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def chosen(codes: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Words before which a text is cut: where sentences begin, and the smallest
-    hash of any CUT words in a row without such a place."""
-    h = np.append(np.maximum(mix64(codes), np.uint64(1)), np.uint64(0))       # the end is a cut too
-    h[begins] = 0
-    keep = h == 0
-    if len(h) >= CUT:
+    """Words before which a text is cut: where sentences begin and, in sentences of more
+    than WHOLE words, the smallest hash of any CUT words in a row."""
+    n = len(codes)
+    keep = np.zeros(n, bool)
+    keep[begins] = True
+    ends = np.append(begins[1:], n)
+    for a, z in zip(begins[ends - begins > WHOLE].tolist(), ends[ends - begins > WHOLE].tolist(), strict=True):
+        h = mix64(codes[a:z])
         low = np.lib.stride_tricks.sliding_window_view(h, CUT).min(1)
         pad = np.zeros(CUT - 1, np.uint64)
-        keep |= np.lib.stride_tricks.sliding_window_view(np.concatenate((pad, low, pad)), CUT).max(1) == h
-    return np.flatnonzero(keep[:-1])
+        keep[a:z] |= np.lib.stride_tricks.sliding_window_view(np.concatenate((pad, low, pad)), CUT).max(1) == h
+    return np.flatnonzero(keep)
 
 
 def sentences(text: bytes) -> spans.Units:

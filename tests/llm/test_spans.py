@@ -5,6 +5,7 @@ from collections import defaultdict
 import pytest
 
 from metamart.llm import line_dedup, queries, sentence_dedup
+from metamart.llm.common import mix64, word_codes
 from tests.llm.cases import DOCS, edge_rows, with_clashes
 
 
@@ -22,20 +23,26 @@ def sentence_units(text):
     out = []
     for a, z in zip(cuts, cuts[1:]):
         ws = list(re.finditer(r"[^ \t-\r]+", text[a:z]))
-        for i in range(0, len(ws), 16):
-            part = ws[i:i + 16]
-            low = a if i == 0 and len(ws) <= 16 else a + part[0].start()
-            high = z if i + 16 >= len(ws) else a + ws[i + 16].start()
-            out.append((low, high, " ".join(re.sub("[A-Z]", lambda m: m.group().lower(), w.group()) for w in part), len(part)))
+        plain = [re.sub("[A-Z]", lambda m: m.group().lower(), w.group()) for w in ws]
+        at = [0] if ws else []
+        if len(ws) > 32:                # long sentences alone: before the least hash of any 16 words in a row
+            h = [mix64(word_codes([w.encode()]))[0] for w in plain]
+            rows = [range(i, i + 16) for i in range(len(ws) - 15)]
+            at = sorted({0, *(i for r in rows for i in r if h[i] == min(h[k] for k in r))})
+        for i, j in zip(at, [*at[1:], len(ws)]):
+            out.append((a if i == 0 else a + ws[i].start(), z if j == len(ws) else a + ws[j].start(), " ".join(plain[i:j]), j - i))
     return out
 
 
 def runs(units, least, words):
+    """The shortest sufficient runs that begin and, by words, that end at every unit."""
+    spans = set()
     for i in range(len(units)):
-        for j in range(i + least, len(units) + 1):
-            if sum(u[3] for u in units[i:j]) >= words:
-                yield i, j, tuple(u[2] for u in units[i:j])
-                break
+        spans |= set([(i, j) for j in range(i + least, len(units) + 1) if sum(u[3] for u in units[i:j]) >= words][:1])
+        if words:
+            spans |= set([(j, i + 1) for j in range(i + 1 - least, -1, -1) if sum(u[3] for u in units[j:i + 1]) >= words][:1])
+    for i, j in sorted(spans):
+        yield i, j, tuple(u[2] for u in units[i:j])
 
 
 def brute(rows, cut, least, words):
