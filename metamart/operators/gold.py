@@ -13,9 +13,6 @@ from metamart.functions.text import type_label
 from metamart.operators.keys import dense_keys
 from metamart.operators.silver import active_mapping
 
-# The plant dimension is broadcast into the fact join only up to this many
-# rows (about 50 MB as a hash relation); session setting to override it.
-
 
 class ContractViolation(RuntimeError):
     """A gold table breaks NOT NULL or a length limit; nothing is published."""
