@@ -14,7 +14,8 @@ A passage of 50 words that begins or ends inside a sentence is found by the whol
 sentences in it; it is missed where these are fewer than two or have fewer than
 ``WORDS`` words.  Of the 25,582 windows of 50 words that repeat an earlier document's
 in the test table of 1,000 documents, 47 keep all their words (recall 0.998), and every
-document that holds one loses sentences.
+document that holds one loses sentences.  Of 150 invented passages of exactly 50 words
+that begin and end inside sentences of up to 34 words, 117 are found (0.78).
 See ``spans`` for the method at scale and the defined results.
 """
 
