@@ -1,4 +1,7 @@
 import random
+from itertools import combinations
+
+import pytest
 
 from metamart.llm import decontaminate as D, queries
 from tests.llm.cases import DOCS, edge_rows, with_clashes, words
@@ -57,3 +60,33 @@ def test_edges(spark):
 def test_short_items(spark):
     docs = [(1, "a b c d e"), (2, "x a b c d q y"), (3, "a b c"), (4, "p q r s t u v w"), (5, "p q r s zz u v w")]
     assert leaks(spark, docs, [(1, "a b c d e"), (2, "p q r s t u v w")]) == [(1, 1), (2, 1), (4, 2), (5, 2)]
+
+
+def test_masks_leave_no_accepted_pattern_without_a_seed():
+    """The base cases of the module's argument, by enumeration."""
+    cases = [(n, 1) for n in range(10, 16)] + [(13, 2), (14, 2), (15, 3), (20, 4)]
+    for n, k in cases:
+        for subs in combinations(range(n), k):
+            assert any(all(a + o not in subs for o in m) for m in D.MASKS for a in range(n - m[-1])), (n, subs)
+
+
+@pytest.mark.parametrize("n, k", [(5, 1), (8, 1), (10, 2), (12, 2), (13, 2), (15, 3), (16, 3), (20, 4), (37, 7)])
+def test_equals_every_alignment(n, k):
+    """Each document that the verification accepts along any alignment is found."""
+    rnd = random.Random(n)
+    item = [f"v{i}" for i in range(n)]
+    block = D.Block.build([(1, " ".join(item).encode())])
+    table = block.table()
+    patterns = list(combinations(range(n), k))
+    for subs in patterns if len(patterns) < 700 else rnd.sample(patterns, 700):
+        text = [f"z{i}" if i in subs else w for i, w in enumerate(item)]
+        for around in ([], ["q"] * 3):
+            got = block.overlaps(" ".join(around + text + around).encode(), table)
+            assert [o[3] for o in got] == [n - k], (subs, around)
+
+
+def test_item_over_the_end_of_a_text():
+    block = D.Block.build([(1, b"a b c d e")])
+    for text in (b"a b c d", b"x a b c d", b"b c d e x", b"b c d e"):
+        assert [o[3] for o in block.overlaps(text, block.table())] == [4], text
+    assert block.overlaps(b"a b c", block.table()) == []
