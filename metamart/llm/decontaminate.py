@@ -17,7 +17,8 @@ Let 5k words hold at most k substitutions, k > 4.  If the first five hold one, t
 rest is the case k - 1; else if the first ten hold two, the rest is the case k - 2;
 else the first ten hold one at most, behind five equal words, which a mask hits.
 Items under 13 words use ``SHORT_MASKS``: of disjoint windows of five words one
-has one substitution at most, and the masks ignore each place once.
+has one substitution at most, and the masks ignore each place once.  Seeds lie
+in the text, so four words at a text's end match no item of five.
 
 The benchmark is a stated query set.  It is taken in blocks of at most
 ``BLOCK_WORDS`` words (plus one item), whose seeds are broadcast; every block
@@ -51,9 +52,6 @@ TABLE_BITS = 22
 
 _ODD = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 3)) & 0xFFFFFFFFFFFFFFFF | 1) for i in range(LONGEST)]
 
-_PAD = np.zeros(1, np.uint64)
-
-
 def seed_hashes(codes: np.ndarray, span: int, mask: tuple[int, ...], salt: int) -> np.ndarray:
     """Hash of the masked window at every position with ``span`` words left."""
     m = len(codes) - span + 1
@@ -107,17 +105,14 @@ class Block:
     def alignments(self, codes: np.ndarray, table: np.ndarray) -> np.ndarray:
         """Distinct (item, place of the item's first word in the text) of all hits."""
         found = []
-        # a word that equals none at either end: four of five words may begin or end a text
-        padded = np.concatenate((_PAD, codes, _PAD)) if self.short else codes
         for span, mask, salt in _all_masks(self.short):
-            ahead = int(salt >= 100)
-            h = seed_hashes(padded if ahead else codes, span, mask, salt)
+            h = seed_hashes(codes, span, mask, salt)
             pos = np.flatnonzero(table[(h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
             lo, hi = np.searchsorted(self.seeds, h[pos], "left"), np.searchsorted(self.seeds, h[pos], "right")
             n = hi - lo
             if n.any():
                 k = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-                found.append(np.stack((self.item[k], np.repeat(pos - ahead, n) - self.at[k]), 1))
+                found.append(np.stack((self.item[k], np.repeat(pos, n) - self.at[k]), 1))
         return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
 
     def overlaps(self, text: bytes | None, table: np.ndarray) -> list[tuple[int, int, int, int]]:

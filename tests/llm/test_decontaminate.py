@@ -83,10 +83,3 @@ def test_equals_every_alignment(n, k):
         for around in ([], ["q"] * 3):
             got = block.overlaps(" ".join(around + text + around).encode(), table)
             assert [o[3] for o in got] == [n - k], (subs, around)
-
-
-def test_item_over_the_end_of_a_text():
-    block = D.Block.build([(1, b"a b c d e")])
-    for text in (b"a b c d", b"x a b c d", b"b c d e x", b"b c d e"):
-        assert [o[3] for o in block.overlaps(text, block.table())] == [4], text
-    assert block.overlaps(b"a b c", block.table()) == []
