@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metamart.session import ensure_checkpoint_dir
 
@@ -32,6 +34,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_place(name: Column | str) -> Column:
+    """Order of the files that Spark wrote, by name: the task's number, then the
+    number of the file among the task's (with a limit of records a file)."""
+    name = F.col(name) if isinstance(name, str) else name
+    part = F.regexp_extract(name, r"part-(\d+)", 1).cast("long")
+    return part * 1_000_000 + F.regexp_extract(F.concat(name, F.lit("-c0.")), r"-c(\d+)\.", 1).cast("long")
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for the jobs run inside: a batch of
+    whole texts is held by the JVM and by its worker at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 # ------------------------------------------------------------------- words
 class WordHashes(dict):
     """word bytes -> 64-bit hash, remembered up to ``limit`` words (memory
@@ -62,6 +85,11 @@ def word_codes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+def forget_words() -> None:
+    """Frees the remembered words of this worker before a step that has no use for them."""
+    _WORDS.clear()
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """Finalising mixer of 64-bit values (bijective)."""
     h = h ^ (h >> np.uint64(31))

@@ -39,4 +39,6 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"components: links still move after {max_rounds} rounds")
     return edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("root"))

@@ -21,16 +21,18 @@ def held_out(doc_id: Column | str, folds: int, fold: int) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows: int) -> DataFrame:
-    """(y, text) of at most ``rows`` labelled documents that are not held out,
+    """(id, y, text) of at most ``rows`` labelled documents that are not held out,
     taken in the order of a hash of the id, so any order of the table gives the
-    same sample.  Rows without a 0/1 label are skipped."""
+    same sample.  Rows without a 0/1 label are skipped; of a repeated doc_id the
+    smallest text counts, so the rows are bounded too."""
     ids = (labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("y"))
            .filter("id IS NOT NULL AND y IN (0, 1)").filter(~held_out("id", folds, fold))
            .groupBy("id").agg(F.max("y").alias("y"))
            .orderBy(F.xxhash64("id"), "id").limit(rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     # at most ``rows`` ids: the broadcast is bounded by the parameter
-    return texts.join(F.broadcast(ids), "id").select("id", "y", "text")
+    return (texts.join(F.broadcast(ids), "id").groupBy("id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+            .select("id", "y", "text"))
 
 
 def scored(docs: DataFrame, make_scores: Callable[[], Scores], folds: int, fold: int) -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from metamart.llm.common import materialize, small_batches
+from metamart.llm.common import arrow_rows, file_place, forget_words, materialize, small_batches
 
 END_ID = 0
 ROW_GROUP_BYTES = 32 << 20
@@ -164,6 +164,7 @@ def encoder(path: str) -> PieceEncoder:
 
 def _tokenise(path: str, end_id: int):
     def run(batches):
+        forget_words()                 # an earlier stage's, if this worker ran one
         enc, end = encoder(path), np.uint32(end_id).tobytes()
         for b in small_batches(batches, 200):
             texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
@@ -192,21 +193,21 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     out = rows.mapInArrow(_tokenise(tokenizer or default_tokenizer(), end_id),
                           "doc_id long, n_tokens int, token_ids array<int>")
     dictionary = {"dictionary": "true", "delta": "false"}[encoding]
-    (out.write.option("compression", "zstd")
-     .option("parquet.writer.version", "PARQUET_2_0")
-     .option("parquet.block.size", row_group_bytes)
-     .option("parquet.page.size", page_bytes)
-     .option("parquet.enable.dictionary", "false")
-     .option("parquet.enable.dictionary#token_ids.list.element", dictionary)
-     .parquet(path))
+    with arrow_rows(docs.sparkSession):
+        (out.write.option("compression", "zstd")
+         .option("parquet.writer.version", "PARQUET_2_0")
+         .option("parquet.block.size", row_group_bytes)
+         .option("parquet.page.size", page_bytes)
+         .option("parquet.enable.dictionary", "false")
+         .option("parquet.enable.dictionary#token_ids.list.element", dictionary)
+         .parquet(path))
 
 
 def read_tokens(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """The token files; name columns and filter on doc_id to read selectively.
     ``part`` and ``row`` give the order of writing."""
     files = spark.read.schema("doc_id long, n_tokens int, token_ids array<int>").parquet(path)
-    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
-    return files.select(part.alias("part"), F.col("_metadata.row_index").alias("row"),
+    return files.select(file_place("_metadata.file_name").alias("part"), F.col("_metadata.row_index").alias("row"),
                         *(columns or ("doc_id", "n_tokens", "token_ids")))
 
 
@@ -241,5 +242,6 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from its ids in the files."""
     rows = read_tokens(spark, path, "doc_id", "token_ids").mapInArrow(
         _digest, "part long, row long, doc_id long, n_tokens long, ids_crc32 long")
-    rows = materialize(rows, "token-digests")      # the token pages are read once
+    with arrow_rows(spark):
+        rows = materialize(rows, "token-digests")      # the token pages are read once
     return with_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")

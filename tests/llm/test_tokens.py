@@ -76,6 +76,17 @@ def test_file_layout(spark, tmp_path, library, encoding, name):
     assert "token_ids" not in plan.split("ReadSchema")[-1] and "PushedFilters: [IsNotNull(doc_id), GreaterThan(doc_id,2990)]" in plan
 
 
+def test_files_of_one_task_keep_their_order(spark, tmp_path, library):
+    rows = [(i, f"text number {i}", None, None, None) for i in range(70)]
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 10)
+    try:
+        T.write_tokens(spark.createDataFrame(rows, DOCS), str(tmp_path / "t"))
+        got = sorted(tuple(r) for r in T.digests(spark, str(tmp_path / "t")).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert len(glob.glob(str(tmp_path / "t/part-*"))) > 1 and got == expected(rows, library)
+
+
 def test_empty(spark, tmp_path):
     T.write_tokens(spark.createDataFrame([], DOCS), str(tmp_path / "t"))
     assert T.digests(spark, str(tmp_path / "t")).collect() == []
