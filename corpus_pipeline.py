@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
 from metamart.llm import decontaminate, minhash_dedup, mixing, quality, tokens
-from metamart.llm.common import read_table, scratch_path
+from metamart.llm.common import file_place, read_table, scratch_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,8 @@ def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The order of the mix is that of the files and rows of the previous
     stage; documents that come from no file are ordered by doc_id."""
     try:
-        docs = docs.select("doc_id", "text", "_metadata.file_name", "_metadata.row_index")
-        order: tuple[str, ...] = ("file_name", "row_index")
+        docs = docs.select("doc_id", "text", file_place("_metadata.file_name").alias("file"), "_metadata.row_index")
+        order: tuple[str, ...] = ("file", "row_index")
     except AnalysisException:
         order = ("doc_id",)
     path = scratch_path(spark, "tokens")
