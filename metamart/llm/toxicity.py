@@ -1,8 +1,8 @@
 """Toxicity: a subsequence string-kernel SVM with Nystroem landmarks (op1).
 
 Kernel.  Two words are compared by the subsequences of four characters they
-share.  Up to ``GAP - 1`` characters may lie between two characters of a
-subsequence, each step of length s weighs DECAY ** s, and the value is divided by the norms
+share.  Up to ``SKIPPED`` characters may be skipped, at one place of the subsequence
+or one at each of its places; each step of length s weighs DECAY ** s, and the value is divided by the norms
 of words of these lengths.  So inserted characters ("idxiot") and gaps cost a
 little similarity, not all.  Before, characters are folded: case and accents
 go, digits stand for the letters they look like, punctuation inside a word goes
@@ -10,14 +10,15 @@ go, digits stand for the letters they look like, punctuation inside a word goes
 is compared by its best word, as one insult makes it toxic.
 
 Training.  The sample is bounded: ``CLASS_ROWS`` labelled documents of each
-class, ``SENTENCES`` sentences of each (in the order of hashes).  Landmarks are
+class, ``SENTENCES`` sentences of each (in the order of hashes; sentences of more than
+``PIECE`` characters are several).  Landmarks are
 words of the sample, those most typical of labelled-toxic sentences and common
 others.  Nystroem features of a word are K_mm^(-1/2) k(landmarks, word).  A linear
 SVM (squared hinge) is trained on the words of the sentences: those of clean
 documents are negative (``CLEAN_WORDS`` in the order of a hash, and all that looked toxic in
 a round); positive are words that ``TYPICAL`` times more toxic than clean documents have, and
 from the first of ``ROUNDS`` rounds on all such words that score high, each also
-with a character inserted at every place.  A logistic scale of the margins of a document's best
+with one to ``SKIPPED`` characters inserted at every place.  A logistic scale of the margins of a document's best
 two words, fitted on the sampled documents, gives the score.
 
 Scoring.  The margin of a word is linear in its subsequences, so landmarks and
@@ -51,11 +52,13 @@ CLASS_ROWS = 2500
 SENTENCES = 60
 CLEAN_WORDS = 15_000
 LANDMARKS = 256
-GAP = 2
+PIECE = 2000
+SKIPPED = 3
 DECAY = 0.6
 ROUNDS = 3
 TYPICAL = 8                      # times as frequent in toxic documents
 CLEAN_WEIGHT = 20.0
+PLAIN = 0.5                      # weight of insults as written, among the positive words
 CHARS = 32                       # classes of characters; 0: none, 1 to 26: letters, 27 to 29: others
 BEGIN, END = 30, 31              # of a word
 LENGTH = 4                       # characters of a subsequence
@@ -64,7 +67,8 @@ LOWEST = 2.0
 
 # digits that stand for letters (fixed values of the folding)
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"}
-STEPS = list(product(range(1, GAP + 1), repeat=LENGTH - 1))
+STEPS = [steps for steps in product(range(1, SKIPPED + 2), repeat=LENGTH - 1)
+         if sum(steps) - len(steps) <= SKIPPED and (max(steps) <= 2 or sum(s > 1 for s in steps) == 1)]
 TABLE = 0x3000
 
 
@@ -121,16 +125,13 @@ def word_stream(text: str) -> tuple[np.ndarray, np.ndarray, int]:
     return out, np.repeat(np.arange(words), size), words
 
 
-def _norms(longest: int = 64) -> np.ndarray:
-    """Norm of a word by its length (subsequences taken as distinct)."""
-    n = np.arange(longest + 1)
-    total = sum(DECAY ** (2 * sum(s)) * np.maximum(n - sum(s), 0) for s in STEPS)
+def norms(size) -> np.ndarray:
+    """Norms of words by their lengths (subsequences taken as distinct)."""
+    n = np.asarray(size)
+    total = sum(DECAY ** (2 * span) * times * np.maximum(n - span, 0) for span, times in Counter(map(sum, STEPS)).items())
     return np.sqrt(np.maximum(total, 1e-12))
 
 
-_NORMS = _norms()
-
-
 def _codes(c: np.ndarray, m: int, places: tuple[int, ...]) -> np.ndarray:
     """Number of the subsequence that begins at each of the first m positions."""
     code = c[:m]
@@ -159,7 +160,7 @@ def word_margins(chars: np.ndarray, word: np.ndarray, words: int, table: np.ndar
             value *= np.float32(DECAY ** span)
             total[:m] += value
     size = np.bincount(word, minlength=words)
-    return np.bincount(word, total, words) / _NORMS[np.minimum(size, len(_NORMS) - 1)]
+    return np.bincount(word, total, words) / norms(size)
 
 
 @dataclass
@@ -187,16 +188,16 @@ class Model:
 
 # ---------------------------------------------------------------- training
 _CUT = re.compile(r"(?<=[.!?])\s+|[\r\n]+")
+_PIECES = re.compile(rf"\S.{{0,{PIECE - 2}}}(?!\S)|\S{{1,{PIECE}}}", re.S)
 
 
 def _sentences(batches):
     for b in small_batches(batches, 200):
         out = []
         for text in b.column(2).to_pylist():
-            parts = {s for s in _CUT.split(text or "") if s.strip()}
+            parts = {p for s in _CUT.split(text or "") for p in (_PIECES.findall(s) if len(s) > PIECE else [s]) if p.strip()}
             out.append(sorted(parts, key=lambda s: (xxhash.xxh3_64_intdigest(s), s))[:SENTENCES])
-        cut = [[s[:2000] for s in x] for x in out]        # one sentence of the sample is bounded too
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cut, pa.list_(pa.string()))], names=["id", "y", "sentences"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.string()))], names=["id", "y", "sentences"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, class_rows: int = CLASS_ROWS) -> Model:
@@ -236,7 +237,7 @@ class Landmarks:
         for j, (m, x) in enumerate(zip(marks, codes, strict=True)):
             for c, w in x:
                 np.add.at(self.matrix[:, j], self.where[c], w)
-            self.matrix[:, j] /= _NORMS[min(len(m), len(_NORMS) - 1)]
+            self.matrix[:, j] /= norms(len(m))
         k = self.kernel(marks).astype(np.float64)
         vals, vecs = np.linalg.eigh((k + k.T) / 2)
         self.root = (vecs / np.sqrt(np.maximum(vals, 1e-3 * max(vals.max(), 1e-9)))) @ vecs.T     # K_mm^(-1/2)
@@ -257,7 +258,7 @@ class Landmarks:
                 if len(ok):
                     first = np.flatnonzero(np.diff(word[ok], prepend=-1))
                     out[at + word[ok[first]]] += np.add.reduceat(self.matrix[row[ok]], first) * np.float32(DECAY ** span)
-            out[at:at + len(part)] /= _NORMS[np.minimum([len(w) for w in part], len(_NORMS) - 1)][:, None]
+            out[at:at + len(part)] /= norms([len(w) for w in part])[:, None]
         return out
 
     def features(self, words: list[str]) -> np.ndarray:
@@ -314,11 +315,13 @@ def train(rows: list[tuple[int, list[str]]]) -> Model:
         if not positive:
             break
         extra = sorted(hard - set(everyday))
-        spoilt = [w[:at] + chr(1 + (at * 7 + len(w)) % 26) + w[at:] for w in positive for at in range(2, len(w) - 1)]
+        spoilt = [w[:at] + "".join(chr(1 + (at * 7 + len(w) + 5 * i) % 26) for i in range(k)) + w[at:]
+                  for w in positive for k in range(1, SKIPPED + 1) for at in range(2, len(w) - 1)]
         n = len(positive) + len(spoilt)
         x = np.concatenate((space.features(positive), space.features(spoilt), clean_x, space.features(extra)))
         y = np.concatenate((np.ones(n), -np.ones(len(everyday) + len(extra))))
-        c = np.where(y > 0, 1 / n, CLEAN_WEIGHT / max(1, len(everyday) + len(extra)))
+        c = np.where(y > 0, (1 - PLAIN) / max(1, len(spoilt)), CLEAN_WEIGHT / max(1, len(everyday) + len(extra)))
+        c[:len(positive)] = PLAIN / len(positive)
         c[n + len(everyday):] = 1 / n                                 # clean words that looked toxic
         u, bias = _svm(x, y, c)
         table = space.table(u)

@@ -1,5 +1,7 @@
 import random
 import zlib
+from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -82,6 +84,66 @@ def test_gapped_and_inserted_insults():
         assert (model.scores(texts) >= 0.5).mean() >= 0.9, said
 
 
+def test_two_and_three_inserted_letters():
+    """Invented words and insults; documents with two insults, as in training."""
+    rnd = random.Random(11)
+    vocab = ["".join(rnd.choices("abdehilnorstu", k=rnd.randint(3, 9))) for _ in range(800)]
+    insults = ["idiot", "pathetic", "worthless", "disgusting", "moronic", "stupid"]
+
+    def doc(n, bad=()):
+        w = rnd.choices(vocab, k=n)
+        for b in bad:
+            w.insert(rnd.randrange(len(w)), b)
+        return [" ".join(w[i:i + 9]) + "." for i in range(0, len(w), 9)]
+
+    def spoilt(w, k):
+        at = rnd.randrange(1, len(w))
+        return w[:at] + "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=k)) + w[at:]
+
+    model = toxicity.train([(1, doc(60, rnd.sample(insults, 2))) for _ in range(80)] + [(0, doc(60)) for _ in range(300)])
+    assert (model.scores([" ".join(doc(80)).encode() for _ in range(300)]) < 0.5).mean() > 0.98
+    for k in (0, 1, 2, 3):
+        texts = [" ".join(doc(40, [spoilt(w, k) for w in rnd.sample(insults, 2)])).encode() for _ in range(120)]
+        assert (model.scores(texts) >= 0.5).mean() >= 0.9, k
+
+
+def test_kernel_by_its_definition():
+    """The gap-weighted kernel over all choices of four positions."""
+    rnd = random.Random(2)
+
+    def image(w):
+        out = defaultdict(float)
+        for at in combinations(range(len(w)), 4):
+            skips = [b - a - 1 for a, b in zip(at, at[1:])]
+            if max(skips) <= 1 or (sorted(skips)[1] == 0 and max(skips) <= 3):
+                out[tuple(w[i] for i in at)] += 0.6 ** (at[3] - at[0])
+        return out
+
+    def norm(n):
+        return sum(v * v for v in image(tuple(range(n))).values()) ** 0.5
+
+    words = ["\x1e" + "".join(chr(rnd.randint(1, 4)) for _ in range(rnd.randint(3, 12))) + "\x1f" for _ in range(12)]
+    words.append("\x1e" + "\x01\x02\x03" * 30 + "\x1f")
+    got = toxicity.Landmarks(words[:5] + words[-1:]).kernel(words)
+    images, lengths = [image(w) for w in words], {n: norm(n) for n in {len(w) for w in words if len(w) < 30}}
+    lengths[92] = float(toxicity.norms(92))
+    assert np.allclose([toxicity.norms(n) for n in lengths], list(lengths.values()))
+    for i, a in enumerate(words):
+        for j, b in enumerate((*range(5), len(words) - 1)):
+            want = sum(v * images[b][u] for u, v in images[i].items()) / lengths[len(a)] / lengths[len(words[b])]
+            assert np.isclose(got[i, j], want, rtol=1e-3, atol=1e-4)
+
+
+def test_long_sentences_are_cut_not_dropped():
+    import pyarrow as pa
+    text = " ".join(f"w{i}" for i in range(4000)) + " " + "x" * 2000 + "y" * 3000
+    batch = pa.RecordBatch.from_pydict({"id": [1], "y": [1], "text": [text]})
+    (out,) = toxicity._sentences(iter([batch]))
+    parts = out.column(2).to_pylist()[0]
+    assert sorted(" ".join(parts).split()) == sorted([*text.split()[:-1], "x" * 2000, "y" * 2000, "y" * 1000])
+    assert max(map(len, parts)) <= toxicity.PIECE
+
+
 def test_table_equals_the_kernel():
     """Folding landmarks into a table gives K_mm^(-1/2) k(landmarks, word) u."""
     fold = lambda w: "\x1e" + "".join(chr(ord(c) - 96) for c in w) + "\x1f"
