@@ -119,6 +119,11 @@ def _write(df: DataFrame, path: str) -> None:
      .options(header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path))
 
 
+def _written(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    schema = StructType([StructField(c, StringType()) for c in columns])
+    return spark.read.schema(schema).options(header=True, multiLine=True, escape='"').csv(path)
+
+
 def _registered(spark: SparkSession, ids) -> DataFrame:
     return local_frame(spark, [(s, f"source_{s}") for s in ids], StructType([
         StructField("SourceId", IntegerType()), StructField("FilePath", StringType())]))
@@ -144,7 +149,10 @@ def loaded(spark: SparkSession, d: str) -> W.Warehouse:
                 _write(df, wh.path("landing", f"source_{sid}"))
             _write(spark.range(0).select(F.lit("").alias("Plant"), F.lit("").alias("Month"), F.lit("").alias("Q")),
                    wh.path("landing", "source_5"))
-            _write(wide[1].filter(F.col(B.SOURCES[1][4]).isNull() | (F.col(B.SOURCES[1][4]) >= RELOAD_FROM)), wh.path("again", "source_1"))
+            # the file just written, not the line items once more; its months are ISO dates
+            first = _written(spark, wh.path("landing", "source_1"), wide[1].columns)
+            _write(first.filter(F.col(B.SOURCES[1][4]).isNull() | (F.col(B.SOURCES[1][4]) == "")
+                                | (F.col(B.SOURCES[1][4]) >= RELOAD_FROM)), wh.path("again", "source_1"))
             _write(wide[2].limit(0), wh.path("again", "source_2"))
             W.save_meta_tables(wh, {"column_mapping": mapping(spark, d), "key_column_mapping": key_map(spark),
                                     "dq_rules": local_frame(spark, RULES, schemas.DQ_RULES)})
