@@ -13,8 +13,8 @@ the token stream from the metadata columns alone.
 Tokenising.  A byte-level vocabulary splits before every space that follows a
 non-space, so the ids of a text are the ids of its space-separated pieces.
 Pieces repeat; each distinct piece is encoded once per worker by the tokenizers
-library and remembered in two bounded generations.  Pieces for which that rule
-does not hold (runs of white space) send the whole text through the library, and
+library, many in one call, and remembered in two bounded generations.  Pieces for
+which that rule does not hold (runs of white space) send the whole text through the library, and
 so does an added token (such as a literal end-of-text mark) in a text, which is one id.
 Results equal the library's on whole texts (tested).
 
@@ -26,9 +26,9 @@ unspecified order among themselves; extra columns are ignored.
 from __future__ import annotations
 
 import os
-import struct
 import zlib
-from itertools import filterfalse
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,9 @@ from metamart.llm.common import arrow_rows, file_place, forget_words, materializ
 END_ID = 0
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-GENERATION = 200_000     # remembered pieces per generation
+GENERATION = 400_000     # remembered pieces per generation
+PIECES_AT_ONCE = 1000    # unknown pieces per call of the library
+UNKNOWN = object()       # a piece not remembered
 
 
 def default_tokenizer() -> str:
@@ -58,13 +60,14 @@ class PieceEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values() if t.content]
-        self.newline = int(np.frombuffer(self._ids("\n"), "<u4")[0])
         self.tails = {c: self._ids(c) for c in ".,;:!?"}
-        self.model = self.tok.model
-        # byte-level vocabularies name bytes that are no visible Latin-1 character by the
-        # characters from 256 on
-        hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
-        self.alphabet = {b: chr(256 + i) for i, b in enumerate(hidden)}
+        # a token that begins with a space: in a byte-level vocabulary, with that byte's character
+        space = "".join(chr(256 + i) for i, b in enumerate(
+            b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)) if b == 32)
+        vocabulary = self.tok.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
+        self.joined = not any(" " in x for x in self.added)
         # pieces after a space, and pieces at the start of a text or line
         self.now = {" ": {}, "": {}}
         self.old = {" ": {}, "": {}}
@@ -82,21 +85,22 @@ class PieceEncoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
         first, after = self.now[""], self.now[" "]
-        self._learn("", {p[0] for p in split})
+        heads = [p.pop(0) for p in split]
+        self._learn("", {p for p in heads if p not in first})
+        found = [list(map(after.get, p, repeat(UNKNOWN))) for p in split]
         missing: set[str] = set()
-        for p in split:
-            missing.update(filterfalse(after.__contains__, p[1:]))
+        for p, ids in zip(split, found, strict=True):
+            if UNKNOWN in ids:
+                missing.update(compress(p, map(is_, ids, repeat(UNKNOWN))))
         self._learn(" ", missing)
         out = []
-        for t, p in zip(texts, split, strict=True):
-            if len(p) == 1:
-                out.append(self._ids(t) if first[t] is None else first[t])
-                continue
-            last = after[p[-1]]
-            if last is None and p[-1]:
-                last = self._ids(" " + p[-1])       # white space at the end of the text
+        for t, head, p, ids in zip(texts, heads, split, found, strict=True):
+            if UNKNOWN in ids:
+                ids = [after[x] if i is UNKNOWN else i for x, i in zip(p, ids, strict=True)]
+            if ids and ids[-1] is None and p[-1]:
+                ids[-1] = self._ids(" " + p[-1])    # white space at the end of the text
             try:
-                out.append(b"".join((first[p[0]], *map(after.__getitem__, p[1:-1]), last)))
+                out.append(b"".join((first[head], *ids)))
             except TypeError:                       # white space before a space: no boundary there
                 out.append(self._ids(t))
         for lead in self.now:
@@ -104,53 +108,33 @@ class PieceEncoder:
                 self.old[lead], self.now[lead] = self.now[lead], {}
         return out
 
-    def _learn(self, lead: str, pieces) -> None:
-        """Remember the ids of pieces; None where a piece has no ids of its own
+    def _learn(self, lead: str, pieces: set[str]) -> None:
+        """Remember the ids of unknown pieces; None where a piece has no ids of its own
         (empty, or white space that would run on into the next piece)."""
         known, old = self.now[lead], self.old[lead]
         plain: list[str] = []
-        letters: list[str] = []
-        built: list[tuple[str, str, list[str] | bytes]] = []
         for p in pieces:
-            if p in known:
-                continue
             if p in old:
                 known[p] = old[p]
             elif not p or p[-1].isspace():
                 known[p] = None
-            elif p[0].isspace():
-                known[p] = self._ids(lead + p)
-            elif "\n" in p:
-                head, *lines = p.split("\n")
-                if all(x and not x[0].isspace() and not x[-1].isspace() for x in (head, *lines)):
-                    built.append((p, head, lines))
+            elif lead and self.joined:
+                # letters below U+0250 and a mark: two words of the vocabulary's splitting
+                if p[-1] in self.tails and (ids := known.get(p[:-1])) and p[:-1].isalpha() and max(p) < "\u0250":
+                    known[p] = ids + self.tails[p[-1]]
                 else:
-                    known[p] = self._ids(lead + p)
-            elif p[-1] in self.tails and p[:-1].isalpha() and max(p) < "\u0250":
-                built.append((p, p[:-1], self.tails[p[-1]]))
-            elif p.isalpha() and max(p) < "\u0250":
-                letters.append(p)
+                    plain.append(p)
             else:
-                plain.append(p)
-        # letters after at most one space are one word of the vocabulary's splitting
-        for p in letters:
-            ids = [x.id for x in self.model.tokenize((lead + p).encode().decode("latin-1").translate(self.alphabet))]
-            known[p] = struct.pack(f"<{len(ids)}I", *ids)
-        if plain:
-            # one call for all: a line break between two pieces is a token of its own
-            ids = np.array(self.tok.encode("\n".join([lead + p for p in plain]), add_special_tokens=False).ids,
-                           dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.newline), len(ids))
-            raw, at = ids.tobytes(), 0
-            for p, end in zip(plain, ends.tolist(), strict=True):
-                known[p] = raw[4 * at:4 * end]
-                at = end + 1
-        if built:
-            self._learn(lead, {head for _, head, _ in built})
-            self._learn("", {x for _, _, rest in built if isinstance(rest, list) for x in rest})
-            line, cut = self.now[""], np.uint32(self.newline).tobytes()
-            for p, head, rest in built:
-                known[p] = known[head] + (rest if isinstance(rest, bytes) else b"".join(cut + line[x] for x in rest))
+                known[p] = self._ids(lead + p)
+        for at in range(0, len(plain), PIECES_AT_ONCE):
+            # one call for many: every space begins a token, and no piece has one inside
+            some = plain[at:at + PIECES_AT_ONCE]
+            text = " " + " ".join(some)
+            ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            starts = (np.flatnonzero(self.spaced[ids]) * 4).tolist()
+            raw = ids.tobytes()
+            for p, a, z in zip(some, starts, [*starts[1:], len(raw)], strict=True):
+                known[p] = raw[a:z]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}

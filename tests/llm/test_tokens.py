@@ -97,3 +97,20 @@ def test_query_equals_library(spark, library):
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     got = sorted(tuple(r) for r in queries.QUERIES["op6_token_output"](spark, d).collect())
     assert got == sorted(expected(rows, library))
+
+
+def test_unknown_pieces_share_calls_of_the_library(library):
+    enc, calls = T.PieceEncoder(PATH), []
+
+    class Counted:
+        def __init__(self, tok):
+            self.encode, self.many = tok.encode, tok.encode_batch_fast
+
+        def encode_batch_fast(self, texts, **kw):
+            calls.append(len(texts))
+            return self.many(texts, **kw)
+
+    enc.tok = Counted(enc.tok)
+    text = "start " + " ".join(f"wörd{i}\nLine{i}," if i % 3 else f"Abc{i}é日本" for i in range(2500))
+    assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == library(text)
+    assert len(calls) == 3
