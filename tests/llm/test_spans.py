@@ -1,6 +1,7 @@
 import random
 import re
 from collections import defaultdict
+from itertools import islice
 
 import pytest
 
@@ -38,9 +39,11 @@ def runs(units, least, words):
     """The shortest sufficient runs that begin and, by words, that end at every unit."""
     spans = set()
     for i in range(len(units)):
-        spans |= set([(i, j) for j in range(i + least, len(units) + 1) if sum(u[3] for u in units[i:j]) >= words][:1])
+        ahead = ((i, j) for j in range(i + least, len(units) + 1) if sum(u[3] for u in units[i:j]) >= words)
+        spans |= set(islice(ahead, 1))
         if words:
-            spans |= set([(j, i + 1) for j in range(i + 1 - least, -1, -1) if sum(u[3] for u in units[j:i + 1]) >= words][:1])
+            back = ((j, i + 1) for j in range(i + 1 - least, -1, -1) if sum(u[3] for u in units[j:i + 1]) >= words)
+            spans |= set(islice(back, 1))
     for i, j in sorted(spans):
         yield i, j, tuple(u[2] for u in units[i:j])
 
