@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metamart.llm.common import binary_column, mix64, small_batches, word_codes, words_of
+from metamart.llm.common import binary_column, mix64, remembering, small_batches, word_codes, words_of
 
 MASKS = ((0, 1, 2, 4, 5, 6), (0, 1, 3, 4, 7, 9), (0, 1, 3, 7, 8, 9), (0, 2, 4, 5, 8, 9), (0, 2, 3, 6, 7, 9))
 LONGEST = 10             # words of the longest mask
@@ -172,6 +172,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WOR
     for block in blocks(benchmark, block_words):
         shared = spark.sparkContext.broadcast(block)
 
+        @remembering("words")
         def run(batches, shared=shared):
             block, table = shared.value, shared.value.table()
             for b in small_batches(batches, 500):
@@ -200,6 +201,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int =
     for block in blocks(benchmark, block_words):
         shared = spark.sparkContext.broadcast(block)
 
+        @remembering("words")
         def run(batches, shared=shared):
             block, table = shared.value, shared.value.table()
             for b in small_batches(batches, 500):

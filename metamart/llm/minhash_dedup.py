@@ -33,8 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metamart.llm.common import (as_long, binary_column, list_array, materialize, run_codes, small_batches,
-                                 word_codes, words_of)
+from metamart.llm.common import (arrow_rows, as_long, binary_column, list_array, materialize, remembering, run_codes,
+                                 small_batches, word_codes, words_of)
 from metamart.llm.graph import components
 
 WIDTH = 5           # words of a shingle
@@ -53,6 +53,7 @@ def shingle_set(text: bytes | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(as_long(run_codes(codes, min(width, len(codes)))))
 
 
+@remembering("words")
 def _profile(batches):
     for b in small_batches(batches):
         sets = [shingle_set(t) for t in binary_column(b, 1)]
@@ -62,6 +63,7 @@ def _profile(batches):
              list_array([s[:K] for s in sets], pa.int64())], names=["doc_id", "n", "digest", "sketch"])
 
 
+@remembering("words")
 def _sets(batches):
     for b in small_batches(batches, 200):
         yield pa.RecordBatch.from_arrays(
@@ -75,8 +77,9 @@ def _id_text(docs: DataFrame) -> DataFrame:
 
 def profiles(docs: DataFrame) -> DataFrame:
     """(doc_id, n, digest of the set, sketch) of every row, on shared storage."""
-    return materialize(_id_text(docs).mapInArrow(
-        _profile, "doc_id long, n long, digest binary, sketch array<long>"), "sketches")
+    with arrow_rows(docs.sparkSession):
+        return materialize(_id_text(docs).mapInArrow(
+            _profile, "doc_id long, n long, digest binary, sketch array<long>"), "sketches")
 
 
 def _sizes_fit(a: str, b: str):
@@ -134,7 +137,8 @@ def link_classes(docs: DataFrame, prof: DataFrame) -> DataFrame:
 
     members = led.select("id").union(led.select("lead")).distinct().withColumnRenamed("id", "doc_id")
     texts = _id_text(docs).join(members, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = materialize(texts.mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
+    with arrow_rows(docs.sparkSession):
+        sets = materialize(texts.mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
     scored = materialize(_scored(pairs, reps, sets), "scored")
     star = scored.filter("linked").select("a", "b")
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from metamart.llm import supervised
-from metamart.llm.common import binary_column, list_array, small_batches, word_codes
+from metamart.llm.common import binary_column, list_array, remembering, small_batches, word_codes
 
 FOLDS, FOLD = 3, 1
 SAMPLE_ROWS = 5000
@@ -138,6 +138,7 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], seed: int
     return m
 
 
+@remembering("words")
 def _featurise(batches):
     for b in small_batches(batches, 200):
         rows = [features(t) for t in binary_column(b, 2)]
@@ -167,6 +168,7 @@ def drop_rejected(docs: DataFrame, model: Machine) -> DataFrame:
     names = docs.columns
     at = names.index("text")
 
+    @remembering("words")
     def run(batches):
         for b in small_batches(batches, 200):
             keep = shared.value.scores(binary_column(b, at)) >= 0.5

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from metamart.llm.common import arrow_rows, file_place, forget_words, materialize, small_batches
+from metamart.llm.common import arrow_rows, file_place, materialize, remembered, remembering, small_batches
 
 END_ID = 0
 ROW_GROUP_BYTES = 32 << 20
@@ -209,6 +209,7 @@ class PieceEncoder:
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
+remembered("pieces", _ENCODERS.clear)
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -237,8 +238,8 @@ def _by_bytes(batches, least: int):
 
 
 def _tokenise(path: str, end_id: int):
+    @remembering("pieces")
     def run(batches):
-        forget_words()                 # an earlier stage's, if this worker ran one
         enc = encoder(path)
         for b in _by_bytes(batches, TEXT_BYTES):
             ids, counts = enc.encode_column(pc.fill_null(b.column(b.num_columns - 1), ""))
@@ -303,6 +304,7 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     return with_start(read_tokens(spark, path, "doc_id", "n_tokens")).select("doc_id", "start", "n_tokens")
 
 
+@remembering("pieces")
 def _digest(batches):
     for b in small_batches(batches, 1000):
         ids = b.column(3)
