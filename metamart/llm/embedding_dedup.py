@@ -12,7 +12,8 @@ first coordinates of some blocks, one a block and as wide as the block's radius
 more tiles, the more blocks), and spread by a hash within its cell.  A block is
 joined for a pair of tiles whose bounds in it are within its radius; a pair of tiles
 that no block joins, or whose bounds are too far apart over all blocks, is no work.
-Distances are matrix products in a task, in strips.
+Nor is a strip of a pair in which every two vectors exceed eps2 in half of the blocks
+alone.  Distances are matrix products in a task, in strips.
 
 Pairs of tiles are a nested loop over the files of tiles: a task reads two files, so no
 vector is shuffled or written for a pair, and disk grows with the vectors alone.  A task
@@ -32,7 +33,7 @@ rows with a null vec_id link with nothing, n_links 0, component_id null, kept.
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,12 @@ def block_slices(dim: int) -> list[slice]:
     return [slice(a, z) for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def front_slice(dim: int) -> slice:
+    """The first half of the blocks."""
+    blocks = block_slices(dim)
+    return slice(0, blocks[(len(blocks) - 1) // 2].stop)
+
+
 def _rows(column: pa.Array) -> list[np.ndarray | None]:
     """Vectors in double precision; None where a vector cannot be compared."""
     out: list[np.ndarray | None] = []
@@ -142,21 +149,31 @@ def _pack_tiles(batches):
 
 
 class Tile:
-    """Unit vectors of a tile, and their blocks in single precision as one side of a product."""
+    """Unit vectors of a tile, turned, and as one side of products in single precision."""
 
     def __init__(self, dim: int, ids: pa.Array, mult: pa.Array, raw: bytes, left: bool):
         self.ids = ids.values.to_numpy(zero_copy_only=False)
         self.mult = mult.values.to_numpy(zero_copy_only=False)
         x = np.frombuffer(raw, np.float32 if len(raw) == 4 * dim * len(self.ids) else np.float64)
         self.unit = _unit(x.astype(np.float64).reshape(len(self.ids), -1))
-        y = self.unit @ rotation(dim)
-        self.low, self.high = y.min(0), y.max(0)
-        # one product of extended vectors is -(squared distance) / 2
-        self.blocks = []
-        for s in block_slices(dim):
-            half, one = -0.5 * (y[:, s] * y[:, s]).sum(1), np.ones(len(y))
-            ext = np.column_stack((y[:, s], half, one) if left else (y[:, s], one, half)).astype(np.float32)
-            self.blocks.append(ext if left else ext.T)
+        self.turned = self.unit @ rotation(dim)
+        self.low, self.high = self.turned.min(0), self.turned.max(0)
+        self.left = left
+
+    def side(self, s: slice) -> np.ndarray:
+        """Extended vectors: the product of two sides is -(squared distance) / 2."""
+        y = self.turned[:, s]
+        half, one = -0.5 * (y * y).sum(1), np.ones(len(y))
+        ext = np.column_stack((y, half, one) if self.left else (y, one, half)).astype(np.float32)
+        return ext if self.left else ext.T
+
+    @cached_property
+    def front(self) -> np.ndarray:
+        return self.side(front_slice(self.unit.shape[1]))
+
+    @cached_property
+    def blocks(self) -> list[np.ndarray]:
+        return [self.side(s) for s in block_slices(self.unit.shape[1])]
 
 
 def _local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -182,16 +199,18 @@ def _near(a: Tile, b: Tile, cosine: float, same: bool) -> tuple[np.ndarray, np.n
         for n, s in enumerate(block_slices(dim)):
             limit = eps2 * (s.stop - s.start) / dim + SLACK
             if apart[s].sum() <= limit:
-                work.append((a.blocks[n], b.blocks[n], np.float32(-0.5 * limit - 1e-5)))
+                work.append((n, np.float32(-0.5 * limit - 1e-5)))
+    whole = np.float32(-0.5 * (eps2 + SLACK) - 1e-5)
     left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for at in range(0, len(a.unit) if work else 0, STRIP):
-        near = None                                         # a candidate of any block
-        for xa, xb, limit in work:
-            hit = xa[at:at + STRIP] @ xb >= limit
-            near = hit if near is None else np.logical_or(near, hit, out=near)
-        if not near.any():
+        front = a.front[at:at + STRIP] @ b.front
+        if front.max() < whole:                             # no pair is within the whole distance over half the blocks
             continue
-        i, j = np.nonzero(near)
+        near = np.zeros(front.shape, bool)                  # a candidate of any block
+        for n, limit in work:
+            near |= a.blocks[n][at:at + STRIP] @ b.blocks[n] >= limit
+        near &= front >= whole
+        i, j = np.divmod(np.flatnonzero(near), near.shape[1])
         i += at
         if same:
             i, j = i[i < j], j[i < j]
@@ -310,7 +329,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
              .agg(F.array_sort(F.collect_list(F.struct("key", "id", "mult", "raw"))).alias("v"))
              .select("t", F.col("v.key").alias("keys"), F.col("v.id").alias("ids"), F.col("v.mult").alias("mult"), F.col("v.raw").alias("raw")))
     kind = f"struct<{', '.join(f'{c}: int' for c in (*at, 'tile'))}>"
-    with arrow_rows(spark, 8):                              # tiles are large rows
+    with arrow_rows(spark, 2):                              # tiles are large rows
         tiles = materialize(tiles.mapInArrow(_pack_tiles, f"t {kind}, keys binary, ids array<long>, mult array<long>, raw binary"), "tiles")
         left, right = (tiles.toDF("t" + x, *(f"{c}_{x}" for c in ("keys", "ids", "mult", "raw"))) for x in "ab")
         # pairs of tiles in reach, each once: a nested loop over files, nothing is shuffled
